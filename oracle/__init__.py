@@ -1,0 +1,13 @@
+"""Independent DuckDB SQL for each registered query (the correctness oracle)."""
+
+from __future__ import annotations
+
+
+def all_sql() -> dict[str, str]:
+    from oracle import attainment_sql
+    from oracle.fixtures_sql import with_tables
+    out = {}
+    for mod in (attainment_sql,):
+        for name, body in mod.SQL.items():
+            out[name] = with_tables(body)
+    return out

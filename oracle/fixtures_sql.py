@@ -298,7 +298,10 @@ def _refs(sql: str, exclude: str | None = None) -> list[str]:
 def with_tables(body: str) -> str:
     """``WITH <needed derived tables> <body>``: a self-contained DuckDB query."""
     names = _needed(body)
+    body = body.strip()
     if not names:
         return body
     ctes = ",\n".join(f"{n} AS ({TABLE_SQL[n][0].strip()}\n)" for n in names)
-    return f"WITH {ctes}\n{body.strip()}"
+    if body[:5].upper() == "WITH ":
+        return f"WITH {ctes},\n{body[5:]}"
+    return f"WITH {ctes}\n{body}"

@@ -20,11 +20,13 @@ _DEFAULTS = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "quotalens") -> SparkSession:
+                app_name: str = "quotalens", driver_memory: str | None = None) -> SparkSession:
     """Return the active session or build one (local mode for tests/bench)."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     for k, v in _DEFAULTS.items():
         builder = builder.config(k, v)
     if shuffle_partitions:

@@ -300,9 +300,15 @@ def _credit(tx: DataFrame) -> DataFrame:
 
 def derive(spark: SparkSession, sf_dir: str) -> Sources:
     """Build all 22 input tables from ``sf_dir``'s star schema (lazy DataFrames)."""
+    from quotalens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
     orders = _orders(spark, sf_dir)
     cust = _customers(spark, sf_dir)
-    periods = _periods(orders)
+    # The period calendar is read by every hierarchy level and lookup; it is calendar-sized
+    # (months x 2 + quarters + halves + years), so compute it once and cut its lineage with a
+    # reliable checkpoint (shared checkpoint folder) instead of re-scanning orders per use.
+    periods = _periods(orders).checkpoint(eager=True)
+    period_types = _period_types(spark, periods).checkpoint(eager=True)
     tx = _transactions(spark, sf_dir, orders)
     mkeys = _measurement_keys(orders)
 
@@ -447,7 +453,7 @@ def derive(spark: SparkSession, sf_dir: str) -> Sources:
     factories = {
         "cs_processingunit": processingunit,
         "cs_calendar": calendar,
-        "cs_periodtype": lambda: _period_types(spark, periods),
+        "cs_periodtype": lambda: period_types,
         "cs_period": lambda: periods,
         "cs_participant": participant,
         "cs_payee": payee,

@@ -1,0 +1,5 @@
+"""Streaming: the reference has no streaming operator (no watermark, window or state).
+
+The reports are periodic batch jobs; the many-period mode (one job over a list of target
+periods) is how they scale. Nothing here on purpose.
+"""
