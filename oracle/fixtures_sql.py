@@ -301,7 +301,9 @@ def with_tables(body: str) -> str:
     body = body.strip()
     if not names:
         return body
-    ctes = ",\n".join(f"{n} AS ({TABLE_SQL[n][0].strip()}\n)" for n in names)
+    # MATERIALIZED: each fixture table is computed once and joined as a sized table, so the
+    # optimizer never inlines derivations into the report joins
+    ctes = ",\n".join(f"{n} AS MATERIALIZED ({TABLE_SQL[n][0].strip()}\n)" for n in names)
     if body[:5].upper() == "WITH ":
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"

@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from quotalens.operators.params import params
 from quotalens.operators.payees import payee_snapshot
 from quotalens.operators.periods import run_period
+from quotalens.plans import accrual as acc
 from quotalens.plans import attainment as att
+from quotalens.schemas import STAGING_NAMES
 from quotalens.sources.fixtures import derive
 
 UNIT = "PU1"
@@ -82,6 +84,77 @@ def attainment_extract(spark, sf_dir):
     return att.attainment_extract(src, p)
 
 
+def _staged(df: DataFrame) -> DataFrame:
+    return df.select(*STAGING_NAMES, "arm")
+
+
+@query
+def accrual_regular(spark, sf_dir):
+    src, p = setup(spark, sf_dir)
+    return _staged(acc.arm_regular(src, p))
+
+
+@query
+def accrual_mbo(spark, sf_dir):
+    src, p = setup(spark, sf_dir)
+    return _staged(acc.arm_mbo(src, p))
+
+
+@query
+def accrual_yoy(spark, sf_dir):
+    src, p = setup(spark, sf_dir)
+    return _staged(acc.arm_yoy(src, p))
+
+
+@query
+def accrual_cip(spark, sf_dir):
+    src, p = setup(spark, sf_dir)
+    return _staged(acc.arm_cip(src, p))
+
+
+@query
+def accrual_guarantee(spark, sf_dir):
+    src, p = setup(spark, sf_dir)
+    return _staged(acc.arm_guarantee(src, p))
+
+
+@query
+def accrual_regular_fy25(spark, sf_dir):
+    src, p = setup(spark, sf_dir)
+    return _staged(acc.arm_regular_fy25(src, p))
+
+
+@query
+def accrual_staging(spark, sf_dir):
+    src, p = setup(spark, sf_dir)
+    return _staged(acc.accrual_staging(src, p))
+
+
+@query
+def billto_enrich(spark, sf_dir):
+    src, p = setup(spark, sf_dir)
+    return _staged(acc.billto_enrich(src, acc.accrual_staging(src, p)))
+
+
+@query
+def step_log(spark, sf_dir):
+    src, p = setup(spark, sf_dir)
+    return acc.step_log(acc.accrual_staging(src, p))
+
+
+@query
+def accrual_report(spark, sf_dir):
+    src, p = setup(spark, sf_dir)
+    return acc.accrual_report(acc.billto_enrich(src, acc.accrual_staging(src, p)), "FY26")
+
+
+@query
+def accrual_report_fy25(spark, sf_dir):
+    src, p = setup(spark, sf_dir)
+    staged = acc.accrual_staging(src, p, rules="FY25")
+    return acc.accrual_report(acc.billto_enrich(src, staged), "FY25")
+
+
 # keys whose function name carries a suffix to avoid shadowing library names
 for _k in list(QUERIES):
     if _k.endswith("_q"):
