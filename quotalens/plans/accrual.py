@@ -17,7 +17,7 @@ Plan shape (Spark-first rewrites of the reference's five INSERT arms):
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -119,7 +119,32 @@ def _weight_positive(col: str) -> Column:
 # 58-column staging rows
 # ---------------------------------------------------------------------------------------
 
+# Column expressions are immutable and unresolved, so the shared column lists are built once
+# per process and reused by every arm (each expression costs a JVM round trip to build).
+@lru_cache(maxsize=8)
+def _common_cached(invoice_label: str) -> tuple:
+    return tuple(_common_build(invoice_label).items())
+
+
 def _common(invoice_label: str) -> dict[str, Column]:
+    return dict(_common_cached(invoice_label))
+
+
+@lru_cache(maxsize=8)
+def _credit_cached(invoice_label: str) -> tuple:
+    return tuple(_credit_build(invoice_label).items())
+
+
+def _credit_cols(invoice_label: str) -> dict[str, Column]:
+    return dict(_credit_cached(invoice_label))
+
+
+@lru_cache(maxsize=1)
+def _null_padding() -> dict:
+    return {name: F.lit(None).cast(STAGING_TYPES[name]).alias(name) for name in STAGING_NAMES}
+
+
+def _common_build(invoice_label: str) -> dict[str, Column]:
     """Columns every arm takes from the parameters and the org row."""
     return {
         "periodseq": F.col("v_period"), "periodname": F.col("v_periodname"),
@@ -132,7 +157,7 @@ def _common(invoice_label: str) -> dict[str, Column]:
     }
 
 
-def _credit_cols(invoice_label: str) -> dict[str, Column]:
+def _credit_build(invoice_label: str) -> dict[str, Column]:
     """Credit, transaction and product columns shared by the four credit arms."""
     return {
         "credit_name": F.col("c_name"), "credittypeid": F.col("ct_id"),
@@ -158,10 +183,10 @@ def _staging_row(df: DataFrame, arm: str, cols: dict[str, Column],
                  fx_text: Column | None = None) -> DataFrame:
     """Project to the 58 staging columns (typed NULL padding) + arm + parse_failed."""
     out = []
+    pad = _null_padding()
     for name in STAGING_NAMES:
         c = cols.get(name)
-        c = F.lit(None) if c is None else c
-        out.append(c.cast(STAGING_TYPES[name]).alias(name))
+        out.append(pad[name] if c is None else c.cast(STAGING_TYPES[name]).alias(name))
     failed = (F.lit(0) if fx_text is None else
               F.when(fx_text.isNotNull() & decorated_number(fx_text).isNull(), 1).otherwise(0))
     return df.select(*out, F.lit(arm).alias("arm"), failed.alias("parse_failed"))

@@ -89,8 +89,9 @@ class Sources(Mapping):
             writer = df.write.mode(mode)
             part = PERIOD_PARTITIONED.get(name)
             if part:
-                # Sort inside each task (no shuffle, so a hot period cannot land on one task);
-                # each task then writes one file per period it holds.
-                writer = df.sortWithinPartitions(part).write.mode(mode).partitionBy(part)
+                # REBALANCE: AQE clusters rows by period (few files per period) but splits a
+                # hot period over several tasks and coalesces small ones, so neither skew
+                # nor a small-files explosion follows from the partitioned layout.
+                writer = df.hint("rebalance", part).write.mode(mode).partitionBy(part)
             writer.parquet(os.path.join(root, name))
         return Sources.from_parquet(self.spark, root, names)
