@@ -31,8 +31,8 @@ def _exactly_one(matches: DataFrame, key: str, what: str, requested: DataFrame)
 
 
 def params(sources, processing_unit: str, periods: Sequence[str] | None,
-           calendar: str = DEFAULT_CALENDAR) -> DataFrame:
-    """One row per target period.
+           calendar: str = DEFAULT_CALENDAR, materialize: bool = True) -> DataFrame:
+    """One row per target period (checkpointed: lookups are validated here).
 
     Columns: processingunitseq, processingunitname, target_periodseq, periodname, startdate,
     enddate, calendarseq. ``periods=None`` takes every live month of the calendar.
@@ -57,7 +57,14 @@ def params(sources, processing_unit: str, periods: Sequence[str] | None,
     else:
         req = spark.createDataFrame([(p,) for p in periods], "periodname string")
         chosen = _exactly_one(per, "periodname", "period", req)
-    return chosen.crossJoin(F.broadcast(pu.select(
+    # the unit lookup is validated to exactly one row: attaching it is a bounded broadcast
+    out = chosen.crossJoin(F.broadcast(pu.select(
         "processingunitseq", F.col("name").alias("processingunitname")))).select(
         "processingunitseq", "processingunitname", "target_periodseq", "periodname",
         "startdate", "enddate", "calendarseq")
+    if materialize:
+        # One row per target period. Every report step joins it (often through dynamic
+        # partition pruning subqueries); a reliable checkpoint resolves and validates the
+        # lookups once - the SELECT ... INTO moment - and turns it into a leaf of each plan.
+        out = out.checkpoint(eager=True)
+    return out

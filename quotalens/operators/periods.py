@@ -62,7 +62,7 @@ def period_hierarchy(sources, month_live: bool = True) -> DataFrame:
     return h.select(*cols, F.col("month_calendarseq").alias("calendarseq"))
 
 
-def run_period(sources, params: DataFrame) -> DataFrame:
+def run_period(sources, params: DataFrame, materialize: bool = True) -> DataFrame:
     """Months of the fiscal year up to each target period, with their hierarchy and rank.
 
     Per target period: the target month is looked up by name among live months of any
@@ -98,5 +98,7 @@ def run_period(sources, params: DataFrame) -> DataFrame:
         & hier.month_startdate.between(bounds.yp_startdate, F.date_add(bounds.tp_enddate, -1)))
     w = Window.partitionBy("target_periodseq").orderBy("month_periodseq", "month_startdate")
     cols = [f"{lvl}_{c}" for lvl in LEVELS for c in ("periodseq", "name", "startdate", "enddate")]
-    return rp.select(*cols, "calendarseq", F.rank().over(w).alias("period_rank"),
-                     "target_periodseq", "processingunitseq")
+    out = rp.select(*cols, "calendarseq", F.rank().over(w).cast("bigint").alias("period_rank"),
+                    "target_periodseq", "processingunitseq")
+    # calendar-sized (<= 12 rows per target): computed once, a leaf in the fact joins
+    return out.checkpoint(eager=True) if materialize else out

@@ -87,8 +87,8 @@ def transaction_core(sources) -> DataFrame:
     return core.join(F.broadcast(et), core.st_event == et.et_seq)
 
 
-def credit_core(sources) -> DataFrame:
-    """Credit x live credit type x transaction core on (transaction, unit)."""
+def credits(sources) -> DataFrame:
+    """Credit x live credit type (credit types broadcast)."""
     c = sources["cs_credit"].select(
         F.col("creditseq").alias("c_seq"), F.col("name").alias("c_name"),
         F.col("credittypeseq").alias("c_type"), F.col("salestransactionseq").alias("c_txn"),
@@ -98,9 +98,17 @@ def credit_core(sources) -> DataFrame:
         F.col("genericnumber6").alias("c_gn6"))
     ct = live(sources["cs_credittype"]).select(
         F.col("datatypeseq").alias("ct_seq"), F.col("credittypeid").alias("ct_id"))
-    c = c.join(F.broadcast(ct), c.c_type == ct.ct_seq)
-    t = transaction_core(sources)
-    return c.join(t, (c.c_txn == t.st_seq) & (c.c_unit == t.st_unit))
+    return c.join(F.broadcast(ct), c.c_type == ct.ct_seq)
+
+
+def with_transactions(x: DataFrame, t: DataFrame) -> DataFrame:
+    """Attach the transaction core to credit rows on (transaction, unit)."""
+    return x.join(t, (x.c_txn == t.st_seq) & (x.c_unit == t.st_unit))
+
+
+def credit_core(sources) -> DataFrame:
+    """Credit x live credit type x transaction core on (transaction, unit) - every period."""
+    return with_transactions(credits(sources), transaction_core(sources))
 
 
 def _incentive(sources, prefix: str) -> DataFrame:
@@ -232,12 +240,15 @@ def _bridge_regular(sources, params: DataFrame) -> DataFrame:
 def arm_regular(sources, params: DataFrame, invoice_label: str = DEFAULT_INVOICE_LABEL,
                 cc: DataFrame | None = None) -> DataFrame:
     """FY26 regular arm: credits of the period with their plan incentive, DISTINCT."""
-    cc = credit_core(sources) if cc is None else cc
+    c = credits(sources)
     h = org_in_run(sources, params)
-    x = cc.join(h, (h.h_positionseq == cc.c_position) & (cc.c_period == h.v_period))
+    # period-restricted org rows meet credits first: the credit scan is pruned to the target
+    # periods (dynamic partition pruning on periodseq); transactions are attached last
+    x = c.join(h, (h.h_positionseq == c.c_position) & (c.c_period == h.v_period))
     br = _bridge_regular(sources, params)
     x = x.join(br, (br.b_credit == x.c_seq) & (br.b_unit == x.c_unit)
                & (br.b_period == x.c_period) & (br.b_position == x.h_positionseq))
+    x = with_transactions(x, transaction_core(sources) if cc is None else cc)
     fx = fx_rate("s_genericattribute4")
     cols = {**_common(invoice_label), **_credit_cols(invoice_label),
             "nativecurrencyamount": F.coalesce(F.col("st_native"), F.lit(0)),
@@ -276,14 +287,15 @@ def _to_credits(sources, x: DataFrame, inc_prefix: str, cc: DataFrame) -> DataFr
     inc = F.col(f"{inc_prefix}_incentiveseq")
     y = x.join(b, (inc == b.i_inc) & (F.col(f"{inc_prefix}_periodseq") == b.i_tperiod)
                & (F.col(f"{inc_prefix}_processingunitseq") == b.i_unit))
-    return y.join(cc, (cc.c_period == y.p_tperiod) & (cc.c_unit == y.p_unit)
-                  & (cc.c_seq == y.p_credit))
+    c = credits(sources)
+    y = y.join(c, (c.c_period == y.p_tperiod) & (c.c_unit == y.p_unit) & (c.c_seq == y.p_credit))
+    return with_transactions(y, cc)
 
 
 def arm_mbo(sources, params: DataFrame, rules: str = "FY26",
             invoice_label: str = DEFAULT_INVOICE_LABEL, cc: DataFrame | None = None) -> DataFrame:
     """MBO arm: reported incentive <- self trace <- source incentive -> measurements -> credits."""
-    cc = credit_core(sources) if cc is None else cc
+    cc = transaction_core(sources) if cc is None else cc
     x = _org_incentive(sources, params, (F.col("s_genericattribute1") == MBO)
                        & _weight_positive("s_genericattribute2"))
     ist = sources["cs_incentiveselftrace"].select(
@@ -311,7 +323,7 @@ def arm_mbo(sources, params: DataFrame, rules: str = "FY26",
 def arm_yoy(sources, params: DataFrame, rules: str = "FY26",
             invoice_label: str = DEFAULT_INVOICE_LABEL, cc: DataFrame | None = None) -> DataFrame:
     """YOY Growth arm: incentive -> measurements -> credits; weight test applies."""
-    cc = credit_core(sources) if cc is None else cc
+    cc = transaction_core(sources) if cc is None else cc
     x = _org_incentive(sources, params, (F.col("s_genericattribute1") == YOY)
                        & _weight_positive("s_genericattribute2"))
     y = _to_credits(sources, x, "s", cc)
@@ -332,7 +344,7 @@ def arm_yoy(sources, params: DataFrame, rules: str = "FY26",
 def arm_cip(sources, params: DataFrame, rules: str = "FY26",
             invoice_label: str = DEFAULT_INVOICE_LABEL, cc: DataFrame | None = None) -> DataFrame:
     """CIP / Payment Adjustment arm: as YOY without the weight test."""
-    cc = credit_core(sources) if cc is None else cc
+    cc = transaction_core(sources) if cc is None else cc
     x = _org_incentive(sources, params, F.col("s_genericattribute1").isin(*CIP_ELEMENTS))
     y = _to_credits(sources, x, "s", cc)
     cols = {**_common(invoice_label), **_credit_cols(invoice_label),
@@ -364,7 +376,7 @@ def arm_regular_fy25(sources, params: DataFrame, invoice_label: str = DEFAULT_IN
                      cc: DataFrame | None = None) -> DataFrame:
     """FY25 regular arm: reported incentive <- self trace <- source incentive -> commission ->
     credit. No plan-element exclusion and no DISTINCT."""
-    cc = credit_core(sources) if cc is None else cc
+    cc = transaction_core(sources) if cc is None else cc
     x = _org_incentive(sources, params, _weight_positive("s_genericattribute2"))
     ist = sources["cs_incentiveselftrace"].select(
         F.col("sourceincentiveseq").alias("ist_source"),
@@ -381,8 +393,10 @@ def arm_regular_fy25(sources, params: DataFrame, invoice_label: str = DEFAULT_IN
         F.col("value").alias("co_value"), F.col("ratevalue").alias("co_rate"))
     x = x.join(co, (x.t_periodseq == co.co_period) & (x.t_processingunitseq == co.co_unit)
                & (x.t_positionseq == co.co_position) & (x.t_incentiveseq == co.co_inc))
-    y = x.join(cc, (cc.c_period == x.co_period) & (cc.c_unit == x.co_unit)
-               & (cc.c_position == x.co_position) & (cc.c_seq == x.co_credit))
+    c = credits(sources)
+    y = x.join(c, (c.c_period == x.co_period) & (c.c_unit == x.co_unit)
+               & (c.c_position == x.co_position) & (c.c_seq == x.co_credit))
+    y = with_transactions(y, cc)
     fx = fx_rate("s_genericattribute4")
     rate = F.col("co_rate")
     cols = {**_common(invoice_label), **_credit_cols(invoice_label),
@@ -411,7 +425,7 @@ def accrual_staging(sources, params: DataFrame, rules: str = "FY26",
     """Bag union of the five arms: 58 columns + arm + parse_failed."""
     if rules not in RULES:
         raise ValueError(f"rules must be one of {RULES}")
-    cc = credit_core(sources)
+    cc = transaction_core(sources)
     regular = (arm_regular_fy25(sources, params, invoice_label, cc) if rules == "FY25"
                else arm_regular(sources, params, invoice_label, cc))
     arms = [regular,
