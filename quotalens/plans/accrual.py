@@ -54,6 +54,10 @@ def _params(params: DataFrame) -> DataFrame:
 
 def org_in_run(sources, params: DataFrame) -> DataFrame:
     """Org snapshot rows of the run's unit and target periods (params broadcast)."""
+    return sources.memo(("org", id(params)), lambda: _org_in_run(sources, params))
+
+
+def _org_in_run(sources, params: DataFrame) -> DataFrame:
     h = sources["rpt_orgdata"].select(
         F.col("processingunitseq").alias("h_unit"), F.col("periodseq").alias("h_period"),
         F.col("payeeseq").alias("h_payeeseq"), F.col("positionseq").alias("h_positionseq"),
@@ -67,6 +71,10 @@ def org_in_run(sources, params: DataFrame) -> DataFrame:
 
 def transaction_core(sources) -> DataFrame:
     """Live order x model-0 transaction x live event type (event types broadcast)."""
+    return sources.memo("txn_core", lambda: _transaction_core(sources))
+
+
+def _transaction_core(sources) -> DataFrame:
     so = live(sources["cs_salesorder"]).select(
         F.col("salesorderseq").alias("so_seq"), F.col("orderid").alias("so_orderid"))
     st = sources["cs_salestransaction"].where(F.col("modelseq") == 0).select(
@@ -89,6 +97,10 @@ def transaction_core(sources) -> DataFrame:
 
 def credits(sources) -> DataFrame:
     """Credit x live credit type (credit types broadcast)."""
+    return sources.memo("credits", lambda: _credits(sources))
+
+
+def _credits(sources) -> DataFrame:
     c = sources["cs_credit"].select(
         F.col("creditseq").alias("c_seq"), F.col("name").alias("c_name"),
         F.col("credittypeseq").alias("c_type"), F.col("salestransactionseq").alias("c_txn"),
@@ -112,6 +124,10 @@ def credit_core(sources) -> DataFrame:
 
 
 def _incentive(sources, prefix: str) -> DataFrame:
+    return sources.memo(("incentive", prefix), lambda: _incentive_build(sources, prefix))
+
+
+def _incentive_build(sources, prefix: str) -> DataFrame:
     inc = sources["cs_incentive"]
     return inc.select(*[F.col(c).alias(f"{prefix}_{c}") for c in (
         "incentiveseq", "name", "positionseq", "periodseq", "processingunitseq",
@@ -268,8 +284,8 @@ def _org_incentive(sources, params: DataFrame, cond: Column) -> DataFrame:
     return h.join(s, (h.h_period == s.s_periodseq) & (h.h_positionseq == s.s_positionseq))
 
 
-def _to_credits(sources, x: DataFrame, inc_prefix: str, cc: DataFrame) -> DataFrame:
-    """incentive -> incentive trace -> measurement -> credit trace -> credit core."""
+def _to_credits(sources, x: DataFrame, inc_prefix: str) -> DataFrame:
+    """incentive -> incentive trace -> measurement -> credit trace -> credit (+ type)."""
     ipm = sources["cs_incentivepmtrace"].select(
         F.col("incentiveseq").alias("i_inc"), F.col("measurementseq").alias("i_meas"),
         F.col("targetperiodseq").alias("i_tperiod"), F.col("processingunitseq").alias("i_unit"))
@@ -288,14 +304,35 @@ def _to_credits(sources, x: DataFrame, inc_prefix: str, cc: DataFrame) -> DataFr
     y = x.join(b, (inc == b.i_inc) & (F.col(f"{inc_prefix}_periodseq") == b.i_tperiod)
                & (F.col(f"{inc_prefix}_processingunitseq") == b.i_unit))
     c = credits(sources)
-    y = y.join(c, (c.c_period == y.p_tperiod) & (c.c_unit == y.p_unit) & (c.c_seq == y.p_credit))
-    return with_transactions(y, cc)
-
-
-def arm_mbo(sources, params: DataFrame, rules: str = "FY26",
-            invoice_label: str = DEFAULT_INVOICE_LABEL, cc: DataFrame | None = None) -> DataFrame:
-    """MBO arm: reported incentive <- self trace <- source incentive -> measurements -> credits."""
-    cc = transaction_core(sources) if cc is None else cc
+    return y.join(c, (c.c_period == y.p_tperiod) & (c.c_unit == y.p_unit) & (c.c_seq == y.p_credit))
+
+
+# The MBO, YOY Growth, CIP and FY25-regular arms differ only in which incentive reaches which
+# credit and in a handful of measures. Each arm is first built as a narrow "pre-staging" row
+# (org + credit + incentive/commission fields, one shared schema); the arms are unioned and
+# the transaction core - the widest dimension - is joined ONCE for all of them; the measures
+# are then picked per arm with CASE on the arm name.
+PRE_TYPES = {
+    "s_incentiveseq": "bigint", "t_incentiveseq": "bigint", "s_genericattribute1": "string",
+    "s_genericattribute4": "string", "s_value": "decimal(25,10)",
+    "s_genericnumber1": "decimal(25,10)", "s_genericnumber6": "decimal(25,10)",
+    "co_seq": "bigint", "co_value": "decimal(25,10)", "co_rate": "decimal(25,10)",
+}
+ORG_COLS = ["v_period", "v_periodname", "v_unit", "v_unitname", "h_payeeseq", "h_positionseq",
+            "h_payeeid", "h_fullname", "h_m1", "h_m2", "h_division", "h_cc_dept", "h_currency"]
+CREDIT_COLS = ["c_seq", "c_name", "ct_id", "c_txn", "c_unit", "c_value", "c_gn2", "c_gn3",
+               "c_gn6"]
+
+
+def _pre(df: DataFrame, arm: str) -> DataFrame:
+    """Project an arm's joined rows to the shared pre-staging schema (typed NULL padding)."""
+    have = set(df.columns)
+    extra = [(F.col(c) if c in have else F.lit(None)).cast(t).alias(c) for c, t in PRE_TYPES.items()]
+    return df.select(*ORG_COLS, *CREDIT_COLS, *extra, F.lit(arm).alias("arm"))
+
+
+def _pre_mbo(sources, params: DataFrame) -> DataFrame:
+    """MBO: reported incentive <- self trace <- source incentive -> measurements -> credits."""
     x = _org_incentive(sources, params, (F.col("s_genericattribute1") == MBO)
                        & _weight_positive("s_genericattribute2"))
     ist = sources["cs_incentiveselftrace"].select(
@@ -305,78 +342,25 @@ def arm_mbo(sources, params: DataFrame, rules: str = "FY26",
     x = x.join(ist, (x.s_incentiveseq == ist.ist_target) & (ist.ist_speriod == x.s_periodseq))
     t = _incentive(sources, "t").select("t_incentiveseq", "t_periodseq", "t_processingunitseq")
     x = x.join(t, x.ist_source == t.t_incentiveseq)
-    y = _to_credits(sources, x, "t", cc)
-    trxn = (F.col("c_gn2") * 100 if rules == "FY25"
-            else F.col("st_value") * F.col("c_gn3") * 100)
-    cols = {**_common(invoice_label), **_credit_cols(invoice_label),
-            "incentiveseq": F.col("s_incentiveseq"), "source_incentiveseq": F.col("t_incentiveseq"),
-            "nativecurrencyamount": F.col("c_gn2") * 100,
-            "exchange_rate": F.col("c_gn3") * 100,
-            "trxn_amount": trxn,
-            "ti_loc": F.col("c_gn6"),
-            "commission_lc": F.col("c_value"),
-            "commission_usd": F.col("c_value") * F.col("c_gn3"),
-            "plan_element": F.col("s_genericattribute1")}
-    return _staging_row(y, "mbo", cols)
+    return _pre(_to_credits(sources, x, "t"), "mbo")
 
 
-def arm_yoy(sources, params: DataFrame, rules: str = "FY26",
-            invoice_label: str = DEFAULT_INVOICE_LABEL, cc: DataFrame | None = None) -> DataFrame:
-    """YOY Growth arm: incentive -> measurements -> credits; weight test applies."""
-    cc = transaction_core(sources) if cc is None else cc
+def _pre_yoy(sources, params: DataFrame) -> DataFrame:
+    """YOY Growth: incentive -> measurements -> credits; the weight test applies."""
     x = _org_incentive(sources, params, (F.col("s_genericattribute1") == YOY)
                        & _weight_positive("s_genericattribute2"))
-    y = _to_credits(sources, x, "s", cc)
-    fx = fx_rate("s_genericattribute4")
-    trxn = F.col("c_value") * 100 if rules == "FY25" else F.col("st_value") * fx
-    cols = {**_common(invoice_label), **_credit_cols(invoice_label),
-            "incentiveseq": F.col("s_incentiveseq"),
-            "nativecurrencyamount": F.col("c_value") * 100,
-            "exchange_rate": fx,
-            "trxn_amount": trxn,
-            "ti_loc": F.col("c_gn6"),
-            "commission_lc": F.col("s_value"),
-            "commission_usd": F.col("s_value") * fx_rate("s_genericattribute4", per_cent=True),
-            "plan_element": F.col("s_genericattribute1")}
-    return _staging_row(y, "yoy", cols, F.col("s_genericattribute4"))
+    return _pre(_to_credits(sources, x, "s"), "yoy")
 
 
-def arm_cip(sources, params: DataFrame, rules: str = "FY26",
-            invoice_label: str = DEFAULT_INVOICE_LABEL, cc: DataFrame | None = None) -> DataFrame:
-    """CIP / Payment Adjustment arm: as YOY without the weight test."""
-    cc = transaction_core(sources) if cc is None else cc
+def _pre_cip(sources, params: DataFrame) -> DataFrame:
+    """CIP / Payment Adjustment: as YOY without the weight test."""
     x = _org_incentive(sources, params, F.col("s_genericattribute1").isin(*CIP_ELEMENTS))
-    y = _to_credits(sources, x, "s", cc)
-    cols = {**_common(invoice_label), **_credit_cols(invoice_label),
-            "incentiveseq": F.col("s_incentiveseq"),
-            "nativecurrencyamount": F.col("st_native"),
-            "exchange_rate": F.col("c_gn3") * 100,
-            "trxn_amount": F.col("c_gn2") * 100,
-            "ti_loc": F.col("c_gn6"),
-            "commission_lc": F.col("c_value"),
-            "commission_usd": F.col("c_value") * F.col("c_gn3"),
-            "plan_element": F.col("s_genericattribute1")}
-    return _staging_row(y, "cip", cols)
-
-
-def arm_guarantee(sources, params: DataFrame, invoice_label: str = DEFAULT_INVOICE_LABEL,
-                  cc: DataFrame | None = None) -> DataFrame:
-    """Guarantee arm: org x 'IO Guarantee' incentives only; no transaction columns."""
-    x = _org_incentive(sources, params, F.col("s_name").isin(*GUARANTEE_NAMES))
-    cols = {**_common(invoice_label),
-            "credit_name": F.lit(GUARANTEE_LABEL),
-            "credit_type": F.col("s_genericattribute1"),
-            "exchange_rate": fx_rate("s_genericattribute4"),
-            "commission_lc": F.col("s_value"),
-            "commission_usd": F.col("s_value") * fx_rate("s_genericattribute4", per_cent=True)}
-    return _staging_row(x, "guarantee", cols, F.col("s_genericattribute4"))
+    return _pre(_to_credits(sources, x, "s"), "cip")
 
 
-def arm_regular_fy25(sources, params: DataFrame, invoice_label: str = DEFAULT_INVOICE_LABEL,
-                     cc: DataFrame | None = None) -> DataFrame:
-    """FY25 regular arm: reported incentive <- self trace <- source incentive -> commission ->
+def _pre_regular_fy25(sources, params: DataFrame) -> DataFrame:
+    """FY25 regular: reported incentive <- self trace <- source incentive -> commission ->
     credit. No plan-element exclusion and no DISTINCT."""
-    cc = transaction_core(sources) if cc is None else cc
     x = _org_incentive(sources, params, _weight_positive("s_genericattribute2"))
     ist = sources["cs_incentiveselftrace"].select(
         F.col("sourceincentiveseq").alias("ist_source"),
@@ -396,24 +380,125 @@ def arm_regular_fy25(sources, params: DataFrame, invoice_label: str = DEFAULT_IN
     c = credits(sources)
     y = x.join(c, (c.c_period == x.co_period) & (c.c_unit == x.co_unit)
                & (c.c_position == x.co_position) & (c.c_seq == x.co_credit))
-    y = with_transactions(y, cc)
+    return _pre(y, "regular")
+
+
+def _by_arm(cases: dict[str, Column]) -> dict[str, Column]:
+    return cases
+
+
+def _case_on_arm(name: str, cases) -> Column:
+    """CASE arm WHEN ... THEN ... END (NULL for arms not listed).
+
+    Every branch is cast to the staging type first: a CASE over decimals of different scales
+    would otherwise widen to a common type and drop digits from the exact ones.
+    """
+    typ = STAGING_TYPES[name]
+    if isinstance(cases, Column):
+        return cases.cast(typ)
+    out = None
+    for arm, expr in cases.items():
+        cond, val = F.col("arm") == arm, expr.cast(typ)
+        out = F.when(cond, val) if out is None else out.when(cond, val)
+    return out
+
+
+def _credit_arm_measures(rules: str) -> tuple[dict[str, Column], Column]:
+    """Per-arm measures of the credit arms (column -> CASE on arm) and the parse-failure flag."""
+    c = F.col
     fx = fx_rate("s_genericattribute4")
-    rate = F.col("co_rate")
-    cols = {**_common(invoice_label), **_credit_cols(invoice_label),
-            "commissionseq": F.col("co_seq"), "incentiveseq": F.col("s_incentiveseq"),
-            "source_incentiveseq": F.col("t_incentiveseq"),
-            "nativecurrencyamount": F.coalesce(F.col("st_native"), F.lit(0)),
-            "exchange_rate": fx,
+    fx100 = fx_rate("s_genericattribute4", per_cent=True)
+    rate = c("co_rate")
+    fy25 = rules == "FY25"
+    cols = {
+        "commissionseq": _by_arm({"regular": c("co_seq")}),
+        "incentiveseq": c("s_incentiveseq"),
+        "source_incentiveseq": _by_arm({"mbo": c("t_incentiveseq"), "regular": c("t_incentiveseq")}),
+        "nativecurrencyamount": _by_arm({
+            "mbo": c("c_gn2") * 100, "yoy": c("c_value") * 100, "cip": c("st_native"),
+            "regular": F.coalesce(c("st_native"), F.lit(0))}),
+        "exchange_rate": _by_arm({"mbo": c("c_gn3") * 100, "yoy": fx, "cip": c("c_gn3") * 100,
+                                  "regular": fx}),
+        "trxn_amount": _by_arm({
+            "mbo": c("c_gn2") * 100 if fy25 else c("st_value") * c("c_gn3") * 100,
+            "yoy": c("c_value") * 100 if fy25 else c("st_value") * fx,
+            "cip": c("c_gn2") * 100,
             # a zero rate gives NULL (counted by step_log) where the reference would stop
-            "trxn_amount": F.try_divide(F.col("co_value").cast("double"), rate.cast("double")),
-            "quota": F.col("s_genericnumber1"), "ti_loc": F.col("s_genericnumber6"),
-            "tier_rate": tier_rate(rate, F.col("s_genericnumber1"), F.col("s_genericnumber6")),
-            "ratevalue": rate,
-            "commission_lc": F.col("co_value"),
-            "commission_usd": F.col("co_value") * fx_rate("s_genericattribute4", per_cent=True),
-            "plan_element": F.col("s_genericattribute1")}
-    failed_text = F.when(rate == 0, F.lit("zero rate")).otherwise(F.col("s_genericattribute4"))
-    return _staging_row(y, "regular", cols, failed_text)
+            "regular": F.try_divide(c("co_value").cast("double"), rate.cast("double"))}),
+        "quota": _by_arm({"regular": c("s_genericnumber1")}),
+        "ti_loc": _by_arm({"mbo": c("c_gn6"), "yoy": c("c_gn6"), "cip": c("c_gn6"),
+                           "regular": c("s_genericnumber6")}),
+        "tier_rate": _by_arm({"regular": tier_rate(rate, c("s_genericnumber1"),
+                                                   c("s_genericnumber6"))}),
+        "ratevalue": _by_arm({"regular": rate}),
+        "commission_lc": _by_arm({"mbo": c("c_value"), "yoy": c("s_value"), "cip": c("c_value"),
+                                  "regular": c("co_value")}),
+        "commission_usd": _by_arm({"mbo": c("c_value") * c("c_gn3"), "yoy": c("s_value") * fx100,
+                                   "cip": c("c_value") * c("c_gn3"),
+                                   "regular": c("co_value") * fx100}),
+        "plan_element": c("s_genericattribute1"),
+    }
+    text = c("s_genericattribute4")
+    bad_text = text.isNotNull() & decorated_number(text).isNull()
+    failed = (F.when((c("arm") == "yoy") & bad_text, 1)
+              .when((c("arm") == "regular") & ((rate == 0) | bad_text), 1).otherwise(0))
+    return cols, failed
+
+
+def credit_arms(sources, params: DataFrame, arms: list[str], rules: str = "FY26",
+                invoice_label: str = DEFAULT_INVOICE_LABEL,
+                cc: DataFrame | None = None) -> DataFrame:
+    """Staging rows of the credit arms in ``arms`` (mbo, yoy, cip, and 'regular' = FY25's),
+    built with one transaction-core join for all of them."""
+    build = {"mbo": _pre_mbo, "yoy": _pre_yoy, "cip": _pre_cip, "regular": _pre_regular_fy25}
+    pre = reduce(DataFrame.unionByName, [build[a](sources, params) for a in arms])
+    y = with_transactions(pre, transaction_core(sources) if cc is None else cc)
+    measures, failed = _credit_arm_measures(rules)
+    cols = {**_common(invoice_label), **_credit_cols(invoice_label),
+            **{k: _case_on_arm(k, v) for k, v in measures.items()}}
+    out = []
+    pad = _null_padding()
+    for name in STAGING_NAMES:
+        c = cols.get(name)
+        out.append(pad[name] if c is None else c.cast(STAGING_TYPES[name]).alias(name))
+    return y.select(*out, "arm", failed.alias("parse_failed"))
+
+
+def arm_mbo(sources, params: DataFrame, rules: str = "FY26",
+            invoice_label: str = DEFAULT_INVOICE_LABEL, cc: DataFrame | None = None) -> DataFrame:
+    """MBO arm: reported incentive <- self trace <- source incentive -> measurements -> credits."""
+    return credit_arms(sources, params, ["mbo"], rules, invoice_label, cc)
+
+
+def arm_yoy(sources, params: DataFrame, rules: str = "FY26",
+            invoice_label: str = DEFAULT_INVOICE_LABEL, cc: DataFrame | None = None) -> DataFrame:
+    """YOY Growth arm: incentive -> measurements -> credits; weight test applies."""
+    return credit_arms(sources, params, ["yoy"], rules, invoice_label, cc)
+
+
+def arm_cip(sources, params: DataFrame, rules: str = "FY26",
+            invoice_label: str = DEFAULT_INVOICE_LABEL, cc: DataFrame | None = None) -> DataFrame:
+    """CIP / Payment Adjustment arm: as YOY without the weight test."""
+    return credit_arms(sources, params, ["cip"], rules, invoice_label, cc)
+
+
+def arm_regular_fy25(sources, params: DataFrame, invoice_label: str = DEFAULT_INVOICE_LABEL,
+                     cc: DataFrame | None = None) -> DataFrame:
+    """FY25 regular arm (commission-based, no exclusion, no DISTINCT)."""
+    return credit_arms(sources, params, ["regular"], "FY25", invoice_label, cc)
+
+
+def arm_guarantee(sources, params: DataFrame, invoice_label: str = DEFAULT_INVOICE_LABEL,
+                  cc: DataFrame | None = None) -> DataFrame:
+    """Guarantee arm: org x 'IO Guarantee' incentives only; no transaction columns."""
+    x = _org_incentive(sources, params, F.col("s_name").isin(*GUARANTEE_NAMES))
+    cols = {**_common(invoice_label),
+            "credit_name": F.lit(GUARANTEE_LABEL),
+            "credit_type": F.col("s_genericattribute1"),
+            "exchange_rate": fx_rate("s_genericattribute4"),
+            "commission_lc": F.col("s_value"),
+            "commission_usd": F.col("s_value") * fx_rate("s_genericattribute4", per_cent=True)}
+    return _staging_row(x, "guarantee", cols, F.col("s_genericattribute4"))
 
 
 # ---------------------------------------------------------------------------------------
@@ -422,17 +507,22 @@ def arm_regular_fy25(sources, params: DataFrame, invoice_label: str = DEFAULT_IN
 
 def accrual_staging(sources, params: DataFrame, rules: str = "FY26",
                     invoice_label: str = DEFAULT_INVOICE_LABEL) -> DataFrame:
-    """Bag union of the five arms: 58 columns + arm + parse_failed."""
+    """Bag union of the five arms: 58 columns + arm + parse_failed.
+
+    FY26: the regular arm (own transaction join: its DISTINCT needs those columns) + one
+    combined job for MBO/YOY/CIP + guarantee. FY25: one combined job for all four credit arms.
+    """
     if rules not in RULES:
         raise ValueError(f"rules must be one of {RULES}")
     cc = transaction_core(sources)
-    regular = (arm_regular_fy25(sources, params, invoice_label, cc) if rules == "FY25"
-               else arm_regular(sources, params, invoice_label, cc))
-    arms = [regular,
-            arm_mbo(sources, params, rules, invoice_label, cc),
-            arm_yoy(sources, params, rules, invoice_label, cc),
-            arm_cip(sources, params, rules, invoice_label, cc),
-            arm_guarantee(sources, params, invoice_label, cc)]
+    if rules == "FY25":
+        credit = credit_arms(sources, params, ["regular", "mbo", "yoy", "cip"], rules,
+                             invoice_label, cc)
+        arms = [credit]
+    else:
+        arms = [arm_regular(sources, params, invoice_label, cc),
+                credit_arms(sources, params, ["mbo", "yoy", "cip"], rules, invoice_label, cc)]
+    arms.append(arm_guarantee(sources, params, invoice_label))
     return reduce(DataFrame.unionByName, arms)
 
 

@@ -65,6 +65,13 @@ class Sources(Mapping):
         except KeyError as exc:
             raise AttributeError(name) from exc
 
+    def memo(self, key, build):
+        """Reuse a derived DataFrame (immutable) across the steps of one report build."""
+        cache = self.__dict__.setdefault("_memo", {})
+        if key not in cache:
+            cache[key] = build()
+        return cache[key]
+
     def with_table(self, name: str, df: DataFrame) -> "Sources":
         frames = dict(self._frames)
         frames[name.lower()] = df
