@@ -7,6 +7,7 @@ tables. Standard run parameters: unit 'PU1', calendar 'Main Fiscal Calendar', pe
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,8 +36,12 @@ _DERIVED: dict = {}
 
 
 def sources_for(spark: SparkSession, sf_dir: str):
-    """Derived tables for ``sf_dir``, built once per session (lazy DataFrames)."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
+    """Derived tables for ``sf_dir``: derived once per session (shared intermediates are
+    checkpointed in the session's checkpoint folder), then lazy projections over them."""
+    # Release DataFrame proxies of earlier queries now: each keeps its executed plan (and the
+    # broadcast relations in it) reachable in the driver JVM until Python collects it.
+    gc.collect()
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _DERIVED:
         _DERIVED[key] = derive(spark, sf_dir)
     return _DERIVED[key]

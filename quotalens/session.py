@@ -16,6 +16,10 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # the report plans are large; keep few finished executions' plan graphs in driver memory
+    "spark.sql.ui.retainedExecutions": "20",
+    "spark.ui.retainedJobs": "200",
+    "spark.ui.retainedStages": "200",
 }
 
 

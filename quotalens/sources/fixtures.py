@@ -303,14 +303,18 @@ def derive(spark: SparkSession, sf_dir: str) -> Sources:
     from quotalens.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
     orders = _orders(spark, sf_dir)
-    cust = _customers(spark, sf_dir)
+    # customers (x nation x region) feed five tables; checkpoint once (lineage cut, small)
+    cust = _customers(spark, sf_dir).checkpoint(eager=True)
     # The period calendar is read by every hierarchy level and lookup; it is calendar-sized
     # (months x 2 + quarters + halves + years), so compute it once and cut its lineage with a
     # reliable checkpoint (shared checkpoint folder) instead of re-scanning orders per use.
     periods = _periods(orders).checkpoint(eager=True)
     period_types = _period_types(spark, periods).checkpoint(eager=True)
-    tx = _transactions(spark, sf_dir, orders)
-    mkeys = _measurement_keys(orders)
+    # the lineitem aggregate joined to orders feeds transactions, credits, credit traces,
+    # commissions and addresses: computed once and read back from the checkpoint, so report
+    # plans stay small instead of repeating the aggregation in every branch
+    tx = _transactions(spark, sf_dir, orders).checkpoint(eager=True)
+    mkeys = _measurement_keys(orders).checkpoint(eager=True)
 
     def processingunit():
         return spark.createDataFrame([(1, "PU1"), (2, "PU2")],
