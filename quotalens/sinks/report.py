@@ -60,7 +60,7 @@ def full_refresh(df: DataFrame, root: str, name: str) -> DataFrame:
     version folder and the returned DataFrame reads that version (lineage is cut there).
     """
     spark = df.sparkSession
-    version = f"v{_dt.datetime.utcnow():%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
+    version = f"v{_dt.datetime.now(_dt.timezone.utc):%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
     path = os.path.join(root, name, version)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
