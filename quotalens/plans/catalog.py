@@ -44,7 +44,9 @@ def sources_for(spark: SparkSession, sf_dir: str):
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _DERIVED:
         _DERIVED[key] = derive(spark, sf_dir)
-    return _DERIVED[key]
+    src = _DERIVED[key]
+    src.__dict__.pop("_memo", None)  # frames shared within one report build, not across queries
+    return src
 
 
 def setup(spark: SparkSession, sf_dir: str, periods=(PERIOD,)):
