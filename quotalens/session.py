@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -42,17 +41,27 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a scratch one only when the cluster names none."""
+    """Return the shared checkpoint folder of the session.
+
+    ``sc.setCheckpointDir`` wins, then ``spark.checkpoint.dir``. A scratch folder is made only
+    in local mode (tests); elsewhere a missing setting is an error, because a folder of one
+    machine is invisible to the others.
+    """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        # Spark adds a folder of its own below the one that was set
+        return current.rstrip("/").rpartition("/")[0]
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="quotalens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(current)
+    sc.setCheckpointDir(current)
     return current
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (never a machine-local temp dir on a cluster)."""
-    return os.path.join(ensure_checkpoint_dir(spark), *parts)
+    return "/".join([ensure_checkpoint_dir(spark).rstrip("/"), *parts])
