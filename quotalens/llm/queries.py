@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quotalens.llm import fingerprints
+from quotalens.llm import fingerprints, secrets
 from quotalens.llm.common import table
 
 QUERIES: dict = {}
@@ -17,3 +17,8 @@ def query(fn):
 @query
 def op2_lcp_fingerprints(spark, sf_dir):
     return fingerprints.op2(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_secret_scan(spark, sf_dir):
+    return secrets.op3(table(spark, sf_dir, "documents"))
