@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quotalens.llm import fingerprints, secrets
+from quotalens.llm import fingerprints, secrets, toxicity
 from quotalens.llm.common import table
 
 QUERIES: dict = {}
@@ -22,3 +22,8 @@ def op2_lcp_fingerprints(spark, sf_dir):
 @query
 def op3_secret_scan(spark, sf_dir):
     return secrets.op3(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_toxicity(spark, sf_dir):
+    return toxicity.op4(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
