@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quotalens.llm import fingerprints, secrets, toxicity
+from quotalens.llm import fingerprints, langid, secrets, toxicity
 from quotalens.llm.common import table
 
 QUERIES: dict = {}
@@ -27,3 +27,8 @@ def op3_secret_scan(spark, sf_dir):
 @query
 def op4_toxicity(spark, sf_dir):
     return toxicity.op4(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_language_id(spark, sf_dir):
+    return langid.op5(table(spark, sf_dir, "documents"))
