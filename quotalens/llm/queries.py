@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quotalens.llm import fingerprints, langid, secrets, simhash, toxicity
+from quotalens.llm import fingerprints, langid, pieces, secrets, simhash, toxicity
 from quotalens.llm.common import table
 
 QUERIES: dict = {}
@@ -37,3 +37,8 @@ def op5_language_id(spark, sf_dir):
 @query
 def op8_simhash_neardup(spark, sf_dir):
     return simhash.op8(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_sentencepiece(spark, sf_dir):
+    return pieces.op7(table(spark, sf_dir, "documents"))
