@@ -29,7 +29,9 @@ from quotalens.llm.common import ragged_arange, steps
 
 SPACE = "▁"
 BASE = np.uint64(0x9E3779B97F4A7C15)
-KEEP_WORDS = 200_000  # cache entries a task keeps; a cache only
+TOP = np.uint64(44)     # 20 bits of a key probe the bit table
+WHOLE = 64             # a longer word is cut wherever no piece reaches across
+KEEP_WORDS = 400_000  # cache entries a task keeps; a cache only
 
 
 def _hash(points: np.ndarray) -> np.uint64:
@@ -54,6 +56,7 @@ class Vocabulary:
     bytes_ids: list[int]           # id of byte piece b
     chars: set[str]
     inside: set[str]               # pairs of characters that some piece has side by side
+    maybe: np.ndarray              # bit table over the top bits of the keys: a quick no
     unknown: float
     rank: np.ndarray = field(default=None)
     left: np.ndarray = field(default=None)     # rank of each rank's left part (itself: single)
@@ -110,6 +113,7 @@ def build(rows: list[tuple[str, float, int]], merges: bool) -> Vocabulary:
                    max((len(t) for t in keyed), default=1), bytes_ids,
                    {t for t in usable if len(t) == 1},
                    {t[i:i + 2] for t in usable for i in range(len(t) - 1)},
+                   np.bincount((keys >> TOP).astype(np.int64), minlength=1 << 20) > 0,
                    float(scores.min(initial=0)) - 10)
     if merges:
         single = [t for t in keyed if len(t) == 1]
@@ -183,8 +187,11 @@ def encode_equal(v: Vocabulary, points: np.ndarray) -> list[np.ndarray]:
     for end in range(1, size + 1):
         lengths = np.arange(1, min(end, wide) + 1)
         probe = hashed[:, end, None] - hashed[:, end - lengths] * power[lengths]
-        at = np.minimum(np.searchsorted(v.keys, probe), len(v.keys) - 1)
-        ids = np.where(v.keys[at] == probe, v.key_ids[at], -1)
+        row, col = np.nonzero(v.maybe[(probe >> TOP).astype(np.int64)])
+        found = probe[row, col]
+        at = np.minimum(np.searchsorted(v.keys, found), len(v.keys) - 1)
+        ids = np.full(probe.shape, -1, np.int64)
+        ids[row, col] = np.where(v.keys[at] == found, v.key_ids[at], -1)
         value = np.where(ids >= 0, best[:, end - lengths], -np.inf)
         if v.merges:
             r, c = np.nonzero((value > -np.inf) & (lengths < end))
@@ -221,6 +228,13 @@ class Encoder:
     def _cut(self, word: str) -> list[tuple[str, bool]]:
         """(stretch, has pieces): no piece reaches across two stretches."""
         chars, inside, out, at = self.v.chars, self.v.inside, [], 0
+        if len(word) <= WHOLE:
+            if chars.issuperset(word):
+                return [(word, True)]
+            if "\n" in word:  # the commonest character without a piece
+                for k, part in enumerate(word.split("\n")):
+                    out += [("\n", "\n" in chars)] * (k > 0) + (self._cut(part) if part else [])
+                return out
         for i in range(1, len(word) + 1):
             if i == len(word) or word[i - 1:i + 1] not in inside:
                 part = word[at:i]
