@@ -90,3 +90,50 @@ def ragged_arange(counts: np.ndarray) -> np.ndarray:
     total = int(counts.sum())
     starts = np.cumsum(counts) - counts
     return np.arange(total, dtype=np.int64) - np.repeat(starts, counts)
+
+
+_ODD = 0x9E3779B97F4A7C15
+#: ASCII letters in lower case and digits keep a value, other ASCII bytes separate words.
+_WORD = np.array([c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or 48 <= c <= 57 or c >= 128
+                  else 0 for c in range(256)], np.uint8)
+_POWERS: dict[str, np.ndarray] = {}
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number modulo 2**64 and of its inverse, at least ``n`` of them."""
+    if len(_POWERS.get("up", ())) < n:
+        for name, base in (("up", _ODD), ("down", pow(_ODD, -1, 1 << 64))):
+            out = np.full(max(n, STEP_BYTES + (1 << 18)), base, np.uint64)
+            out[0] = 1
+            _POWERS[name] = np.multiply.accumulate(out)
+    return _POWERS["up"], _POWERS["down"]
+
+
+def words_of(raw: np.ndarray, offs: np.ndarray):
+    """Words of texts laid end to end, without a Python object per word.
+
+    A word is a run of ASCII letters, digits and non-ASCII bytes; ASCII case is folded. Returns
+    64-bit hashes that depend on the word alone, byte starts and ends, and word offsets by text.
+    """
+    code = _WORD[raw]
+    n = len(raw)
+    inside = code != 0
+    edge = np.empty(n + 1, bool)
+    if n:
+        edge[0], edge[n] = inside[0], inside[-1]
+        np.not_equal(inside[1:], inside[:-1], out=edge[1:n])
+        cut = offs[1:-1][(offs[1:-1] > 0) & (offs[1:-1] < n)]
+        cut = cut[inside[cut - 1] & inside[cut]]  # words that touch across two texts
+    else:
+        edge[0], cut = False, np.zeros(0, np.int64)
+    at = np.flatnonzero(edge)
+    starts, ends = at[0::2], at[1::2]
+    if len(cut):
+        cut = np.unique(cut)
+        starts = np.sort(np.concatenate([starts, cut]))
+        ends = np.sort(np.concatenate([ends, cut]))
+    up, down = _powers(n + 1)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(code * up[:n], out=sums[1:])
+    hashes = mix64((sums[ends] - sums[starts]) * down[starts])
+    return hashes, starts, ends, np.searchsorted(starts, offs)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quotalens.llm import fingerprints, langid, pieces, secrets, simhash, toxicity
+from quotalens.llm import decontaminate, fingerprints, langid, pieces, secrets, simhash, toxicity
 from quotalens.llm.common import table
 
 QUERIES: dict = {}
@@ -42,3 +42,8 @@ def op8_simhash_neardup(spark, sf_dir):
 @query
 def op7_sentencepiece(spark, sf_dir):
     return pieces.op7(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_decontamination(spark, sf_dir):
+    return decontaminate.op10(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
