@@ -37,6 +37,7 @@ ANSWERED = 0.45    # enough if the answer is there too
 ANSWER = 0.8
 RARE_FOUND = 0.3   # of an item's rarer words near a window, before any alignment
 BLOCK = 4096
+PIECE = 16
 _SEED = 11
 
 
@@ -65,6 +66,19 @@ def _weights(p: np.ndarray, f: np.ndarray, tf: np.ndarray, idf: np.ndarray, n: i
     return (w / np.maximum(norm[p], 1e-12)).astype(np.float32)
 
 
+def _dense(group: np.ndarray, index: np.ndarray, w: np.ndarray, table: np.ndarray, n: int,
+           width: int) -> np.ndarray:
+    """Weighted sums of table rows by group (sorted, at most ``width`` entries each)."""
+    first = np.searchsorted(group, np.arange(n))
+    pos = np.arange(len(group)) - first[group]
+    at, weight = np.zeros((n, width), np.int64), np.zeros((n, width), np.float32)
+    at[group, pos], weight[group, pos] = index, w
+    out = np.empty((n, table.shape[1]), np.float32)
+    for i in range(0, n, 1024):
+        out[i:i + 1024] = np.matmul(weight[i:i + 1024, None], table[at[i:i + 1024]])[:, 0]
+    return out
+
+
 def _omega() -> np.ndarray:
     return np.random.default_rng(_SEED).normal(size=(FEATURES, RANK)).astype(np.float32)
 
@@ -105,9 +119,7 @@ class Space:
         """Unit latent vectors of n passages given by sorted (passage, feature, tf) entries."""
         out = np.zeros((n, RANK), np.float32)
         if len(p):
-            w = _weights(p, f, tf, self.idf, n)
-            starts = np.flatnonzero(np.append(True, p[1:] != p[:-1]))
-            out[p[starts]] = np.add.reduceat(self.fold[f] * w[:, None], starts, axis=0)
+            out = _dense(p, f, _weights(p, f, tf, self.idf, n), self.fold, n, SPAN)
         norm = np.linalg.norm(out, axis=1, keepdims=True)
         return out / np.maximum(norm, 1e-12)
 
@@ -126,12 +138,17 @@ def fit(docs: DataFrame) -> Space:
             p, f, tf = _entries(_passages(at), _feature(h))
             n = int(p[-1]) + 1
             w = _weights(p, f, tf, idf, n)
-            starts = np.flatnonzero(np.append(True, p[1:] != p[:-1]))
-            z = np.add.reduceat(omega[f] * w[:, None], starts, axis=0)
+            z = _dense(p, f, w, omega, n, SPAN)
+            # by feature: sums of up to PIECE entries, then of those sums
             order = np.argsort(f.astype(np.uint16), kind="stable")
             fs = f[order]
-            first = np.flatnonzero(np.append(True, fs[1:] != fs[:-1]))
-            y[fs[first]] += np.add.reduceat(z[p[order]] * w[order, None], first, axis=0)
+            nth = np.arange(len(fs)) - np.searchsorted(fs, fs)
+            piece = np.cumsum((nth % PIECE == 0)) - 1
+            heads = np.flatnonzero(nth % PIECE == 0)
+            sums = _dense(piece, p[order], w[order], z, len(heads), PIECE)
+            of = fs[heads]
+            first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+            y[of[first]] += np.add.reduceat(sums, first, axis=0)
         f = np.flatnonzero(y.any(axis=1))
         yield pa.RecordBatch.from_pydict({"f": f, **{f"y{k}": y[f, k] for k in range(RANK)}})
 
@@ -160,9 +177,9 @@ class Items:
     """A block of benchmark items, with the tables that the search needs."""
 
     ids: list
-    words: list[np.ndarray]      # word hashes
-    answers: list[np.ndarray]
-    rare: list[np.ndarray]       # sorted hashes of the rarer half
+    words: list[list[int]]       # word hashes
+    answers: list[list[int]]
+    rare: list[set]              # hashes of the rarer half
     vectors: np.ndarray          # latent windows
     of: np.ndarray               # item of each window
     marked: np.ndarray           # bit table of rare hashes
@@ -182,11 +199,11 @@ def prepare(rows: list[tuple[int, str]], space: Space) -> Items:
         sentences = [s for s in re.split(r"(?<=[.!?])\s+|\n+", text) if len(_hashes(s))]
         k = len(ids)
         ids.append(item)
-        words.append(h)
-        answers.append(_hashes(sentences[-1]))
+        words.append(h.tolist())
+        answers.append(_hashes(sentences[-1]).tolist())
         kinds = np.unique(h)
         by_df = kinds[np.argsort(space.df[_feature(kinds)], kind="stable")]
-        rare.append(np.sort(by_df[:max(1, (len(kinds) + 1) // 2)]))
+        rare.append(set(by_df[:max(1, (len(kinds) + 1) // 2)].tolist()))
         for s in range(0, max(1, len(h) - SPAN + ITEM_STRIDE), ITEM_STRIDE):
             wins.append(h[s:s + SPAN])
             of.append(k)
@@ -197,18 +214,18 @@ def prepare(rows: list[tuple[int, str]], space: Space) -> Items:
         vectors = space.rows(p, f, tf, len(wins))
     marked = np.zeros(1 << 20, bool)
     for r in rare:
-        marked[(r >> np.uint64(44)).astype(np.int64)] = True
+        marked[[x >> 44 for x in r]] = True
     return Items(ids, words, answers, rare, vectors, np.array(of, np.int64), marked)
 
 
-def common(a: np.ndarray, b: np.ndarray) -> int:
+def common(a: list[int], b: list[int]) -> int:
     """Length of the longest common subsequence (bit-parallel over a)."""
     where: dict[int, int] = {}
-    for i, x in enumerate(a.tolist()):
+    for i, x in enumerate(a):
         where[x] = where.get(x, 0) | 1 << i
     full = (1 << len(a)) - 1
     row = full
-    for x in b.tolist():
+    for x in b:
         hit = where.get(x)
         if hit:
             u = row & hit
@@ -216,21 +233,16 @@ def common(a: np.ndarray, b: np.ndarray) -> int:
     return len(a) - row.bit_count()
 
 
-def _verify(items: Items, k: int, words: np.ndarray, begin: int) -> tuple[float, float] | None:
-    """(share of the item, share of its answer) found in order near a window, or None."""
-    own = items.words[k]
+def _verify(items: Items, k: int, near: list[int]) -> tuple[float, float] | None:
+    """(share of the item, share of its answer) found in order in a neighbourhood, or None."""
+    own, answer = items.words[k], items.answers[k]
     m = len(own)
-    low, high = max(0, begin - m), min(len(words), begin + SPAN + m)
-    near = words[low:high]
-    if np.isin(items.rare[k], near).sum() < RARE_FOUND * len(items.rare[k]):
-        return None
     size = m + max(2, m // 4)
     best, place = 0, 0
     for s in range(0, max(1, len(near) - size + 1 + size // 8), max(1, size // 8)):
         found = common(own, near[s:s + size])
         if found > best:
             best, place = found, s
-    answer = items.answers[k]
     share = common(answer, near[place:place + size]) / len(answer)
     if best >= SHARE * m or best >= ANSWERED * m and share >= ANSWER:
         return best / m, share
@@ -286,6 +298,7 @@ def _search(docs: DataFrame, ship) -> DataFrame:
 def search(space: Space, items: Items, h: np.ndarray, at: np.ndarray) -> dict:
     """(text, item) -> (cosine, share, answer) over texts given by word hashes and offsets."""
     found: dict = {}
+    listed = h.tolist()
     counts = np.diff(at)
     doc, begin = _windows(counts)
     first = at[doc] + begin
@@ -303,14 +316,20 @@ def search(space: Space, items: Items, h: np.ndarray, at: np.ndarray) -> dict:
         w, j = np.nonzero(cos >= COSINE)
         if not len(w):
             continue
-        order = np.lexsort((-cos[w, j], items.of[j], w))
-        w, j = w[order], j[order]
-        one = np.append(True, (w[1:] != w[:-1]) | (items.of[j][1:] != items.of[j][:-1]))
-        for a, b in zip(w[one].tolist(), j[one].tolist()):
-            d, k = int(doc[i + a]), int(items.of[b])
-            got = _verify(items, k, h[at[d]:at[d + 1]], int(begin[i + a]))
+        pair = w * len(items.ids) + items.of[j]
+        best = np.lexsort((-cos[w, j], pair))
+        best = best[np.append(True, pair[best][1:] != pair[best][:-1])]
+        w, j = w[best], j[best]
+        for a, k, c in zip(w.tolist(), items.of[j].tolist(), cos[w, j].tolist()):
+            d, s, m = int(doc[i + a]), int(begin[i + a]), len(items.words[k])
+            base, end = int(at[d]), int(at[d + 1])
+            near = listed[max(base, base + s - m):min(end, base + s + SPAN + m)]
+            rare = items.rare[k]
+            if len(rare.intersection(near)) < RARE_FOUND * len(rare):
+                continue
+            got = _verify(items, k, near)
             if got and got[0] > found.get((d, k), (0, 0, 0))[1]:
-                found[d, k] = (float(cos[a, b]), *got)
+                found[d, k] = (c, *got)
     return found
 
 
