@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quotalens.llm import decontaminate, fingerprints, langid, pieces, secrets, simhash, toxicity
+from quotalens.llm import decontaminate, fingerprints, langid, pieces, secrets, simhash, substrings, toxicity
 from quotalens.llm.common import table
 
 QUERIES: dict = {}
@@ -47,3 +47,8 @@ def op7_sentencepiece(spark, sf_dir):
 @query
 def op10_decontamination(spark, sf_dir):
     return decontaminate.op10(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_bwt_substrings(spark, sf_dir):
+    return substrings.op6(table(spark, sf_dir, "documents"))
