@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quotalens.llm import decontaminate, fingerprints, langid, pieces, secrets, simhash, substrings, toxicity
+from quotalens.llm import decontaminate, fingerprints, langid, paragraphs, pieces, secrets, simhash, substrings, toxicity
 from quotalens.llm.common import table
 
 QUERIES: dict = {}
@@ -52,3 +52,8 @@ def op10_decontamination(spark, sf_dir):
 @query
 def op6_bwt_substrings(spark, sf_dir):
     return substrings.op6(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_paragraph_minhash(spark, sf_dir):
+    return paragraphs.op1(table(spark, sf_dir, "documents"))
