@@ -243,12 +243,12 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, parts: int = 4, left_out:
     return id_text(docs).where(fold(F.col("doc_id"), parts) != left_out).join(known, "doc_id")
 
 
-def score(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with a column ``toxicity`` (0 to 1) added; null and empty texts are scored too.
+def score(docs: DataFrame, model: Model | None, name: str = "toxicity") -> DataFrame:
+    """``docs`` with a column ``name`` (0 to 1) added; null and empty texts are scored too.
 
-    Without a model (no labelled rows of both classes) every score is 0.
+    A column of that name is replaced. Without a model (no labelled rows of both classes) every
+    score is 0.
     """
-    name = "toxicity"
     ship = docs.sparkSession.sparkContext.broadcast(model)
     kept = [f for f in docs.schema if f.name != name]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept),
@@ -264,6 +264,14 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     return docs.select([f.name for f in kept]).mapInArrow(run, schema)
 
 
+def keep_civil(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
+    """``docs`` without the documents whose score reaches ``cut``."""
+    name = "_toxicity_score"
+    while name in docs.columns:
+        name += "_"
+    return score(docs, fit(labelled_rows(docs, labels)), name).where(F.col(name) < cut).drop(name)
+
+
 def op4(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
     model = fit(labelled_rows(docs, labels))
