@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from quotalens.llm import decontaminate, fingerprints, langid, paragraphs, pieces, secrets, simhash, substrings, toxicity
+from quotalens.llm import (
+    decontaminate, fingerprints, langid, mixing, paragraphs, pieces,
+    secrets, simhash, substrings, toxicity,
+)
 from quotalens.llm.common import table
 
 QUERIES: dict = {}
@@ -57,3 +60,8 @@ def op6_bwt_substrings(spark, sf_dir):
 @query
 def op1_paragraph_minhash(spark, sf_dir):
     return paragraphs.op1(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_context_mixing(spark, sf_dir):
+    return mixing.op9(table(spark, sf_dir, "documents"))
