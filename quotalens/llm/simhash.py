@@ -1,12 +1,15 @@
 """SimHash near-duplicates by vantage-point trees.
 
-Fingerprints are made batch by batch without a shuffle. Different fingerprints are then dealt to
-shards by a vantage-point tree over Hamming space: a point's home is the leaf it falls in, and it
-also visits each later leaf whose region may hold a point within ``radius`` (the triangle bound at
-every vantage point). Each shard builds its own tree over the points that live there and queries
-it with those and with the visitors, so every pair within the radius is found in exactly one
-shard. A shard returns a spanning star per group that it found, not all pairs; the groups of all
-shards are joined by connected components over the table of links.
+Fingerprints are made batch by batch without a shuffle. Random fingerprints lie about 32 +- 4 bits
+apart, so a tree over all 64 bits prunes little at a radius of 4. Therefore one tree is grown for
+each of ``BLOCKS`` groups of bits: two fingerprints within 4 bits are within ``4 // BLOCKS`` bits in
+some group, and there the triangle bound is sharp. Different fingerprints are dealt to shards by
+the tree of each group: a point's home is the leaf it falls in, and it also visits each later
+leaf whose region may hold a point within the bound at every vantage point. Each shard goes on
+with a tree over the points that live there and queries it with those and with the visitors;
+candidates are checked on all 64 bits. So every pair in reach is found at least once. A shard
+returns a spanning star per group of copies, not all pairs; the groups of all shards are joined
+by connected components over the table of links.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from quotalens.llm.components import components
 
 SHINGLE = 4
 RADIUS = 4
+BLOCKS = 3               # groups of bits, one tree each
 SHARD_POINTS = 20_000   # different fingerprints a shard is meant to hold
 LEAF = 256
 SEED = 42
@@ -73,19 +77,26 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return id_text(docs).mapInArrow(run, "doc_id long, fp long")
 
 
+def masks(blocks: int = BLOCKS) -> list[np.uint64]:
+    """Groups of neighbouring bits that together are all 64."""
+    cuts = [64 * k // blocks for k in range(blocks + 1)]
+    return [np.uint64((1 << b) - (1 << a)) for a, b in zip(cuts, cuts[1:])]
+
+
 @dataclass
 class Router:
-    """A complete vantage-point tree in heap order; leaves are shards."""
+    """A complete vantage-point tree in heap order over the bits of ``mask``; leaves are shards."""
 
     points: np.ndarray  # uint64 by inner node
     radii: np.ndarray   # int by inner node; within the radius goes left
     depth: int
+    mask: np.uint64
 
     def shards(self, fp: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, shard, home) triples: each row's home and the later shards in reach."""
         row, node, home = np.arange(len(fp)), np.zeros(len(fp), np.int64), np.ones(len(fp), bool)
         for _ in range(self.depth):
-            d = np.bitwise_count(fp[row] ^ self.points[node]).astype(np.int64)
+            d = np.bitwise_count((fp[row] ^ self.points[node]) & self.mask).astype(np.int64)
             r = self.radii[node]
             left = d <= r
             go_left, go_right = d - reach <= r, d + reach > r
@@ -99,7 +110,7 @@ class Router:
         return row[keep], shard[keep], home[keep]
 
 
-def plant(sample: np.ndarray, depth: int, seed: int = 3) -> Router:
+def plant(sample: np.ndarray, depth: int, mask: np.uint64, seed: int = 3) -> Router:
     """Vantage points and median radii from a sample; it places borders, it drops nothing."""
     rng = np.random.default_rng(seed)
     inner = (1 << depth) - 1
@@ -108,11 +119,11 @@ def plant(sample: np.ndarray, depth: int, seed: int = 3) -> Router:
     for node in range(inner):
         own = held.pop(node, np.zeros(0, np.uint64))
         points[node] = own[rng.integers(len(own))] if len(own) else rng.integers(1 << 62)
-        d = np.bitwise_count(own ^ points[node]).astype(np.int64)
+        d = np.bitwise_count((own ^ points[node]) & mask).astype(np.int64)
         if len(own):
             radii[node] = int(np.median(d)) - int((d <= np.median(d)).all())
         held[2 * node + 1], held[2 * node + 2] = own[d <= radii[node]], own[d > radii[node]]
-    return Router(points, radii, depth)
+    return Router(points, radii, depth, mask)
 
 
 class _Groups:
@@ -136,8 +147,9 @@ class _Groups:
                 self.root = up
 
 
-def link(fp: np.ndarray, home: np.ndarray, reach: int) -> np.ndarray:
-    """Root of each point's group, links being pairs within ``reach`` with one end at home."""
+def link(fp: np.ndarray, home: np.ndarray, reach: int, mask: np.uint64, bound: int) -> np.ndarray:
+    """Root of each point's group: links are pairs within ``reach``, one end at home, whose
+    distance on ``mask`` is at most ``bound``."""
     groups, rng = _Groups(len(fp)), np.random.default_rng(5)
     todo = [(np.flatnonzero(home), np.arange(len(fp)))]
     while todo:
@@ -147,18 +159,18 @@ def link(fp: np.ndarray, home: np.ndarray, reach: int) -> np.ndarray:
         if len(own) > LEAF:
             seen = fp[own]
             vantage = seen[rng.integers(len(seen))]
-            d = np.bitwise_count(seen ^ vantage)
+            d = np.bitwise_count((seen ^ vantage) & mask)
             r = int(np.median(d))
             left = d <= r
             if not left.all():
-                dq = np.bitwise_count(fp[asked] ^ vantage).astype(np.int64)
-                todo += [(own[left], asked[dq - reach <= r]), (own[~left], asked[dq + reach > r])]
+                dq = np.bitwise_count((fp[asked] ^ vantage) & mask).astype(np.int64)
+                todo += [(own[left], asked[dq - bound <= r]), (own[~left], asked[dq + bound > r])]
                 continue
             near = d < r
             if near.any():  # ties at the median: split just below it
-                dq = np.bitwise_count(fp[asked] ^ vantage).astype(np.int64)
-                todo += [(own[near], asked[dq - reach <= r - 1]),
-                         (own[~near], asked[dq + reach > r - 1])]
+                dq = np.bitwise_count((fp[asked] ^ vantage) & mask).astype(np.int64)
+                todo += [(own[near], asked[dq - bound <= r - 1]),
+                         (own[~near], asked[dq + bound > r - 1])]
                 continue
         for i in range(0, len(asked), 4096):
             part = asked[i:i + 4096]
@@ -176,25 +188,30 @@ def links(classes: DataFrame, reach: int = RADIUS, shard_points: int = SHARD_POI
     depth = max(0, int(np.ceil(np.log2(max(1, n) / shard_points))))
     wanted = max(4096, 64 << depth)
     sample = classes.select("fp").orderBy(F.xxhash64("fp")).limit(wanted).toArrow()["fp"]
-    router = plant(sample.to_numpy().view(np.uint64) if n else np.zeros(0, np.uint64), depth)
+    sample = sample.to_numpy().view(np.uint64) if n else np.zeros(0, np.uint64)
+    routers = [plant(sample, depth, mask) for mask in masks()]
+    bound = reach // len(routers)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = b.column("fp").to_numpy().view(np.uint64)
-            row, shard, home = router.shards(fp, reach)
-            yield pa.RecordBatch.from_pydict(
-                {"shard": shard, "fp": b.column("fp").take(pa.array(row)),
-                 "rep": b.column("rep").take(pa.array(row)), "home": home})
+            for k, router in enumerate(routers):
+                row, shard, home = router.shards(fp, bound)
+                yield pa.RecordBatch.from_pydict(
+                    {"tree": np.full(len(row), k), "shard": shard,
+                     "fp": b.column("fp").take(pa.array(row)),
+                     "rep": b.column("rep").take(pa.array(row)), "home": home})
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rep")  # the least id becomes each star's centre
-        root = link(pdf["fp"].to_numpy().view(np.uint64), pdf["home"].to_numpy(), reach)
+        mask = routers[int(pdf["tree"].iloc[0])].mask
+        root = link(pdf["fp"].to_numpy().view(np.uint64), pdf["home"].to_numpy(), reach, mask, bound)
         rep = pdf["rep"].to_numpy()
         leaf = root != np.arange(len(root))
         return pd.DataFrame({"a": rep[leaf], "b": rep[root[leaf]]})
 
-    return (classes.mapInArrow(route, "shard long, fp long, rep long, home boolean")
-            .groupBy("shard").applyInPandas(search, "a long, b long"))
+    return (classes.mapInArrow(route, "tree long, shard long, fp long, rep long, home boolean")
+            .groupBy("tree", "shard").applyInPandas(search, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, reach: int = RADIUS) -> DataFrame:
