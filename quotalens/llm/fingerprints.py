@@ -86,6 +86,8 @@ def _level(symbols: np.ndarray, offs: np.ndarray, level: int) -> tuple[np.ndarra
     start = np.zeros(n, bool)
     if n > 2:
         start[1:-1] = (lab[1:-1] > lab[:-2]) & (lab[1:-1] > lab[2:])
+    ends = offs[1:][offs[:-1] < offs[1:]]
+    start[ends - 1] = False  # a text's last symbol has no right neighbour
     start[first] = True
     at = np.flatnonzero(start)
     sizes = np.diff(np.append(at, n))
