@@ -57,6 +57,27 @@ def fx_factor(c, strict: bool = False) -> Column:
     return F.when(r != 0, (r / 100).cast(FX_DEC)).otherwise(F.lit(0).cast(FX_DEC))
 
 
+def exact_product(a, b) -> Column:
+    """Product of two decimals with all twenty digits behind the point.
+
+    Spark cuts the scale of a product whose full precision passes 38 digits. The operands are
+    therefore narrowed to eleven and six digits before the point, ten behind; a larger operand
+    raises (ANSI) instead of losing digits.
+    """
+    return _c(a).cast("decimal(21,10)") * _c(b).cast("decimal(16,10)")
+
+
+def checked_number(c, what: str) -> Column:
+    """``decorated_number`` that raises on text that is no number (null text stays null).
+
+    For numbers that decide whether a row is kept: a bad one must not remove the row unseen.
+    """
+    n = decorated_number(c)
+    bad = _c(c).isNotNull() & n.isNull()
+    return F.when(bad, F.raise_error(F.concat(F.lit(f"not a number in {what}: "), _c(c)))
+                  .cast("double")).otherwise(n)
+
+
 def fx_rate(c, strict: bool = False, per_cent: bool = False) -> Column:
     """Accrual FX: the parsed rate (NULL stays NULL), optionally /100, as decimal(20,10)."""
     r = decorated_number(c, strict)

@@ -30,6 +30,16 @@ def _exactly_one(matches: DataFrame, key: str, what: str, requested: DataFrame)
     return joined.where(check).drop("_n")
 
 
+def period_keys(sources, params: DataFrame) -> list[int]:
+    """Keys of the target periods: calendar-sized, so they can stand in plans as literals.
+
+    A literal list prunes period-partitioned facts at planning time. The entry keeps the frame
+    alive, so its id can't come to name another one.
+    """
+    return sources.memo(("period-keys", id(params)), lambda: (params, sorted(
+        r[0] for r in params.select("target_periodseq").distinct().collect())))[1]
+
+
 def params(sources, processing_unit: str, periods: Sequence[str] | None,
            calendar: str = DEFAULT_CALENDAR, materialize: bool = True) -> DataFrame:
     """One row per target period (checkpointed: lookups are validated here).

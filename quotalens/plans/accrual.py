@@ -17,16 +17,20 @@ Plan shape (Spark-first rewrites of the reference's five INSERT arms):
 
 from __future__ import annotations
 
+import uuid
 from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotalens.functions.exprs import (
-    DEFAULT_INVOICE_LABEL, credit_type_label, decorated_number, dept_code, event_type_label,
+    DEFAULT_INVOICE_LABEL, checked_number, credit_type_label, decorated_number, dept_code, event_type_label, exact_product,
     flag_set, format_by_plan_element, fx_rate, mask_by_credit_type, round4_text, tier_rate)
+from quotalens.operators.params import period_keys
 from quotalens.operators.versioning import live
-from quotalens.schemas import ACCRUAL_TITLES, STAGING_COLUMNS, STAGING_NAMES, STAGING_TYPES
+from quotalens.schemas import ACCRUAL_TITLES, STAGING_NAMES, STAGING_TYPES
+from quotalens.session import scratch_path
+from quotalens.sinks.report import ACCRUAL_PREFIX, full_refresh, write_reports
 
 ARMS = ("regular", "mbo", "yoy", "cip", "guarantee")
 RULES = ("FY26", "FY25")
@@ -54,7 +58,8 @@ def _params(params: DataFrame) -> DataFrame:
 
 def org_in_run(sources, params: DataFrame) -> DataFrame:
     """Org snapshot rows of the run's unit and target periods (params broadcast)."""
-    return sources.memo(("org", id(params)), lambda: _org_in_run(sources, params))
+    # the entry keeps the frame alive, so its id can't come to name another one
+    return sources.memo(("org", id(params)), lambda: (params, _org_in_run(sources, params)))[1]
 
 
 def _org_in_run(sources, params: DataFrame) -> DataFrame:
@@ -65,12 +70,13 @@ def _org_in_run(sources, params: DataFrame) -> DataFrame:
         F.col("mfullname_l1").alias("h_m1"), F.col("mfullname_l2").alias("h_m2"),
         F.col("division").alias("h_division"), F.col("cc_dept").alias("h_cc_dept"),
         F.col("local_currency").alias("h_currency"))
+    h = h.where(F.col("h_period").isin(period_keys(sources, params)))
     p = F.broadcast(_params(params))
     return h.join(p, (h.h_period == p.v_period) & (h.h_unit == p.v_unit))
 
 
 def transaction_core(sources) -> DataFrame:
-    """Live order x model-0 transaction x live event type (event types broadcast)."""
+    """Live order x model-0 transaction x live event type."""
     return sources.memo("txn_core", lambda: _transaction_core(sources))
 
 
@@ -91,12 +97,11 @@ def _transaction_core(sources) -> DataFrame:
     et = live(sources["cs_eventtype"]).select(
         F.col("datatypeseq").alias("et_seq"), F.col("eventtypeid").alias("et_id"))
     core = st.join(so, st.st_order == so.so_seq)
-    # event types are a dimension of a handful of rows: broadcast is bounded
-    return core.join(F.broadcast(et), core.st_event == et.et_seq)
+    return core.join(et, core.st_event == et.et_seq)
 
 
 def credits(sources) -> DataFrame:
-    """Credit x live credit type (credit types broadcast)."""
+    """Credit x live credit type."""
     return sources.memo("credits", lambda: _credits(sources))
 
 
@@ -110,7 +115,7 @@ def _credits(sources) -> DataFrame:
         F.col("genericnumber6").alias("c_gn6"))
     ct = live(sources["cs_credittype"]).select(
         F.col("datatypeseq").alias("ct_seq"), F.col("credittypeid").alias("ct_id"))
-    return c.join(F.broadcast(ct), c.c_type == ct.ct_seq)
+    return c.join(ct, c.c_type == ct.ct_seq)
 
 
 def with_transactions(x: DataFrame, t: DataFrame) -> DataFrame:
@@ -136,7 +141,7 @@ def _incentive_build(sources, prefix: str) -> DataFrame:
 
 
 def _weight_positive(col: str) -> Column:
-    return decorated_number(col) > 0
+    return checked_number(col, col) > 0
 
 
 # ---------------------------------------------------------------------------------------
@@ -238,7 +243,10 @@ def _bridge_regular(sources, params: DataFrame) -> DataFrame:
         F.col("targetperiodseq").alias("i_tperiod"), F.col("processingunitseq").alias("i_unit"))
     p = F.broadcast(_params(params).select("v_period").distinct())
     sinc = _incentive(sources, "s")
-    sinc = sinc.join(p, sinc.s_periodseq == p.v_period).where(
+    keys = period_keys(sources, params)
+    pmct, mt, ipm = (x.where(F.col(c).isin(keys)) for x, c in (
+        (pmct, "b_tperiod"), (mt, "m_period"), (ipm, "i_tperiod")))
+    sinc = sinc.where(F.col("s_periodseq").isin(keys)).join(p, sinc.s_periodseq == p.v_period).where(
         flag_set("s_genericboolean1") & _weight_positive("s_genericattribute2")
         & ~F.col("s_genericattribute1").isin(*OWN_ARM_PLAN_ELEMENTS))
     b = (pmct.join(mt, (pmct.b_meas == mt.m_seq) & (mt.m_unit == pmct.b_unit)
@@ -256,10 +264,9 @@ def _bridge_regular(sources, params: DataFrame) -> DataFrame:
 def arm_regular(sources, params: DataFrame, invoice_label: str = DEFAULT_INVOICE_LABEL,
                 cc: DataFrame | None = None) -> DataFrame:
     """FY26 regular arm: credits of the period with their plan incentive, DISTINCT."""
-    c = credits(sources)
+    c = credits(sources).where(F.col("c_period").isin(period_keys(sources, params)))
     h = org_in_run(sources, params)
-    # period-restricted org rows meet credits first: the credit scan is pruned to the target
-    # periods (dynamic partition pruning on periodseq); transactions are attached last
+    # the period's credits meet its org rows first; transactions are attached last
     x = c.join(h, (h.h_positionseq == c.c_position) & (c.c_period == h.v_period))
     br = _bridge_regular(sources, params)
     x = x.join(br, (br.b_credit == x.c_seq) & (br.b_unit == x.c_unit)
@@ -269,7 +276,7 @@ def arm_regular(sources, params: DataFrame, invoice_label: str = DEFAULT_INVOICE
     cols = {**_common(invoice_label), **_credit_cols(invoice_label),
             "nativecurrencyamount": F.coalesce(F.col("st_native"), F.lit(0)),
             "exchange_rate": fx,
-            "trxn_amount": F.col("st_value") * fx,
+            "trxn_amount": exact_product("st_value", fx),
             "quota": F.col("s_genericnumber1"), "ti_loc": F.col("s_genericnumber6"),
             "plan_element": F.col("s_genericattribute1")}
     rows = _staging_row(x, "regular", cols, F.col("s_genericattribute4"))
@@ -280,11 +287,12 @@ def arm_regular(sources, params: DataFrame, invoice_label: str = DEFAULT_INVOICE
 def _org_incentive(sources, params: DataFrame, cond: Column) -> DataFrame:
     """org row x reported incentive of the same period and position, flag-1, ``cond``."""
     h = org_in_run(sources, params)
-    s = _incentive(sources, "s").where(flag_set("s_genericboolean1") & cond)
+    s = _incentive(sources, "s").where(F.col("s_periodseq").isin(period_keys(sources, params)))
+    s = s.where(flag_set("s_genericboolean1") & cond)
     return h.join(s, (h.h_period == s.s_periodseq) & (h.h_positionseq == s.s_positionseq))
 
 
-def _to_credits(sources, x: DataFrame, inc_prefix: str) -> DataFrame:
+def _to_credits(sources, x: DataFrame, inc_prefix: str, keys: list[int] | None = None) -> DataFrame:
     """incentive -> incentive trace -> measurement -> credit trace -> credit (+ type)."""
     ipm = sources["cs_incentivepmtrace"].select(
         F.col("incentiveseq").alias("i_inc"), F.col("measurementseq").alias("i_meas"),
@@ -295,6 +303,9 @@ def _to_credits(sources, x: DataFrame, inc_prefix: str) -> DataFrame:
     pmc = sources["cs_pmcredittrace"].select(
         F.col("creditseq").alias("p_credit"), F.col("measurementseq").alias("p_meas"),
         F.col("targetperiodseq").alias("p_tperiod"), F.col("processingunitseq").alias("p_unit"))
+    if keys is not None:  # the incentives' own periods: each side reads those partitions only
+        ipm, m, pmc = (x_.where(F.col(c_).isin(keys)) for x_, c_ in (
+            (ipm, "i_tperiod"), (m, "m_period"), (pmc, "p_tperiod")))
     # measurement-keyed bridge first (co-partitioned on measurementseq), then the incentive
     b = (ipm.join(m, (m.m_seq == ipm.i_meas) & (m.m_period == ipm.i_tperiod)
                   & (m.m_unit == ipm.i_unit))
@@ -304,6 +315,8 @@ def _to_credits(sources, x: DataFrame, inc_prefix: str) -> DataFrame:
     y = x.join(b, (inc == b.i_inc) & (F.col(f"{inc_prefix}_periodseq") == b.i_tperiod)
                & (F.col(f"{inc_prefix}_processingunitseq") == b.i_unit))
     c = credits(sources)
+    if keys is not None:
+        c = c.where(F.col("c_period").isin(keys))
     return y.join(c, (c.c_period == y.p_tperiod) & (c.c_unit == y.p_unit) & (c.c_seq == y.p_credit))
 
 
@@ -324,11 +337,12 @@ CREDIT_COLS = ["c_seq", "c_name", "ct_id", "c_txn", "c_unit", "c_value", "c_gn2"
                "c_gn6"]
 
 
-def _pre(df: DataFrame, arm: str) -> DataFrame:
+def _pre(df: DataFrame, arm: str | Column) -> DataFrame:
     """Project an arm's joined rows to the shared pre-staging schema (typed NULL padding)."""
     have = set(df.columns)
     extra = [(F.col(c) if c in have else F.lit(None)).cast(t).alias(c) for c, t in PRE_TYPES.items()]
-    return df.select(*ORG_COLS, *CREDIT_COLS, *extra, F.lit(arm).alias("arm"))
+    return df.select(*ORG_COLS, *CREDIT_COLS, *extra,
+                     (F.lit(arm) if isinstance(arm, str) else arm).alias("arm"))
 
 
 def _pre_mbo(sources, params: DataFrame) -> DataFrame:
@@ -345,17 +359,16 @@ def _pre_mbo(sources, params: DataFrame) -> DataFrame:
     return _pre(_to_credits(sources, x, "t"), "mbo")
 
 
-def _pre_yoy(sources, params: DataFrame) -> DataFrame:
-    """YOY Growth: incentive -> measurements -> credits; the weight test applies."""
-    x = _org_incentive(sources, params, (F.col("s_genericattribute1") == YOY)
-                       & _weight_positive("s_genericattribute2"))
-    return _pre(_to_credits(sources, x, "s"), "yoy")
-
+def _pre_direct(sources, params: DataFrame, arms: list[str]) -> DataFrame:
+    """YOY Growth and CIP / Payment Adjustment: incentive -> measurements -> credits, one pass.
 
-def _pre_cip(sources, params: DataFrame) -> DataFrame:
-    """CIP / Payment Adjustment: as YOY without the weight test."""
-    x = _org_incentive(sources, params, F.col("s_genericattribute1").isin(*CIP_ELEMENTS))
-    return _pre(_to_credits(sources, x, "s"), "cip")
+    The weight test applies to YOY Growth only."""
+    element = F.col("s_genericattribute1")
+    conds = {"yoy": (element == YOY) & _weight_positive("s_genericattribute2"),
+             "cip": element.isin(*CIP_ELEMENTS)}
+    x = _org_incentive(sources, params, reduce(Column.__or__, [conds[a] for a in arms]))
+    y = _to_credits(sources, x, "s", period_keys(sources, params))
+    return _pre(y, F.when(element == YOY, F.lit("yoy")).otherwise(F.lit("cip")))
 
 
 def _pre_regular_fy25(sources, params: DataFrame) -> DataFrame:
@@ -383,10 +396,6 @@ def _pre_regular_fy25(sources, params: DataFrame) -> DataFrame:
     return _pre(y, "regular")
 
 
-def _by_arm(cases: dict[str, Column]) -> dict[str, Column]:
-    return cases
-
-
 def _case_on_arm(name: str, cases) -> Column:
     """CASE arm WHEN ... THEN ... END (NULL for arms not listed).
 
@@ -411,31 +420,31 @@ def _credit_arm_measures(rules: str) -> tuple[dict[str, Column], Column]:
     rate = c("co_rate")
     fy25 = rules == "FY25"
     cols = {
-        "commissionseq": _by_arm({"regular": c("co_seq")}),
+        "commissionseq": {"regular": c("co_seq")},
         "incentiveseq": c("s_incentiveseq"),
-        "source_incentiveseq": _by_arm({"mbo": c("t_incentiveseq"), "regular": c("t_incentiveseq")}),
-        "nativecurrencyamount": _by_arm({
+        "source_incentiveseq": {"mbo": c("t_incentiveseq"), "regular": c("t_incentiveseq")},
+        "nativecurrencyamount": {
             "mbo": c("c_gn2") * 100, "yoy": c("c_value") * 100, "cip": c("st_native"),
-            "regular": F.coalesce(c("st_native"), F.lit(0))}),
-        "exchange_rate": _by_arm({"mbo": c("c_gn3") * 100, "yoy": fx, "cip": c("c_gn3") * 100,
-                                  "regular": fx}),
-        "trxn_amount": _by_arm({
-            "mbo": c("c_gn2") * 100 if fy25 else c("st_value") * c("c_gn3") * 100,
-            "yoy": c("c_value") * 100 if fy25 else c("st_value") * fx,
+            "regular": F.coalesce(c("st_native"), F.lit(0))},
+        "exchange_rate": {"mbo": c("c_gn3") * 100, "yoy": fx, "cip": c("c_gn3") * 100,
+                                  "regular": fx},
+        "trxn_amount": {
+            "mbo": c("c_gn2") * 100 if fy25 else exact_product("st_value", c("c_gn3") * 100),
+            "yoy": c("c_value") * 100 if fy25 else exact_product("st_value", fx),
             "cip": c("c_gn2") * 100,
             # a zero rate gives NULL (counted by step_log) where the reference would stop
-            "regular": F.try_divide(c("co_value").cast("double"), rate.cast("double"))}),
-        "quota": _by_arm({"regular": c("s_genericnumber1")}),
-        "ti_loc": _by_arm({"mbo": c("c_gn6"), "yoy": c("c_gn6"), "cip": c("c_gn6"),
-                           "regular": c("s_genericnumber6")}),
-        "tier_rate": _by_arm({"regular": tier_rate(rate, c("s_genericnumber1"),
-                                                   c("s_genericnumber6"))}),
-        "ratevalue": _by_arm({"regular": rate}),
-        "commission_lc": _by_arm({"mbo": c("c_value"), "yoy": c("s_value"), "cip": c("c_value"),
-                                  "regular": c("co_value")}),
-        "commission_usd": _by_arm({"mbo": c("c_value") * c("c_gn3"), "yoy": c("s_value") * fx100,
-                                   "cip": c("c_value") * c("c_gn3"),
-                                   "regular": c("co_value") * fx100}),
+            "regular": F.try_divide(c("co_value").cast("double"), rate.cast("double"))},
+        "quota": {"regular": c("s_genericnumber1")},
+        "ti_loc": {"mbo": c("c_gn6"), "yoy": c("c_gn6"), "cip": c("c_gn6"),
+                           "regular": c("s_genericnumber6")},
+        "tier_rate": {"regular": tier_rate(rate, c("s_genericnumber1"),
+                                                   c("s_genericnumber6"))},
+        "ratevalue": {"regular": rate},
+        "commission_lc": {"mbo": c("c_value"), "yoy": c("s_value"), "cip": c("c_value"),
+                                  "regular": c("co_value")},
+        "commission_usd": {"mbo": exact_product("c_value", "c_gn3"), "yoy": exact_product("s_value", fx100),
+                                   "cip": exact_product("c_value", "c_gn3"),
+                                   "regular": exact_product("co_value", fx100)},
         "plan_element": c("s_genericattribute1"),
     }
     text = c("s_genericattribute4")
@@ -450,8 +459,11 @@ def credit_arms(sources, params: DataFrame, arms: list[str], rules: str = "FY26"
                 cc: DataFrame | None = None) -> DataFrame:
     """Staging rows of the credit arms in ``arms`` (mbo, yoy, cip, and 'regular' = FY25's),
     built with one transaction-core join for all of them."""
-    build = {"mbo": _pre_mbo, "yoy": _pre_yoy, "cip": _pre_cip, "regular": _pre_regular_fy25}
-    pre = reduce(DataFrame.unionByName, [build[a](sources, params) for a in arms])
+    direct = [a for a in arms if a in ("yoy", "cip")]
+    parts = [_pre_mbo(sources, params)] if "mbo" in arms else []
+    parts += [_pre_direct(sources, params, direct)] if direct else []
+    parts += [_pre_regular_fy25(sources, params)] if "regular" in arms else []
+    pre = reduce(DataFrame.unionByName, parts)
     y = with_transactions(pre, transaction_core(sources) if cc is None else cc)
     measures, failed = _credit_arm_measures(rules)
     cols = {**_common(invoice_label), **_credit_cols(invoice_label),
@@ -497,7 +509,7 @@ def arm_guarantee(sources, params: DataFrame, invoice_label: str = DEFAULT_INVOI
             "credit_type": F.col("s_genericattribute1"),
             "exchange_rate": fx_rate("s_genericattribute4"),
             "commission_lc": F.col("s_value"),
-            "commission_usd": F.col("s_value") * fx_rate("s_genericattribute4", per_cent=True)}
+            "commission_usd": exact_product("s_value", fx_rate("s_genericattribute4", per_cent=True))}
     return _staging_row(x, "guarantee", cols, F.col("s_genericattribute4"))
 
 
@@ -530,33 +542,32 @@ def billto_enrich(sources, staging: DataFrame) -> DataFrame:
     """Fill country/state/customer id/company from the transaction's BILLTO address.
 
     No address -> NULLs; more than one BILLTO row for a transaction raises (the reference's
-    scalar subquery would). Only addresses of staged transactions are aggregated.
+    scalar subquery would); only transactions that are staged are checked.
     """
     at = sources["cs_addresstype"].where(F.col("addresstypeid") == BILLTO).select(
         F.col("addresstypeseq").alias("at_seq"))
     addr = sources["cs_transactionaddress"]
-    # address types are a dimension of a few rows: broadcast is bounded
-    bill = addr.join(F.broadcast(at), addr.addresstypeseq == at.at_seq)
-    keys = staging.select(F.col("salestransactionseq").alias("k_txn")).where(
-        F.col("k_txn").isNotNull()).distinct()
-    bill = bill.join(keys, bill.salestransactionseq == keys.k_txn, "left_semi")
+    bill = addr.join(at, addr.addresstypeseq == at.at_seq)
     one = bill.groupBy(F.col("salestransactionseq").alias("a_txn")).agg(
         F.count(F.lit(1)).alias("a_n"),
         F.max("country").alias("a_country"), F.max("state").alias("a_state"),
         F.max("custid").alias("a_custid"), F.max("company").alias("a_company"))
+    j = staging.join(one, staging.salestransactionseq == one.a_txn, "left")
     ok = F.when(F.col("a_n") > 1, F.raise_error(F.concat(
         F.lit("more than one BILLTO address for transaction "), F.col("a_txn").cast("string"))))
-    one = one.select("a_txn", *[F.coalesce(ok.cast("string"), F.col(c)).alias(c) for c in
-                                ("a_country", "a_state", "a_custid", "a_company")])
-    j = staging.join(one, staging.salestransactionseq == one.a_txn, "left")
+    j = j.withColumns({c: F.coalesce(ok.cast("string"), F.col(c)) for c in
+                       ("a_country", "a_state", "a_custid", "a_company")})
     repl = {"billto_country": "a_country", "billto_state": "a_state",
             "billto_custid": "a_custid", "billto_company": "a_company"}
     return j.select(*[F.col(repl[c]).alias(c) if c in repl else F.col(c)
                       for c in staging.columns])
 
 
-def accrual_details(staging: DataFrame, rules: str = "FY26") -> DataFrame:
-    """The 40 report columns as text (titles as column names)."""
+def accrual_details(staging: DataFrame, rules: str = "FY26", by_period: bool = False) -> DataFrame:
+    """The 40 report columns as text (titles as column names).
+
+    ``by_period`` keeps the period's key in front as target_periodseq.
+    """
     ct = F.col("credit_type")
     masked = (lambda c: mask_by_credit_type(ct, c)) if rules == "FY26" else (lambda c: c)
     s = lambda c: F.col(c).cast("string")
@@ -577,7 +588,8 @@ def accrual_details(staging: DataFrame, rules: str = "FY26") -> DataFrame:
         s("invoice_lineno"), s("numberofunits"), s("revenue_account"), s("plan_element"),
         s("comments"), s("customer_pono"), s("order_book_date"),
     ]
-    return staging.select(*[c.alias(t) for c, t in zip(cols, ACCRUAL_TITLES)])
+    key = [F.col("periodseq").alias("target_periodseq")] if by_period else []
+    return staging.select(*key, *[c.alias(t) for c, t in zip(cols, ACCRUAL_TITLES)])
 
 
 def accrual_report(staging: DataFrame, rules: str = "FY26", header: bool = True) -> DataFrame:
@@ -591,18 +603,34 @@ def accrual_report(staging: DataFrame, rules: str = "FY26", header: bool = True)
     return head.unionByName(details)
 
 
+def accrual_order() -> list[Column]:
+    """Sort keys of the report: name, plan element, order id (nulls first)."""
+    return [F.col(c).asc_nulls_first() for c in ("Name", "Plan Element", "Order ID")]
+
+
 def report_order(details: DataFrame) -> DataFrame:
-    """ORDER BY name, plan element, order id (NULLs first, stated explicitly)."""
-    return details.orderBy(F.col("Name").asc_nulls_first(),
-                           F.col("Plan Element").asc_nulls_first(),
-                           F.col("Order ID").asc_nulls_first())
+    """The report's rows in its order."""
+    return details.orderBy(*accrual_order())
 
 
 def step_log(staging: DataFrame) -> DataFrame:
-    """Rows staged per arm and failed number parses (no wall-clock in the result)."""
-    return staging.groupBy("arm").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum("parse_failed").cast("bigint").alias("failed_parses"))
+    """Rows staged and failed number parses of every arm, arms without rows included."""
+    counted = staging.groupBy("arm").agg(F.count(F.lit(1)).alias("rows"),
+                                         F.sum("parse_failed").cast("bigint").alias("failed_parses"))
+    arms = staging.sparkSession.createDataFrame([(a,) for a in ARMS], "arm string")
+    return arms.join(counted, "arm", "left").fillna(0)
+
 
+def accrual_job(sources, params: DataFrame, folder: str, run_date, rules: str = "FY26",
+                root: str | None = None) -> DataFrame:
+    """The procedure as one job: staging, ordered report files of every target, and the step log.
 
-STAGING_SCHEMA = STAGING_COLUMNS
+    The staging is written once under ``root`` (default: the session's shared folder) and read
+    for both the report and the log, which is returned.
+    """
+    spark = sources.spark
+    root = root or scratch_path(spark, f"accrual-{uuid.uuid4().hex}")
+    staged = full_refresh(billto_enrich(sources, accrual_staging(sources, params, rules)), root, "staging")
+    write_reports(accrual_details(staged, rules, by_period=True), folder, accrual_order(), params,
+                 ACCRUAL_PREFIX, run_date)
+    return step_log(staged)

@@ -29,9 +29,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotalens.functions.exprs import (
+    exact_product,
     fiscal_month_order, flag_set, fx_factor, money_text, percent_text, ti_loc, ti_usd)
 from quotalens.operators.payees import payee_snapshot
 from quotalens.operators.periods import run_period
+from quotalens.sinks.report import ATTAINMENT_PREFIX, header_rows, write_reports
 from quotalens.schemas import EXTRACT_COLUMNS, EXTRACT_NOT_NULL, FLOAT_DEC, MONEY, MONEY_2
 
 # Incentive kinds (genericattribute16) that the attainment report reads.
@@ -63,6 +65,9 @@ def _incentives_in_run(sources, params: DataFrame, rp: DataFrame | None = None)
         "genericnumber1", "genericnumber2", "genericnumber3", "genericnumber4",
         "genericnumber5", "genericnumber6", "genericboolean1", "genericboolean3")
     # run-period rows are bounded by the calendar (<= 12 per target): broadcast
+    # the months' keys as literals: the incentive scan reads their partitions only
+    months = sorted(x[0] for x in rp.select("month_periodseq").distinct().collect())
+    inc = inc.where(F.col("periodseq").isin(months))
     return inc.join(F.broadcast(r), (inc.periodseq == r.month_periodseq)
                     & (inc.processingunitseq == r.rp_unit))
 
@@ -105,6 +110,11 @@ def _pre_aggregate(inc: DataFrame) -> DataFrame:
     w, fx, gn6, gn6_2, value = c("w"), c("fx"), c("genericnumber6"), c("gn6_2"), c("value")
     monthly, ytd, guar, m1, m2 = c("monthly"), c("ytd"), c("guar"), c("m1"), c("m2")
     ti_rows = monthly | guar
+
+    def twice(x: Column) -> Column:
+        """A row with both flags counts twice: added, because a product would cut the scale."""
+        return F.when(w == 2, x + x).otherwise(x)
+
     quota_row = F.greatest(F.when(monthly & m1, c("genericnumber1")),
                            F.when(monthly & m2, F.lit(1).cast(MONEY)))
     return rows.groupBy(
@@ -123,10 +133,10 @@ def _pre_aggregate(inc: DataFrame) -> DataFrame:
         F.max(F.when((m1 & (c("genericnumber1") == 1)) | m2, c("genericnumber3")))
         .alias("earned"),
         F.sum(F.when(ytd, value * w)).alias("ytd_loc"),
-        F.sum(F.when(ytd, (value * fx).cast(MONEY) * w)).alias("ytd_usd"),
+        F.sum(F.when(ytd, twice(exact_product(value, fx).cast(MONEY)))).alias("ytd_usd"),
         F.sum(F.when(monthly, c("genericnumber5") * w)).alias("cm_rev"),
         F.sum(F.when(monthly, value * w)).alias("cm_loc"),
-        F.sum(F.when(monthly, (value * fx).cast(FLOAT_DEC) * w)).alias("cm_usd"),
+        F.sum(F.when(monthly, twice(exact_product(value, fx).cast("decimal(27,10)")))).alias("cm_usd"),
         F.sum(F.when(guar, value * w)).alias("guar_pay"),
     )
 
@@ -202,7 +212,7 @@ def attainment_branches(facts: DataFrame, payees: DataFrame) -> DataFrame:
                    & (facts.positionseq == pk.p_position) & (facts.payeeseq == pk.p_payee))
     kind = F.col("genericattribute16")
     fxv = fx_factor("genericattribute4")
-    usd = (F.col("value") * fxv)
+    usd = exact_product("value", fxv)
     null_s, null_m, null_f = (F.lit(None).cast("string"), F.lit(None).cast(MONEY),
                               F.lit(None).cast(FLOAT_DEC))
 
@@ -266,29 +276,57 @@ PERCENT_COLUMNS = {"YTD Attainment%", "YTD Comm Earned%"}
 
 
 def attainment_details(extract: DataFrame) -> DataFrame:
-    """The extract as text: money as decimal(20,4) ('$' on four), percents x100 with '%'."""
-    cols = []
-    for name, _ in EXTRACT_COLUMNS:
+    """The extract as text: money as decimal(20,4) ('$' on four), percents x100 with '%'.
+
+    ``target_periodseq`` stays in front if the extract has it.
+    """
+    cols = [F.col("target_periodseq")] if "target_periodseq" in extract.columns else []
+    for k, (name, _) in enumerate(EXTRACT_COLUMNS):
         c = F.col(name)
         if name in PERCENT_COLUMNS:
             c = percent_text(c)
         elif name in DOLLAR_COLUMNS:
             c = money_text(c, dollar=True)
-        elif EXTRACT_COLUMNS.index((name, _)) >= 11:
+        elif k >= 11:
             c = money_text(c)
         cols.append(c.cast("string").alias(name))
     return extract.select(*cols)
 
 
-def attainment_out(extract: DataFrame, header: bool = True) -> DataFrame:
+def attainment_out(extract: DataFrame, header: bool = True, params: DataFrame | None = None) -> DataFrame:
     """Header row UNION (distinct) text detail rows: 23 text columns.
 
-    Equal detail rows collapse, as the reference's ``UNION`` does.
+    Equal detail rows collapse, as the reference's ``UNION`` does. An extract that keeps
+    ``target_periodseq`` gives one report per target (rows of different targets never
+    collapse); its headers are one per row of ``params``.
     """
     details = attainment_details(extract)
     if not header:
         return details.distinct()
-    spark = extract.sparkSession
-    head = spark.createDataFrame([tuple(c for c, _ in EXTRACT_COLUMNS)],
-                                 ", ".join(f"`{c}` string" for c, _ in EXTRACT_COLUMNS))
+    by_target = "target_periodseq" in details.columns
+    if by_target and params is None:
+        raise ValueError("headers of several targets need their params")
+    keys = params.select("target_periodseq").distinct() if by_target else None
+    head = header_rows(extract.sparkSession, [c for c, _ in EXTRACT_COLUMNS], keys)
     return head.unionByName(details).distinct()
+
+
+def attainment_order() -> list[Column]:
+    """Sort keys of the text report: participant, then fiscal month (nulls first)."""
+    return [F.col("ID").asc_nulls_first(), fiscal_month_order("Month").asc_nulls_first()]
+
+
+def attainment_log(sources, params: DataFrame) -> DataFrame:
+    """Per target: staged incentive rows and those whose exchange rate is no number (USD 0)."""
+    facts = incentive_facts(sources, params)
+    text = F.col("genericattribute4")
+    bad = text.isNotNull() & decorated_number(text).isNull()
+    counted = facts.groupBy("target_periodseq").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(bad.cast("bigint")).alias("failed_parses"))
+    return params.select("target_periodseq").join(counted, "target_periodseq", "left").fillna(0)
+
+
+def attainment_report(sources, params: DataFrame, folder: str, run_date) -> str:
+    """The procedure as one job: every target's report, ordered, in a folder of its file name."""
+    details = attainment_out(attainment_extract(sources, params), header=False)
+    return write_reports(details, folder, attainment_order(), params, ATTAINMENT_PREFIX, run_date)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as _dt
-import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,13 +38,15 @@ def write_report(details: DataFrame, path: str, order_by: list[Column] | None =
                  partition_by: str | None = None) -> str:
     """Write text rows as CSV with a header line (Spark writes a folder of part files).
 
-    With ``partition_by`` (e.g. target_periodseq) one job writes every period's report into
-    its own sub-folder; rows are range-partitioned by the sort keys so the output is globally
-    ordered without collecting anything on the driver.
+    With ``partition_by`` (e.g. target_periodseq) one job writes every period's rows into its
+    own sub-folder. Rows are range-partitioned and sorted by (folder, keys): that is the order
+    the partitioned writer asks for, so it adds no sort of its own, and part files in name
+    order hold the rows in order.
     """
     df = details
-    if order_by:
-        df = df.orderBy(*order_by)
+    keys = ([F.col(partition_by)] if partition_by else []) + list(order_by or [])
+    if keys:
+        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     w = df.write.mode("overwrite").option("header", True)
     if partition_by:
         w = w.partitionBy(partition_by)
@@ -53,14 +54,47 @@ def write_report(details: DataFrame, path: str, order_by: list[Column] | None =
     return path
 
 
+def write_reports(details: DataFrame, folder: str, order_by: list[Column], params: DataFrame,
+                  prefix: str, run_date) -> str:
+    """Write the report of every target period under ``folder/report_file=<file name>``.
+
+    ``details`` carries ``target_periodseq``. The titles are one row per report that sorts
+    first, so a report has its header once however many part files it has.
+    """
+    names = params.select(F.col("target_periodseq").alias("_target"), report_filename(
+        prefix, "periodname", run_date).alias("report_file"))
+    titles = [c for c in details.columns if c != "target_periodseq"]
+    # one row per target period: bounded by the calendar
+    rows = details.join(F.broadcast(names), details["target_periodseq"] == names["_target"])
+    head = header_rows(details.sparkSession, titles, names.select("report_file"))
+    both = head.withColumn("_line", F.lit(0)).unionByName(
+        rows.select("report_file", *titles).withColumn("_line", F.lit(1)))
+    keys = [F.col("report_file"), F.col("_line"), *order_by]
+    (both.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_line")
+     .write.mode("overwrite").partitionBy("report_file").option("header", False).csv(folder))
+    return folder
+
+
+def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The current content of a refreshed table, found by its name."""
+    pointer = f"{root.rstrip('/')}/{name}/_current"
+    version = spark.read.text(pointer).first()
+    if version is None:
+        raise FileNotFoundError(pointer)
+    return spark.read.parquet(f"{root.rstrip('/')}/{name}/{version.value}")
+
+
 def full_refresh(df: DataFrame, root: str, name: str) -> DataFrame:
     """Truncate-and-insert: write ``df`` as the new content of table ``name`` under ``root``.
 
     Spark cannot overwrite a path it is reading in the same job, so each refresh writes a new
-    version folder and the returned DataFrame reads that version (lineage is cut there).
+    version folder and then publishes its name: readers (``read_table``) see the old content
+    until the pointer is replaced, and lineage is cut by the returned DataFrame.
     """
     spark = df.sparkSession
+    base = f"{root.rstrip('/')}/{name}"
     version = f"v{_dt.datetime.now(_dt.timezone.utc):%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
-    path = os.path.join(root, name, version)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    df.write.mode("overwrite").parquet(f"{base}/{version}")
+    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(
+        f"{base}/_current")
+    return read_table(spark, root, name)
