@@ -43,12 +43,12 @@ def transform(text: np.ndarray, order: np.ndarray) -> np.ndarray:
     return before[order]
 
 
-def merge(transforms: list[np.ndarray], strings: list[int], depth: int):
+def merge(transforms: list[np.ndarray], strings: list[int], depth: int, prefixes: bool = True):
     """Merged order of the shards' rows and its blocks after ``depth`` rounds of refinement.
 
     ``transforms``: each shard's transform; ``strings``: how many strings it has. Returns the
-    row (numbered through all shards) at each merged place, the block of each place, and the
-    common prefix with the place before (``depth`` if it is at least that).
+    row (numbered through all shards) at each merged place, the block of each place, and, if asked
+    for, the common prefix with the place before (``depth`` if it is at least that).
     """
     sizes = np.array([len(t) for t in transforms], np.int64)
     symbols = np.concatenate(transforms)
@@ -70,16 +70,15 @@ def merge(transforms: list[np.ndarray], strings: list[int], depth: int):
         border[0] = True
         border[1:] = (symbol[1:] != symbol[:-1]) | (block[1:] != block[:-1])
         border[:closing + 1] = True
-        new = border & (prefix == depth)
-        prefix[new] = done
-        border |= prefix < depth
+        if prefixes:
+            prefix[border & (prefix == depth)] = done
         block = np.cumsum(border, dtype=np.int32)
         row = np.empty(n, np.int64)
         row[np.argsort(source, kind="stable")] = places
     return row, block, prefix
 
 
-def repeats(strings: list[bytes], depth: int, shard_bytes: int = 1 << 18):
+def repeats(strings: list[bytes], depth: int, shard_bytes: int = 1 << 15):
     """Groups of positions whose next ``depth`` bytes are equal, over distinct strings.
 
     Returns (group, string, offset) arrays of all positions with ``depth`` bytes in their string
@@ -98,7 +97,7 @@ def repeats(strings: list[bytes], depth: int, shard_bytes: int = 1 << 18):
         orders.append(order)
         bases.append(at)
         at = to
-    row, block, _ = merge(shards, counts, depth)
+    row, block, _ = merge(shards, counts, depth, prefixes=False)
     base = np.cumsum([0, *(len(s) for s in shards)])
     order = np.concatenate(orders)[row]  # position in its shard's text
     shard = np.searchsorted(base, row, "right") - 1

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -44,6 +45,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hash_share(total: int, wanted: int, *columns):
+    """Condition that keeps about ``wanted`` of ``total`` rows, by a hash of columns.
+
+    Needs no sort and moves no row; at most ``total`` rows are kept, and 5 % of room keeps the
+    number below ``wanted`` in practice.
+    """
+    if total <= wanted:
+        return F.lit(True)
+    return F.xxhash64(*columns) < F.lit(int(-(1 << 63) + 0.95 * wanted / total * (1 << 64)))
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished steps now, not at some later collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def steps(batches: Iterator[pa.RecordBatch], column: str = "text",
           max_bytes: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of Arrow batches of at most ``max_bytes`` of text (at least one row)."""
