@@ -9,8 +9,8 @@ over the whole text, its most toxic window, and its words that speak most for to
 logistic curve fitted on labelled rows that gave no counts turns these into 0 to 1.
 
 Words are hashed to ``WORDS`` ids and bigrams to ``PAIRS`` slots, so the model's size has a fixed
-bound whatever the corpus; it is fitted on at most ``MAX_ROWS`` labelled rows a class, taken in
-the order of a hash of their text (the stated bound of the fit). Scoring covers whole texts and
+bound whatever the corpus; it is fitted on about ``MAX_ROWS`` labelled rows a class, taken by a
+hash (the stated bound of the fit). Scoring covers whole texts and
 needs no shuffle.
 """
 
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotalens.llm.common import fold, id_text, materialize, mix64, steps
+from quotalens.llm.common import fold, hash_share, id_text, materialize, mix64, steps
 
 WORDS = 1 << 18
 PAIRS = 1 << 20
@@ -150,19 +150,13 @@ def _dense(rows: DataFrame, key: str, value: str, size: int) -> np.ndarray:
     return out
 
 
-def fit(labelled: DataFrame, max_rows: int = MAX_ROWS) -> Model | None:
-    """Model of labelled rows (doc_id, text, toxic 0/1); None if a class has no rows.
+def fit(labelled: DataFrame) -> Model | None:
+    """Model of a bounded sample of labelled rows (text, toxic 0/1); None if a class has no rows.
 
-    Rows with a null label must be left out by the caller. Per class the ``max_rows`` rows of
-    the smallest text hash are used: three quarters give counts, one quarter the curve.
+    Three quarters of the rows, by a hash, give counts, one quarter the curve.
     """
-    rows = labelled.select("text", F.col("toxic").cast("long").alias("toxic"),
-                           F.xxhash64("text").alias("h"))
-    # top rows of each class by hash: a limit per class, no group in one task
-    picked = None
-    for c in (0, 1):
-        part = rows.where(F.col("toxic") == c).orderBy("h").limit(max_rows)
-        picked = part if picked is None else picked.union(part)
+    picked = labelled.select("text", F.col("toxic").cast("long").alias("toxic"),
+                             F.xxhash64("text").alias("h"))
     picked = picked.withColumn("curve", F.pmod(F.xxhash64("h"), F.lit(4)) == 0)
     picked = materialize(picked, "toxicity-sample")
     n_of = {(r.toxic, r.curve): r.n for r in picked.groupBy("toxic", "curve").agg(
@@ -230,8 +224,9 @@ def _curve(rows: pa.Table, rounds: int = 40, ridge: float = 1e-2) -> np.ndarray:
     return np.append(w[:-1] / sd, w[-1] - (w[:-1] * mean / sd).sum())
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, parts: int = 4, left_out: int = 2) -> DataFrame:
-    """(doc_id, text, toxic) of labelled documents whose fold is not ``left_out``.
+def labelled_rows(docs: DataFrame, labels: DataFrame, parts: int = 4, left_out: int = 2,
+                  max_rows: int = MAX_ROWS) -> DataFrame:
+    """(text, toxic) of about ``max_rows`` labelled documents a class whose fold is not ``left_out``.
 
     Null ids or labels are left out; an id with several label rows takes the largest label.
     """
@@ -240,7 +235,12 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, parts: int = 4, left_out:
              .where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
              .where(fold(F.col("doc_id"), parts) != left_out)
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    return id_text(docs).where(fold(F.col("doc_id"), parts) != left_out).join(known, "doc_id")
+    sizes = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    share = F.lit(False)
+    for c in (0, 1):
+        share = share | ((F.col("toxic") == c) & hash_share(sizes.get(c, 0), max_rows, "doc_id"))
+    # about 2 * max_rows pairs of numbers: a bounded broadcast, so no text is shuffled
+    return id_text(docs).join(F.broadcast(known.where(share)), "doc_id").select("text", "toxic")
 
 
 def score(docs: DataFrame, model: Model | None, name: str = "toxicity") -> DataFrame:
