@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotalens.llm.common import flat, fold, id_text, steps
+from quotalens.llm.common import flat, fold, hash_share, id_text, steps
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -135,27 +135,27 @@ def fit(docs: DataFrame, left_out: int | None = 2, parts: int = 4,
         per_lang: int = PER_LANG) -> Network | None:
     """Network of labelled texts whose fold is not ``left_out`` (None: of all).
 
-    Rows with a null or empty lang are left out. Per language the ``per_lang`` texts of the
-    smallest hash give one window each, from a place that the hash names too, so the sample
-    that the driver sees is at most languages x ``per_lang`` x ``WINDOW`` bytes. Without labels: None.
+    Rows with a null or empty lang are left out. Per language about ``per_lang`` texts, taken by a
+    hash, give one window each from a place that a hash names too, so the sample that the driver
+    sees is about languages x ``per_lang`` x ``WINDOW`` bytes. Without labels: None.
     """
     rows = docs.select("text", "lang", "doc_id").where(
         F.col("text").isNotNull() & (F.length(F.trim("text")) > 0)
         & F.col("lang").isNotNull() & (F.col("lang") != ""))
     if left_out is not None:
         rows = rows.where(fold(F.col("doc_id").cast("long"), parts) != left_out)
-    rows = rows.select("lang", "text", F.xxhash64("text").alias("h"))
-    names = sorted(r.lang for r in rows.select("lang").distinct().collect())
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    names = sorted(sizes)
     if not names:
         return None
-    sample = None
-    raw = F.encode("text", "UTF-8")
-    start = F.pmod("h", F.greatest(F.lit(1), F.octet_length("text") - WINDOW + 1))
+    raw, h = F.encode("text", "UTF-8"), F.xxhash64("text")
+    start = F.pmod(h, F.greatest(F.lit(1), F.octet_length("text") - WINDOW + 1))
+    share = F.lit(False)
     for name in names:
-        part = (rows.where(F.col("lang") == name).orderBy("h").limit(per_lang)
-                .select("lang", F.substring(raw, start.cast("int") + 1, F.lit(WINDOW)).alias("w")))
-        sample = part if sample is None else sample.union(part)
-    got = sample.toArrow()
+        share = share | ((F.col("lang") == name) & hash_share(sizes[name], per_lang, "text", "doc_id"))
+    got = rows.where(share).select(
+        "lang", F.substring(raw, start.cast("int") + 1, F.lit(WINDOW)).alias("w"), h.alias("h")).toArrow()
+    got = got.sort_by([("lang", "ascending"), ("h", "ascending")])
     x = np.zeros((len(got), WINDOW), np.uint8)
     for i, w in enumerate(got["w"].to_pylist()):
         x[i, :len(w)] = np.frombuffer(w, np.uint8)
