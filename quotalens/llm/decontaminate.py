@@ -4,10 +4,11 @@
 2. A randomised SVD of the TF-IDF passage matrix A: every partition adds up its rows of
    A'(A Omega), Spark sums them by feature, and the driver's Nystroem step on this features x rank
    matrix (a fixed size) gives the leading right singular vectors and values.
-3. Every document window that holds words of the benchmark's rarer half is folded into the
-   latent space and compared with all benchmark windows; cosines above ``COSINE`` are candidates.
+3. Every document window is folded into the latent space and compared with all benchmark windows;
+   cosines above ``COSINE`` are candidates.
 4. A candidate's neighbourhood is aligned with the item: longest common subsequence of words
-   against the item's length, and against its answer (its last sentence).
+   against the item's length, and against its answer (its last sentence). Neighbourhoods that
+   share fewer words with the item than any accepted subsequence has are not aligned.
 
 The benchmark is the stated query set: it is read in blocks of ``BLOCK`` items, each of them
 against all documents. Documents are read three times and never shuffled.
@@ -35,7 +36,6 @@ COSINE = 0.5
 SHARE = 0.6        # of an item's words, in order, that make a leak
 ANSWERED = 0.45    # enough if the answer is there too
 ANSWER = 0.8
-RARE_FOUND = 0.3   # of an item's rarer words near a window, before any alignment
 BLOCK = 4096
 PIECE = 16
 _SEED = 11
@@ -179,10 +179,8 @@ class Items:
     ids: list
     words: list[list[int]]       # word hashes
     answers: list[list[int]]
-    rare: list[set]              # hashes of the rarer half
     vectors: np.ndarray          # latent windows
     of: np.ndarray               # item of each window
-    marked: np.ndarray           # bit table of rare hashes
 
 
 def _hashes(text: str) -> np.ndarray:
@@ -191,7 +189,7 @@ def _hashes(text: str) -> np.ndarray:
 
 
 def prepare(rows: list[tuple[int, str]], space: Space) -> Items:
-    ids, words, answers, rare, wins, of = [], [], [], [], [], []
+    ids, words, answers, wins, of = [], [], [], [], []
     for item, text in rows:
         h = _hashes(text or "")
         if not len(h):
@@ -201,9 +199,6 @@ def prepare(rows: list[tuple[int, str]], space: Space) -> Items:
         ids.append(item)
         words.append(h.tolist())
         answers.append(_hashes(sentences[-1]).tolist())
-        kinds = np.unique(h)
-        by_df = kinds[np.argsort(space.df[_feature(kinds)], kind="stable")]
-        rare.append(set(by_df[:max(1, (len(kinds) + 1) // 2)].tolist()))
         for s in range(0, max(1, len(h) - SPAN + ITEM_STRIDE), ITEM_STRIDE):
             wins.append(h[s:s + SPAN])
             of.append(k)
@@ -212,10 +207,7 @@ def prepare(rows: list[tuple[int, str]], space: Space) -> Items:
         p = np.repeat(np.arange(len(wins)), [len(w) for w in wins])
         p, f, tf = _entries(p, _feature(np.concatenate(wins)))
         vectors = space.rows(p, f, tf, len(wins))
-    marked = np.zeros(1 << 20, bool)
-    for r in rare:
-        marked[[x >> 44 for x in r]] = True
-    return Items(ids, words, answers, rare, vectors, np.array(of, np.int64), marked)
+    return Items(ids, words, answers, vectors, np.array(of, np.int64))
 
 
 def common(a: list[int], b: list[int]) -> int:
@@ -233,6 +225,20 @@ def common(a: list[int], b: list[int]) -> int:
     return len(a) - row.bit_count()
 
 
+def overlap(a: list[int], b: list[int]) -> int:
+    """Words that a and b share, with their repeats: no common subsequence is longer."""
+    left: dict[int, int] = {}
+    for x in a:
+        left[x] = left.get(x, 0) + 1
+    found = 0
+    for x in b:
+        n = left.get(x)
+        if n:
+            left[x] = n - 1
+            found += 1
+    return found
+
+
 def _verify(items: Items, k: int, near: list[int]) -> tuple[float, float] | None:
     """(share of the item, share of its answer) found in order in a neighbourhood, or None."""
     own, answer = items.words[k], items.answers[k]
@@ -303,9 +309,6 @@ def search(space: Space, items: Items, h: np.ndarray, at: np.ndarray) -> dict:
     doc, begin = _windows(counts)
     first = at[doc] + begin
     size = np.minimum(SPAN, counts[doc] - begin)
-    hits = np.append(0, np.cumsum(items.marked[(h >> np.uint64(44)).astype(np.int64)]))
-    keep = hits[first + size] - hits[first] >= np.minimum(2, size)
-    doc, begin, first, size = doc[keep], begin[keep], first[keep], size[keep]
     for i in range(0, len(doc), 2048):
         part = slice(i, i + 2048)
         n = len(doc[part])
@@ -324,8 +327,7 @@ def search(space: Space, items: Items, h: np.ndarray, at: np.ndarray) -> dict:
             d, s, m = int(doc[i + a]), int(begin[i + a]), len(items.words[k])
             base, end = int(at[d]), int(at[d + 1])
             near = listed[max(base, base + s - m):min(end, base + s + SPAN + m)]
-            rare = items.rare[k]
-            if len(rare.intersection(near)) < RARE_FOUND * len(rare):
+            if overlap(items.words[k], near) < min(SHARE, ANSWERED) * m:
                 continue
             got = _verify(items, k, near)
             if got and got[0] > found.get((d, k), (0, 0, 0))[1]:

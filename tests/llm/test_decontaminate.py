@@ -78,3 +78,26 @@ def test_edge_rows(edge, empty, planted):
     assert dc.op10(edge, none).count() == 0 and dc.op10(empty, items).count() == 0
     kept = dc.keep_clean(edge, items)
     assert kept.columns == edge.columns and kept.count() == edge.count()
+
+
+def test_a_paraphrase_that_keeps_the_common_words_is_found(spark):
+    """40 words of 40 kinds; 15 of the 20 rarer ones are replaced, 25 words stay in order."""
+    rnd = random.Random(8)
+    common = [f"common{k}" for k in range(20)]
+    rare = [f"rare{k}" for k in range(20)]
+    item = [w for pair in zip(common, rare) for w in pair]
+    lost = set(rnd.sample(rare, 15))
+    leak = [f"other{w}" if w in lost else w for w in item]
+    docs = [(0, " ".join(leak)), (1, " ".join(item))]
+    for i in range(2, 200):  # every common word in most documents, in other orders
+        docs.append((i, " ".join(rnd.sample(common, 12) + [f"own{rnd.randrange(3000)}" for _ in range(20)])))
+    got = {r.doc_id: r.share for r in dc.op10(spark.createDataFrame(docs, "doc_id long, text string"),
+                                              spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).collect()}
+    assert got.keys() == {0, 1} and got[0] == 25 / 40
+
+
+def test_shared_words_bound_the_subsequence():
+    rnd = random.Random(3)
+    for _ in range(50):
+        a, b = ([rnd.randint(0, 9) for _ in range(rnd.randint(1, 30))] for _ in range(2))
+        assert dc.common(a, b) <= dc.overlap(a, b) == sum(min(a.count(x), b.count(x)) for x in set(a))
