@@ -1,9 +1,9 @@
 """Substring dedup by paragraph MinHash banding.
 
 Units of a text are its paragraphs (lines of at least ``LEAST`` words) and, so that a passage is
-found wherever it stands inside other text, content-defined stretches of its word sequence
-(cut where a hash of two neighbouring words is the least around); repeated stretches count where
-neighbours make up at least ``RUN`` words. Words ignore ASCII case and punctuation.
+found wherever it stands inside other text, passages grown from seeds: of any ``WINDOW`` runs of
+``SEED`` words that follow each other the one with the least hash is a seed, so two texts that
+share ``SEED + WINDOW - 1`` = 23 words share a seed. Words ignore ASCII case and punctuation.
 
 * Equal units form a class straight away (128 bits of hash, counted with partial sums).
 * One paragraph of each class gets ``BANDS`` x ``ROWS`` MinHashes of its five-word shingles; at a
@@ -14,9 +14,13 @@ neighbours make up at least ``RUN`` words. Words ignore ASCII case and punctuati
   band groups are grown from one member after another against those not reached yet, so a cloud
   of copies costs far less than all pairs and returns a star.
 * Components over all stars are the classes; all of a class but its earliest unit is removed.
+* A repeated seed is laid against its earliest place. Seeds of a text that lie against the same
+  place make one chain, whose ends grow word by word while both texts agree. Beyond its last seed
+  a shared passage has fewer than ``WINDOW`` words, so that many words decide; passages of at
+  least ``RUN`` words are reported, each with the place it copies.
 
-Only ids, hashes and spans are shuffled, and the texts once, to fetch the shingles of the
-paragraphs that met.
+Only ids, hashes and spans are shuffled, and the texts twice: to fetch the shingles of the
+paragraphs that met and the words around chains.
 """
 
 from __future__ import annotations
@@ -29,16 +33,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotalens.llm.common import flat, id_text, materialize, mix64, steps, words_of
+from quotalens.llm.common import (
+    flat, id_text, materialize, mix64, ragged_arange, steps, words_of)
 from quotalens.llm.components import components
 
 SHINGLE = 5
 SIMILAR = 0.8
 LEAST = 20        # words of a paragraph
 BANDS, ROWS = 8, 3
-AROUND = 6        # words on either side of a stretch's cut
-STRETCH = 4       # words of a stretch
-RUN = 16          # words of neighbouring repeated stretches that make a passage
+SEED = 12         # words of a seed
+WINDOW = 12       # neighbouring runs of words of which one is a seed
+RUN = 16          # words of a passage
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = mix64(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
 
@@ -67,26 +72,29 @@ def _lines(raw: np.ndarray, starts: np.ndarray, at: np.ndarray):
     return begin, np.append(begin[1:], len(starts))
 
 
-def _stretches(h: np.ndarray, at: np.ndarray):
-    """(first word, word after the last) of the content-defined stretches of each text."""
-    n = len(h)
-    if not n:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    score = mix64(h * _ODD + np.append(h[1:], np.uint64(0)))
-    counts = np.diff(at)
-    gap = AROUND * np.arange(1, len(counts) + 1)
-    where = np.arange(n) + np.repeat(gap, counts)
-    padded = np.full(n + AROUND * (len(counts) + 1), np.uint64(2**64 - 1))
+def _seeds(h: np.ndarray, at: np.ndarray):
+    """(first word, word after the last) of the seeds of each text: least of WINDOW runs."""
+    runs = np.maximum(np.diff(at) - SEED + 1, 0)
+    begin = np.repeat(at[:-1], runs) + ragged_arange(runs)
+    if not len(begin):
+        return begin, begin
+    score = _shingles(h, SEED)[begin]
+    where = np.arange(len(begin)) + np.repeat(WINDOW * np.arange(1, len(runs) + 1), runs)
+    padded = np.zeros(len(begin) + WINDOW * (len(runs) + 1), np.uint64)
     padded[where] = score
-    least = np.ones(n, bool)
-    for k in range(1, AROUND + 1):
-        least &= (score < padded[where - k]) & (score <= padded[where + k])
-    least[np.cumsum(counts)[counts > 0] - 1] = True  # a text ends its last stretch
-    end = np.flatnonzero(least) + 1
-    return np.append(0, end[:-1]), end
-
-
-_UNIT = pa.schema([("level", pa.int32()), ("doc", pa.int64()), ("start", pa.int64()),
+    span = np.ones(len(begin), np.int64)  # runs around that this one is the (last) least of
+    before, after = np.ones(len(begin), bool), np.ones(len(begin), bool)
+    for k in range(1, WINDOW):
+        before &= score <= padded[where - k]
+        after &= score < padded[where + k]
+        span += before
+        span += after
+    begin = begin[span >= np.minimum(WINDOW, np.repeat(runs, runs))]
+    return begin, begin + SEED
+
+
+_UNIT = pa.schema([("level", pa.int32()), ("doc", pa.int64()), ("row", pa.int64()),
+                   ("word", pa.int32()), ("start", pa.int64()),
                    ("end", pa.int64()), ("words", pa.int32()), ("h1", pa.int64()),
                    ("h2", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
@@ -104,7 +112,7 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             len(h), pow(int(_ODD), -1, 1 << 64), np.uint64)))[:-1]
         doc_of = np.repeat(np.arange(b.num_rows), np.diff(at))
         for level, (begin, end), least in ((0, _lines(raw, starts, at), LEAST),
-                                           (1, _stretches(h, at), STRETCH)):
+                                           (1, _seeds(h, at), SEED)):
             keep = end - begin >= least
             begin, end = begin[keep], end[keep]
             if not len(begin):
@@ -120,6 +128,7 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             base = chars[offs[:-1]][doc]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(begin), level, np.int32)), b.column("doc_id").take(pa.array(doc)),
+                 b.column("row").take(pa.array(doc)), pa.array((begin - at[doc]).astype(np.int32)),
                  pa.array(chars[starts[begin]] - base), pa.array(chars[ends[end - 1]] - base),
                  pa.array((end - begin).astype(np.int32)), pa.array(h1.view(np.int64)),
                  pa.array(h2.view(np.int64)), lists], schema=_UNIT)
@@ -154,6 +163,40 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [("unit", pa.int64()), ("set", pa.list_(pa.int64()))]))
 
 
+_EDGE = pa.schema([("row", pa.int64()), ("start", pa.int64()), ("end", pa.int64()),
+                   ("before", pa.list_(pa.int32())), ("after", pa.list_(pa.int32())),
+                   ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))])
+
+
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words around the spans asked for in each text, nearest first: hashes, and where the words
+    before start and the words after end."""
+    for b in steps(batches, max_bytes=1 << 20):
+        raw, offs = flat(b.column("text"))
+        h, starts, ends, at = words_of(raw, offs)
+        short = (h >> np.uint64(32)).astype(np.uint32).view(np.int32)
+        chars = np.append(0, np.cumsum((raw & 0xC0) != 0x80))
+        first, last = chars[starts], chars[ends]
+        asked = b.column("asked")
+        doc = np.repeat(np.arange(b.num_rows), asked.value_lengths().to_numpy())
+        flat_asked = asked.flatten()
+        start, end = (flat_asked.field(k).to_numpy() for k in (0, 1))
+        base = chars[offs[:-1]][doc]
+        head = np.searchsorted(first, start + base)
+        tail = np.searchsorted(last, end + base)
+        n_before = np.minimum(WINDOW - 1, head - at[doc])
+        n_after = np.minimum(WINDOW - 1, at[doc + 1] - tail - 1)
+        up = np.repeat(head - 1, n_before) - ragged_arange(n_before)
+        down = np.repeat(tail + 1, n_after) + ragged_arange(n_after)
+        listed = lambda n, values: pa.ListArray.from_arrays(
+            np.append(0, np.cumsum(n)).astype(np.int32), pa.array(values.astype(np.int32)))
+        yield pa.RecordBatch.from_arrays(
+            [b.column("row").take(pa.array(doc)), pa.array(start), pa.array(end),
+             listed(n_before, short[up]), listed(n_after, short[down]),
+             listed(n_before, first[up] - np.repeat(base, n_before)),
+             listed(n_after, last[down] - np.repeat(base, n_after))], schema=_EDGE)
+
+
 def _verify(pdf: pd.DataFrame) -> pd.DataFrame:
     """Links of one band's members: a star around each group's least unit."""
     pdf = pdf.drop_duplicates("unit").sort_values("unit")
@@ -188,26 +231,28 @@ def _verify(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def repeated_units(docs: DataFrame) -> DataFrame:
-    """Units that repeat: doc_id, level (0 paragraph, 1 stretch), start, end (code points), words,
+    """Units that repeat: doc_id, level (0 paragraph, 1 passage), start, end (code points), words,
     class_id, removed (false for the class's earliest unit by doc_id and start).
 
     Units of no class are not returned: a document without repeats gives no rows. Null texts are
     empty, null ids sort first, repeated rows are copies of each other, other columns are ignored.
     """
-    docs = id_text(docs)
+    docs = _numbered(id_text(docs))
     units = materialize(docs.mapInArrow(
-        _units, "level int, doc long, start long, end long, words int, h1 long, h2 long, "
-                "bands array<long>").withColumn("unit", F.monotonically_increasing_id()), "units")
+        _units, "level int, doc long, row long, word int, start long, end long, words int, "
+                "h1 long, h2 long, bands array<long>")
+        .withColumn("unit", F.monotonically_increasing_id()), "units")
     plain = units.drop("bands")
     # classes of equal units
     equal = plain.groupBy("level", "h1", "h2").agg(F.count("*").alias("n"))
     many = plain.join(equal.where(F.col("n") > 1).drop("n").hint("shuffle_hash"),
                       ["level", "h1", "h2"], "left_semi")
     many = materialize(many, "equal-units")
-    many = many.where(F.col("level") == 0).union(_passages(many.where(F.col("level") == 1)))
+    passages = _passages(docs, many.where(F.col("level") == 1))
+    many = many.where(F.col("level") == 0)
     # one paragraph of each class meets others in bands
     lead = units.where(F.col("level") == 0).groupBy("h1", "h2").agg(
-        F.min(F.struct("doc", "start", "end", "unit", "bands")).alias("u"))
+        F.min(F.struct("doc", "row", "start", "end", "unit", "bands")).alias("u"))
     lead = materialize(lead.select("h1", "h2", "u.*"), "lead-paragraphs")
     bands = lead.select("unit", F.posexplode("bands").alias("band", "hash"))
     met = bands.groupBy("band", "hash").agg(
@@ -216,11 +261,10 @@ def repeated_units(docs: DataFrame) -> DataFrame:
            .agg(F.min(F.struct("band", "hash")).alias("k")).select("k.*"))
     rows = materialize(bands.join(met.hint("shuffle_hash"), ["band", "hash"], "left_semi"), "bands")
     asked = (lead.join(rows.select("unit").distinct(), "unit", "left_semi")
-             .groupBy("doc").agg(F.collect_list(F.struct("unit", "start", "end")).alias("asked")))
-    asked = asked.withColumnRenamed("doc", "asked_doc")
-    sets = (docs.join(asked, docs["doc_id"].eqNullSafe(asked["asked_doc"])).select("text", "asked")
+             .groupBy("row").agg(F.collect_list(F.struct("unit", "start", "end")).alias("asked")))
+    sets = (docs.join(asked, "row").select("text", "asked")
             .mapInArrow(_sets, "unit long, set array<long>"))
-    sets = materialize(sets.dropDuplicates(["unit"]), "shingle-sets")
+    sets = materialize(sets, "shingle-sets")
     links = rows.join(sets, "unit").groupBy("band", "hash").applyInPandas(_verify, "a long, b long")
     found = materialize(components(links), "paragraph-classes")
     near = lead.join(found, lead["unit"] == found["node"]).select(
@@ -234,20 +278,66 @@ def repeated_units(docs: DataFrame) -> DataFrame:
         F.col("near_class").isNotNull(), F.concat(F.lit("n"), F.col("near_class")))
         .otherwise(F.concat("level", F.lit("-"), F.hex("h1"), F.hex("h2"))))
     member = materialize(member, "members")
-    first = member.groupBy("class_id").agg(F.min(F.struct("doc", "start")).alias("first"))
+    first = member.groupBy("class_id").agg(F.min(F.struct("doc", "row", "start")).alias("first"))
     return member.join(first, "class_id").select(
         F.col("doc").alias("doc_id"), "level", "start", "end", "words", "class_id",
-        (~F.struct("doc", "start").eqNullSafe(F.col("first"))).alias("removed"))
-
-
-def _passages(stretches: DataFrame) -> DataFrame:
-    """Repeated stretches that stand in runs of RUN words, of classes that keep two members."""
-    order = Window.partitionBy("doc").orderBy("unit")
-    run = (stretches.withColumn("run", F.col("unit") - F.row_number().over(order))
-           .withColumn("run_words", F.sum("words").over(Window.partitionBy("doc", "run"))))
-    kept = run.where(F.col("run_words") >= RUN).select(stretches.columns)
-    again = kept.groupBy("h1", "h2").agg(F.count("*").alias("left")).where(F.col("left") > 1)
-    return kept.join(again.drop("left"), ["h1", "h2"], "left_semi").select(stretches.columns)
+        (~F.struct("doc", "row", "start").eqNullSafe(F.col("first"))).alias("removed")).union(passages)
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number per row: the id, or where ids repeat or miss a written number."""
+    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where(
+        (F.col("n") > 1) | F.col("doc_id").isNull()).limit(1).count()
+    if repeated:
+        return materialize(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    return docs.withColumn("row", F.col("doc_id"))
+
+
+def _passages(docs: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Rows of passages: chains of repeated ``seeds``, grown to the maximal match with the place
+    their seeds stand first, and those places."""
+    first = seeds.groupBy("h1", "h2").agg(F.min(F.struct("doc", "row", "word", "start", "end")).alias("f"))
+    copies = seeds.join(first.hint("shuffle_hash"), ["h1", "h2"]).where(
+        (F.col("row") != F.col("f.row")) | (F.col("word") != F.col("f.word")))
+    order = Window.partitionBy("row").orderBy("word")
+    shift = F.col("word") - F.col("f.word")
+    same = ((F.lag("f.row").over(order) == F.col("f.row")) & (F.lag(shift).over(order) == shift)
+            & (F.col("word") - F.lag("word").over(order) <= SEED))
+    copies = copies.withColumn("new", F.when(same, 0).otherwise(1))
+    copies = copies.withColumn("chain", F.sum("new").over(order))
+    chains = materialize(copies.groupBy("row", "chain").agg(
+        F.min("doc").alias("doc"), F.min("start").alias("start"), F.max("end").alias("end"),
+        (F.max("word") + SEED - F.min("word")).alias("words"), F.min("f.doc").alias("f_doc"),
+        F.min("f.row").alias("f_row"), F.min("f.start").alias("f_start"),
+        F.max("f.end").alias("f_end")), "chains")
+    places = chains.select("row", "start", "end").union(
+        chains.select("f_row", "f_start", "f_end")).distinct()
+    asked = places.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("asked"))
+    edges = materialize(docs.join(asked, "row").select("row", "text", "asked").mapInArrow(
+        _edges, "row long, start long, end long, before array<int>, after array<int>, "
+                "starts array<int>, ends array<int>"), "edges")
+    there = edges.select(*(F.col(c).alias(f"f_{c}") for c in edges.columns))
+    both = chains.join(edges, ["row", "start", "end"]).join(there, ["f_row", "f_start", "f_end"])
+
+    def agree(side: str):
+        hits = F.zip_with(side, f"f_{side}", lambda x, y: F.coalesce(x == y, F.lit(False)))
+        miss = F.array_position(hits, False)
+        return F.when(miss > 0, miss - 1).otherwise(F.size(hits)).cast("int")
+
+    both = both.withColumn("up", agree("before")).withColumn("down", agree("after"))
+    grown = lambda name, count, to: F.coalesce(
+        F.get(name, F.col(count) - 1).cast("long"), F.col(to))
+    both = both.select(
+        "doc", grown("starts", "up", "start").alias("start"), grown("ends", "down", "end").alias("end"),
+        (F.col("words") + F.col("up") + F.col("down")).cast("int").alias("words"), "f_doc", "f_row",
+        grown("f_starts", "up", "f_start").alias("f_start"), grown("f_ends", "down", "f_end").alias("f_end"))
+    both = materialize(both.where(F.col("words") >= RUN).withColumn(
+        "class_id", F.concat_ws("-", F.lit("1"), "f_row", "f_start", "f_end")), "passages")
+    level = F.lit(1).alias("level")
+    return both.select(F.col("doc").alias("doc_id"), level, "start", "end", "words", "class_id",
+                       F.lit(True).alias("removed")).union(
+        both.select("f_doc", level, "f_start", "f_end", "words", "class_id",
+                    F.lit(False).alias("removed")).distinct())
 
 
 def op1(docs: DataFrame) -> DataFrame:

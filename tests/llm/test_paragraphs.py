@@ -65,3 +65,27 @@ def test_edge_rows(edge, empty):
     ids = {r.doc_id for r in paragraphs.op1(edge).collect()}
     assert {2, -5, 11}.issuperset(ids & {2, -5, 11}) and -5 in ids and 4 not in ids and 5 not in ids
     assert paragraphs.op1(empty).count() == 0
+
+
+def test_short_passages_are_found_whole(spark):
+    """Passages of 51 words, each in two texts of other words: all of their words are reported."""
+    rnd, rows, want = random.Random(12), [], {}
+    fresh = lambda n: " ".join(f"w{rnd.randrange(10 ** 9)}" for _ in range(n))
+    for k in range(60):
+        passage = fresh(51)
+        for i in (2 * k, 2 * k + 1):
+            head = fresh(rnd.randint(5, 40)) + " "
+            rows.append((i, head + passage + " " + fresh(rnd.randint(5, 40))))
+            want[i] = (len(head), len(head) + len(passage))
+    got = paragraphs.op1(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.start, r.end) for r in got} == {(i, *span) for i, span in want.items()}
+    assert all(r.removed == (r.doc_id % 2 == 1) and r.words == 51 for r in got)
+
+
+def test_texts_without_ids_of_their_own_are_kept_apart(spark):
+    a, b = (prose(k, 60).replace("\n", " ") for k in (31, 32))
+    rows = [(7, a + " " + b), (7, b), (None, prose(33, 40)), (None, a)]
+    got = paragraphs.op1(spark.createDataFrame(rows, "doc_id long, text string")).where("level = 1").collect()
+    assert sorted((r.doc_id is None, r.removed) for r in got) == \
+        [(False, False), (False, True), (False, True), (True, False)]
+    assert {r.class_id for r in got if r.removed} == {r.class_id for r in got if not r.removed}
