@@ -1,12 +1,13 @@
 """Substring dedup by paragraph MinHash banding.
 
-Units of a text are its paragraphs (lines of at least ``LEAST`` words) and, so that a passage is
+Units of a text are its paragraphs (lines that hold a word) and, so that a passage is
 found wherever it stands inside other text, passages grown from seeds: of any ``WINDOW`` runs of
 ``SEED`` words that follow each other the one with the least hash is a seed, so two texts that
 share ``SEED + WINDOW - 1`` = 23 words share a seed. Words ignore ASCII case and punctuation.
 
 * Equal units form a class straight away (128 bits of hash, counted with partial sums).
-* One paragraph of each class gets ``BANDS`` x ``ROWS`` MinHashes of its five-word shingles; at a
+* One paragraph of each class gets ``BANDS`` x ``ROWS`` MinHashes of its five-word shingles (below
+  five words the whole line is one shingle, which only its equals share: no bands); at a
   similarity of 0.8 two paragraphs meet in some band with probability 1 - (1 - 0.8**3)**8 = 0.997.
   Bands of paragraphs that meet nobody are dropped after a count; bands with the same members
   are joined once.
@@ -39,7 +40,7 @@ from quotalens.llm.components import components
 
 SHINGLE = 5
 SIMILAR = 0.8
-LEAST = 20        # words of a paragraph
+LEAST = 1         # words of a paragraph
 BANDS, ROWS = 8, 3
 SEED = 12         # words of a seed
 WINDOW = 12       # neighbouring runs of words of which one is a seed
@@ -121,10 +122,13 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size = (end - begin).astype(np.uint64)
             h1 = mix64(_sums(h * power, begin, end) * inverse[begin] ^ size)
             h2 = mix64(_sums(two * power, begin, end) * inverse[begin] + size)
-            bands = _bands(h, begin, end) if level == 0 else None
-            lists = pa.array([None] * len(begin), pa.list_(pa.int64())) if bands is None else \
-                pa.ListArray.from_arrays(np.arange(len(begin) + 1, dtype=np.int32) * BANDS,
-                                         pa.array(bands.ravel().view(np.int64)))
+            lists = pa.array([None] * len(begin), pa.list_(pa.int64()))
+            if level == 0:
+                long = end - begin >= SHINGLE
+                bands = _bands(h, begin[long], end[long])
+                lists = pa.ListArray.from_arrays(
+                    np.append(0, np.cumsum(BANDS * long)).astype(np.int32),
+                    pa.array(bands.ravel().view(np.int64)))
             base = chars[offs[:-1]][doc]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(begin), level, np.int32)), b.column("doc_id").take(pa.array(doc)),
@@ -135,7 +139,9 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bands(h: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """[units, BANDS] hashes of ROWS MinHashes each."""
+    """[units, BANDS] hashes of ROWS MinHashes each, of units of at least SHINGLE words."""
+    if not len(begin):
+        return np.zeros((0, BANDS), np.uint64)
     shingle = _shingles(h)
     bounds = np.column_stack([begin, end - SHINGLE + 1]).ravel()
     tail = bounds[-1] < len(shingle)

@@ -89,3 +89,15 @@ def test_texts_without_ids_of_their_own_are_kept_apart(spark):
     assert sorted((r.doc_id is None, r.removed) for r in got) == \
         [(False, False), (False, True), (False, True), (True, False)]
     assert {r.class_id for r in got if r.removed} == {r.class_id for r in got if not r.removed}
+
+
+def test_lines_below_twenty_words(spark):
+    """Near copies of 19 words, equal lines of 7 and of 2 words; other short lines stay."""
+    w = [f"w{k}" for k in range(60)]
+    near = w[:18]
+    rows = [(0, "\n".join([" ".join([*near, "x"]), " ".join(w[20:27]), "two words"])),
+            (1, "\n".join([" ".join([*near, "y"]), " ".join(w[30:37]), "other"])),
+            (2, "\n".join([" ".join(w[40:58]), " ".join(w[20:27]).upper(), "two words"]))]
+    got = paragraphs.op1(spark.createDataFrame(rows, "doc_id long, text string")).where("level = 0").collect()
+    assert sorted((r.doc_id, r.words, r.removed) for r in got) == [
+        (0, 2, False), (0, 7, False), (0, 19, False), (1, 19, True), (2, 2, True), (2, 7, True)]
