@@ -26,7 +26,3 @@ def src(spark):
 def oct_params(src):
     from quotalens.operators.params import params
     return params(src, "PU1", ["October 1998"])
-
-
-def rows(df):
-    return sorted(tuple(r) for r in df.collect())

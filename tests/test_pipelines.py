@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from conftest import rows
 from quotalens.operators.params import params
 from quotalens.operators.payees import payee_snapshot
 from quotalens.plans import accrual as acc
 from quotalens.plans import attainment as att
+from tests.helpers import rows
 
 PERIODS = ["August 1998", "October 1998", "January 1999"]
 
