@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from quotalens.llm import (
-    decontaminate, fingerprints, langid, mixing, paragraphs, pieces,
-    secrets, simhash, substrings, toxicity,
+    collocations, decontaminate, fingerprints, langid, mixing, oracle, paragraphs, periodic, pieces,
+    secrets, sharding, simhash, substrings, toxicity,
 )
 from quotalens.llm.common import table
 
 QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_phrase_collocations": oracle.COLLOCATIONS,
+                          "op13_contiguous_shards": oracle.SHARDS}
 
 
 def query(fn):
@@ -65,3 +66,18 @@ def op1_paragraph_minhash(spark, sf_dir):
 @query
 def op9_context_mixing(spark, sf_dir):
     return mixing.op9(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_phrase_collocations(spark, sf_dir):
+    return collocations.op11(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_periodic_runs(spark, sf_dir):
+    return periodic.op12(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_contiguous_shards(spark, sf_dir):
+    return sharding.op13(table(spark, sf_dir, "documents"))
