@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.accrual_sql import CREDIT_TYPE, EVENT_TYPE, _dec
+from oracle.accrual_sql import CREDIT_TYPE, TXN, _dec
 from oracle.attainment_sql import (
     ATT_BASE, EXTRACT, PARAMS, PAYEES, PERIOD_LEVELS, TREE, attainment_text, base, cte, params)
 from quotalens.schemas import ACCRUAL_TITLES
@@ -66,22 +66,20 @@ WHERE coalesce(genericboolean1, 0) = 1 OR coalesce(genericboolean3, 0) = 1""",
     "fx_factor": f"""SELECT incentiveseq, CASE WHEN TRY_CAST({DEC4} AS DOUBLE) <> 0
   THEN CAST(TRY_CAST({DEC4} AS DOUBLE) / 100 AS DECIMAL(20,10)) ELSE CAST(0 AS DECIMAL(20,10))
   END AS fx_factor FROM cs_incentive""",
-    "target_income": f"""SELECT inc.incentiveseq,
-  CAST(CASE WHEN inc.genericnumber6 = 0 THEN pn.targetcompensation ELSE inc.genericnumber6 END
-       AS DECIMAL(25,10)) AS ti_loc,
-  CAST((CASE WHEN CAST(inc.genericnumber6 AS DECIMAL(18,2)) = 0 THEN pn.targetcompensation
-        ELSE CAST(inc.genericnumber6 AS DECIMAL(18,2)) END) *
-       (CASE WHEN TRY_CAST({DEC4.replace('genericattribute4', 'inc.genericattribute4')} AS DOUBLE) <> 0
-        THEN CAST(TRY_CAST({DEC4.replace('genericattribute4', 'inc.genericattribute4')} AS DOUBLE) / 100 AS DECIMAL(20,10))
-        ELSE CAST(0 AS DECIMAL(20,10)) END) AS DECIMAL(18,2)) AS ti_usd
-FROM cs_incentive inc, cs_position pn
-WHERE pn.removedate = {EOT} AND inc.payeeseq = pn.payeeseq
-  AND inc.positionseq = pn.ruleelementownerseq""",
-    "tier_rate": """SELECT co.commissionseq,
-  CASE WHEN IFNULL(CAST(t.genericnumber6 AS DOUBLE), 0) = 0 THEN 0.0
-  ELSE ROUND((CAST(co.ratevalue AS DOUBLE) * CAST(t.genericnumber1 AS DOUBLE))
-             / CAST(t.genericnumber6 AS DOUBLE)) END AS tier_rate
-FROM cs_commission co JOIN cs_incentive t ON co.incentiveseq = t.incentiveseq""",
+    "target_income": f"""
+WITH pay AS (
+  SELECT i.incentiveseq, i.genericnumber6 AS own, i.genericnumber6::DECIMAL(18,2) AS cents,
+         n.targetcompensation AS target, nullif({_dec("i.genericattribute4")}, 0) / 100 AS factor
+  FROM (FROM cs_position WHERE removedate = {EOT}) n
+  JOIN cs_incentive i ON (i.positionseq, i.payeeseq) = (n.ruleelementownerseq, n.payeeseq))
+SELECT incentiveseq, if(own = 0, target, own)::DECIMAL(25,10) AS ti_loc,
+       (if(cents = 0, target, cents) * coalesce(factor::DECIMAL(20,10), 0))::DECIMAL(18,2) AS ti_usd
+FROM pay""",
+    "tier_rate": """
+WITH pair AS (
+  SELECT commissionseq, ratevalue::DOUBLE AS rate, i.genericnumber1::DOUBLE AS quota, i.genericnumber6::DOUBLE AS ti
+  FROM cs_incentive i JOIN cs_commission USING (incentiveseq))
+SELECT commissionseq, CASE WHEN ti <> 0 THEN round(rate * quota / ti) ELSE 0.0 END AS tier_rate FROM pair""",
     "commission_usd": """SELECT creditseq, CAST(value * genericnumber3 AS DECIMAL(25,10)) AS commission_usd
 FROM cs_credit""",
     "credit_type_label": f"""SELECT c.creditseq, c.name, ct.credittypeid, {CREDIT_TYPE} AS credit_type
@@ -90,32 +88,38 @@ FROM cs_credit c JOIN cs_credittype ct ON c.credittypeseq = ct.datatypeseq AND c
   CASE WHEN ({CREDIT_TYPE}) IN ('Direct Receiver', 'Revenue Adjustment', 'Roll up') THEN NULL
   ELSE c.value END AS masked_value
 FROM cs_credit c JOIN cs_credittype ct ON c.credittypeseq = ct.datatypeseq AND ct.removedate = {EOT}""",
-    "event_type_label": f"""SELECT st.salestransactionseq, et.eventtypeid, {EVENT_TYPE} AS event_type
-FROM cs_salestransaction st
-JOIN cs_salesorder so ON so.salesorderseq = st.salesorderseq AND so.removedate = {EOT}
-JOIN cs_eventtype et ON et.datatypeseq = st.eventtypeseq AND et.removedate = {EOT}
-WHERE st.modelseq = 0""",
-    "order_txn_credit": f"""SELECT c.creditseq, so.orderid, et.eventtypeid, ct.credittypeid,
-  c.periodseq
-FROM cs_salesorder so
-INNER JOIN cs_salestransaction st ON st.salesorderseq = so.salesorderseq
-  AND so.removedate = {EOT} AND st.modelseq = 0
-INNER JOIN cs_eventtype et ON et.removedate = {EOT} AND et.datatypeseq = st.eventtypeseq
-INNER JOIN cs_credit c ON c.salestransactionseq = st.salestransactionseq
-  AND c.processingunitseq = st.processingunitseq
-INNER JOIN cs_credittype ct ON ct.datatypeseq = c.credittypeseq AND ct.removedate = {EOT}""",
-    "bridge_join": """SELECT pmc.creditseq, pmc.measurementseq, ipm.incentiveseq
-FROM cs_pmcredittrace pmc
-JOIN cs_measurement m ON pmc.measurementseq = m.measurementseq
-  AND pmc.targetperiodseq = m.periodseq AND pmc.processingunitseq = m.processingunitseq
-JOIN cs_incentivepmtrace ipm ON ipm.measurementseq = m.measurementseq
-  AND ipm.targetperiodseq = m.periodseq AND ipm.processingunitseq = m.processingunitseq""",
-    "self_trace": """SELECT s.incentiveseq, t.incentiveseq AS source_incentiveseq,
-  s.genericattribute1 AS plan_element, t.genericattribute1 AS source_plan_element
-FROM cs_incentive s
-JOIN cs_incentiveselftrace ist ON s.incentiveseq = ist.targetincentiveseq
-  AND ist.sourceperiodseq = s.periodseq
-JOIN cs_incentive t ON ist.sourceincentiveseq = t.incentiveseq""",
+    "event_type_label": cte(TXN) + "SELECT salestransactionseq, eventtypeid, label AS event_type FROM txn",
+    "order_txn_credit": cte(TXN) + f"""
+SELECT creditseq, orderid, eventtypeid, credittypeid, periodseq
+FROM cs_credit JOIN txn USING (salestransactionseq, processingunitseq)
+JOIN (SELECT credittypeid, datatypeseq AS credittypeseq FROM cs_credittype WHERE removedate = {EOT})
+  USING (credittypeseq)""",
+    "bridge_join": """
+WITH measured AS (
+  SELECT measurementseq, periodseq AS targetperiodseq, processingunitseq FROM cs_measurement)
+SELECT k.creditseq, measurementseq, i.incentiveseq
+FROM measured
+JOIN cs_incentivepmtrace i USING (measurementseq, targetperiodseq, processingunitseq)
+JOIN cs_pmcredittrace k USING (measurementseq, targetperiodseq, processingunitseq)""",
+    "self_trace": """
+WITH who AS (SELECT incentiveseq, periodseq, genericattribute1 AS element FROM cs_incentive)
+SELECT reported.incentiveseq, origin.incentiveseq AS source_incentiveseq,
+       reported.element AS plan_element, origin.element AS source_plan_element
+FROM cs_incentiveselftrace e
+JOIN who origin ON origin.incentiveseq = e.sourceincentiveseq
+JOIN who reported ON (reported.incentiveseq, reported.periodseq) = (e.targetincentiveseq, e.sourceperiodseq)""",
+    "period_transactions": """
+WITH credited AS (SELECT DISTINCT periodseq, salestransactionseq, processingunitseq FROM cs_credit)
+SELECT c.periodseq, salestransactionseq, processingunitseq, t.value, o.orderid
+FROM credited c JOIN cs_salestransaction t USING (salestransactionseq, processingunitseq)
+JOIN cs_salesorder o USING (salesorderseq)
+WHERE t.modelseq = 0 AND o.removedate = """ + EOT,
+    "period_billto": """
+SELECT c.periodseq, a.salestransactionseq, count(*) AS addresses, max(a.country) AS country, max(a.company) AS company
+FROM (SELECT DISTINCT periodseq, salestransactionseq FROM cs_credit) c
+JOIN cs_transactionaddress a USING (salestransactionseq)
+WHERE a.addresstypeseq IN (SELECT addresstypeseq FROM cs_addresstype WHERE addresstypeid = 'BILLTO')
+GROUP BY ALL""",
     "dept_code": "SELECT positionseq, periodseq, SUBSTRING(cc_dept, 1, 4) AS dept_code FROM rpt_orgdata",
     "full_name": f"""SELECT payeeseq, effectivestartdate, lastname || ' ' || firstname AS full_name
 FROM cs_participant WHERE removedate = {EOT}""",

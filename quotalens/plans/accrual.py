@@ -2,17 +2,19 @@
 
 Plan shape (Spark-first rewrites of the reference's five INSERT arms):
 
-* one *transaction core* ``order x transaction x event type`` and one *credit core*
-  ``credit x credit type x transaction core`` shared by every arm; the two type tables are
-  dimension-sized and broadcast;
+* every arm starts from the run's org rows and incentives or credits and attaches orders and
+  transactions last. A catalogue with access paths (``quotalens.sources.period_paths``) gives
+  those by the credits' periods, so one month's report reads its own partitions only; without
+  paths the credits meet the transaction table first and orders after it;
 * the regular arm's left-join chain is written as inner joins (its WHERE rejects NULLs) and the
   many-to-many bridge credit -> measurement -> incentive is first reduced to the DISTINCT
-  tuples the output can see, so the wide 58-column rows are built after the fan-out is gone;
-  the final DISTINCT stays (two incentives can still print equal rows);
+  tuples the output can see. With paths the arm's DISTINCT is taken before the transaction's
+  columns are attached (they are unique there), otherwise over all columns at the end;
+* a measurement that a large share of all credits feeds is salted in the bridge;
 * every period predicate is a join with the broadcast parameter rows (one per target
-  period), so one job serves many periods and period-partitioned facts are pruned;
-* the bill-to lookup is a validated left join: addresses are semi-joined to the staged
-  transaction keys, aggregated per transaction, and more than one BILLTO row raises.
+  period), so one job serves many periods, and a list of literals, which prunes partitions;
+* the bill-to lookup is a validated left join: one row per transaction and the number of its
+  BILLTO addresses, and more than one raises.
 """
 
 from __future__ import annotations
@@ -27,10 +29,13 @@ from quotalens.functions.exprs import (
     DEFAULT_INVOICE_LABEL, checked_number, credit_type_label, decorated_number, dept_code, event_type_label, exact_product,
     flag_set, format_by_plan_element, fx_rate, mask_by_credit_type, round4_text, tier_rate)
 from quotalens.operators.params import period_keys
+from quotalens.operators.skew import hot_keys, salted_join
 from quotalens.operators.versioning import live
 from quotalens.schemas import ACCRUAL_TITLES, STAGING_NAMES, STAGING_TYPES
 from quotalens.session import scratch_path
 from quotalens.sinks.report import ACCRUAL_PREFIX, full_refresh, write_reports
+from quotalens.sources.period_paths import (
+    MEASUREMENT_KEYS, billto_addresses, credit_traces, one_address, orders, transactions)
 
 ARMS = ("regular", "mbo", "yoy", "cip", "guarantee")
 RULES = ("FY26", "FY25")
@@ -42,7 +47,6 @@ YOY = "YOY Growth"
 CIP_ELEMENTS = ["CIP", "Payment Adjustment"]
 GUARANTEE_NAMES = ["IO Guarantee"]
 GUARANTEE_LABEL = "Guarantee"
-BILLTO = "BILLTO"
 
 
 # ---------------------------------------------------------------------------------------
@@ -75,29 +79,15 @@ def _org_in_run(sources, params: DataFrame) -> DataFrame:
     return h.join(p, (h.h_period == p.v_period) & (h.h_unit == p.v_unit))
 
 
-def transaction_core(sources) -> DataFrame:
-    """Live order x model-0 transaction x live event type."""
-    return sources.memo("txn_core", lambda: _transaction_core(sources))
-
-
-def _transaction_core(sources) -> DataFrame:
-    so = live(sources["cs_salesorder"]).select(
-        F.col("salesorderseq").alias("so_seq"), F.col("orderid").alias("so_orderid"))
-    st = sources["cs_salestransaction"].where(F.col("modelseq") == 0).select(
-        F.col("salestransactionseq").alias("st_seq"), F.col("salesorderseq").alias("st_order"),
-        F.col("processingunitseq").alias("st_unit"), F.col("eventtypeseq").alias("st_event"),
-        F.col("sublinenumber").alias("st_subline"), F.col("accountingdate").alias("st_accdate"),
-        F.col("compensationdate").alias("st_compdate"), F.col("value").alias("st_value"),
-        F.col("nativecurrencyamount").alias("st_native"),
-        F.col("nativecurrency").alias("st_native_ccy"),
-        F.col("numberofunits").alias("st_units"), F.col("productid").alias("st_productid"),
-        F.col("productdescription").alias("st_productdesc"), F.col("comments").alias("st_comments"),
-        *[F.col(f"genericattribute{i}").alias(f"st_ga{i}") for i in (2, 4, 6, 8, 9, 10, 11, 12, 20, 21)],
-        F.col("genericdate2").alias("st_gd2"), F.col("genericdate3").alias("st_gd3"))
-    et = live(sources["cs_eventtype"]).select(
+def event_types(sources) -> DataFrame:
+    return live(sources["cs_eventtype"]).select(
         F.col("datatypeseq").alias("et_seq"), F.col("eventtypeid").alias("et_id"))
-    core = st.join(so, st.st_order == so.so_seq)
-    return core.join(et, core.st_event == et.et_seq)
+
+
+def transaction_core(sources) -> DataFrame:
+    """Live order x model-0 transaction x live event type, of every period."""
+    st, so, et = transactions(sources), orders(sources), event_types(sources)
+    return st.join(so, st.st_order == so.so_seq).join(et, st.st_event == et.et_seq)
 
 
 def credits(sources) -> DataFrame:
@@ -118,14 +108,85 @@ def _credits(sources) -> DataFrame:
     return c.join(ct, c.c_type == ct.ct_seq)
 
 
-def with_transactions(x: DataFrame, t: DataFrame) -> DataFrame:
-    """Attach the transaction core to credit rows on (transaction, unit)."""
-    return x.join(t, (x.c_txn == t.st_seq) & (x.c_unit == t.st_unit))
+def with_transactions(sources, x: DataFrame, keys: list[int] | None = None) -> DataFrame:
+    """Attach transaction, live order and live event type to credit rows on (transaction, unit).
+
+    ``keys`` are the credits' periods; with them and a transaction path only those partitions are
+    read. Otherwise the credits restrict the transactions before the orders are joined.
+    """
+    if "path_transaction" in sources:
+        t = sources["path_transaction"].withColumnRenamed("periodseq", "st_period")
+        if keys is not None:
+            t = t.where(F.col("st_period").isin(keys))
+        x = x.join(t, (x.c_txn == t.st_seq) & (x.c_unit == t.st_unit) & (x.c_period == t.st_period))
+    else:
+        st, so = transactions(sources), orders(sources)
+        x = x.join(st, (x.c_txn == st.st_seq) & (x.c_unit == st.st_unit)).join(
+            so, F.col("st_order") == so.so_seq)
+    et = event_types(sources)
+    return x.join(et, F.col("st_event") == et.et_seq)
 
 
 def credit_core(sources) -> DataFrame:
     """Credit x live credit type x transaction core on (transaction, unit) - every period."""
-    return with_transactions(credits(sources), transaction_core(sources))
+    c, t = credits(sources), transaction_core(sources)
+    return c.join(t, (c.c_txn == t.st_seq) & (c.c_unit == t.st_unit))
+
+
+def source_incentives(sources, keys: list[int]) -> DataFrame:
+    """Self traces of the target periods with the key columns of their source incentives."""
+    if "path_source" in sources:
+        return sources["path_source"].withColumnRenamed("periodseq", "ist_speriod").where(
+            F.col("ist_speriod").isin(keys))
+    ist = sources["cs_incentiveselftrace"].select(
+        F.col("sourceincentiveseq").alias("ist_source"), F.col("targetincentiveseq").alias("ist_target"),
+        F.col("sourceperiodseq").alias("ist_speriod")).where(F.col("ist_speriod").isin(keys))
+    t = _incentive(sources, "t").select("t_incentiveseq", "t_periodseq", "t_processingunitseq", "t_positionseq")
+    return ist.join(t, ist.ist_source == t.t_incentiveseq).drop("ist_source")
+
+
+def source_keys(sources, params: DataFrame) -> list[int] | None:
+    """Periods of the targets' source incentives: calendar-sized, so literals, as the target's own.
+
+    Known only with a path, whose partitions are small; None means any period.
+    """
+    if "path_source" not in sources:
+        return None
+    return sources.memo(("source-keys", id(params)), lambda: (params, sorted(
+        r[0] for r in source_incentives(sources, period_keys(sources, params))
+        .select("t_periodseq").distinct().collect() if r[0] is not None)))[1]
+
+
+def _hot_measurements(sources, keys: list[int] | None) -> DataFrame:
+    """Measurements whose credit traces are spread over several tasks (fewer than a thousand)."""
+    if "path_hot_measurement" in sources:
+        hot = sources["path_hot_measurement"].withColumnRenamed("periodseq", "b_tperiod")
+        return hot if keys is None else hot.where(F.col("b_tperiod").isin(keys))
+    traces = credit_traces(sources)
+    return hot_keys(traces if keys is None else traces.where(F.col("b_tperiod").isin(keys)), MEASUREMENT_KEYS)
+
+
+def bridge(sources, keys: list[int] | None = None, hot: DataFrame | None = None) -> DataFrame:
+    """credit -> measurement -> incentive on (measurement, period, unit), fan-out kept.
+
+    Measurements and incentive traces (few rows a measurement) are joined first; the credit traces,
+    of which one measurement may have a large share, come last and are salted.
+    """
+    mt = sources["cs_measurement"].select(
+        F.col("measurementseq").alias("m_seq"), F.col("processingunitseq").alias("m_unit"),
+        F.col("periodseq").alias("m_period"))
+    ipm = sources["cs_incentivepmtrace"].select(
+        F.col("incentiveseq").alias("i_inc"), F.col("measurementseq").alias("i_meas"),
+        F.col("targetperiodseq").alias("i_tperiod"), F.col("processingunitseq").alias("i_unit"))
+    pmc = credit_traces(sources)
+    if keys is not None:  # each side reads the periods' partitions only
+        pmc, mt, ipm = (x.where(F.col(c).isin(keys)) for x, c in (
+            (pmc, "b_tperiod"), (mt, "m_period"), (ipm, "i_tperiod")))
+    fed = mt.join(ipm, (ipm.i_meas == mt.m_seq) & (ipm.i_tperiod == mt.m_period)
+                  & (ipm.i_unit == mt.m_unit)).select("i_inc", "m_seq", "m_period", "m_unit")
+    on = list(zip(MEASUREMENT_KEYS, ("m_seq", "m_period", "m_unit")))
+    hot = _hot_measurements(sources, keys) if hot is None else hot
+    return salted_join(pmc, fed, on, "b_credit", hot).drop("m_seq", "m_period", "m_unit")
 
 
 def _incentive(sources, prefix: str) -> DataFrame:
@@ -226,62 +287,65 @@ def _staging_row(df: DataFrame, arm: str, cols: dict[str, Column],
 # ---------------------------------------------------------------------------------------
 
 def _bridge_regular(sources, params: DataFrame) -> DataFrame:
-    """credit -> measurement -> incentive, reduced to the DISTINCT tuples the output uses.
+    """The bridge with the run's plan incentives, reduced to the DISTINCT tuples the output uses.
 
-    Inner joins: the reference's WHERE on the last table of the left-join chain rejects
-    NULL rows. The three bridge tables join on measurementseq (one shuffle each, co-partitioned
-    sort-merge joins); the incentive side is filtered by flag, weight and plan element first.
+    Inner joins: the reference's WHERE on the last table of the left-join chain rejects NULL rows.
+    The incentive side is filtered by flag, weight and plan element first.
     """
-    pmct = sources["cs_pmcredittrace"].select(
-        F.col("creditseq").alias("b_credit"), F.col("measurementseq").alias("b_meas"),
-        F.col("targetperiodseq").alias("b_tperiod"), F.col("processingunitseq").alias("b_unit"))
-    mt = sources["cs_measurement"].select(
-        F.col("measurementseq").alias("m_seq"), F.col("processingunitseq").alias("m_unit"),
-        F.col("periodseq").alias("m_period"))
-    ipm = sources["cs_incentivepmtrace"].select(
-        F.col("incentiveseq").alias("i_inc"), F.col("measurementseq").alias("i_meas"),
-        F.col("targetperiodseq").alias("i_tperiod"), F.col("processingunitseq").alias("i_unit"))
     p = F.broadcast(_params(params).select("v_period").distinct())
-    sinc = _incentive(sources, "s")
     keys = period_keys(sources, params)
-    pmct, mt, ipm = (x.where(F.col(c).isin(keys)) for x, c in (
-        (pmct, "b_tperiod"), (mt, "m_period"), (ipm, "i_tperiod")))
-    sinc = sinc.where(F.col("s_periodseq").isin(keys)).join(p, sinc.s_periodseq == p.v_period).where(
+    sinc = _incentive(sources, "s").where(F.col("s_periodseq").isin(keys))
+    sinc = sinc.join(p, sinc.s_periodseq == p.v_period).where(
         flag_set("s_genericboolean1") & _weight_positive("s_genericattribute2")
         & ~F.col("s_genericattribute1").isin(*OWN_ARM_PLAN_ELEMENTS))
-    b = (pmct.join(mt, (pmct.b_meas == mt.m_seq) & (mt.m_unit == pmct.b_unit)
-                   & (mt.m_period == pmct.b_tperiod))
-         .join(ipm, (ipm.i_meas == mt.m_seq) & (ipm.i_tperiod == mt.m_period)
-               & (mt.m_unit == ipm.i_unit)))
-    b = b.join(sinc, (b.i_inc == sinc.s_incentiveseq) & (b.i_tperiod == sinc.s_periodseq)
-               & (sinc.s_processingunitseq == b.i_unit) & (sinc.s_periodseq == b.m_period))
+    b = bridge(sources, keys)
+    b = b.join(sinc, (b.i_inc == sinc.s_incentiveseq) & (b.b_tperiod == sinc.s_periodseq)
+               & (sinc.s_processingunitseq == b.b_unit))
     return b.select(
-        "b_credit", "b_unit", F.col("m_period").alias("b_period"),
+        "b_credit", "b_unit", F.col("b_tperiod").alias("b_period"),
         F.col("s_positionseq").alias("b_position"), "s_genericattribute1",
         "s_genericattribute4", "s_genericnumber1", "s_genericnumber6").distinct()
 
 
-def arm_regular(sources, params: DataFrame, invoice_label: str = DEFAULT_INVOICE_LABEL,
-                cc: DataFrame | None = None) -> DataFrame:
-    """FY26 regular arm: credits of the period with their plan incentive, DISTINCT."""
-    c = credits(sources).where(F.col("c_period").isin(period_keys(sources, params)))
+def arm_regular(sources, params: DataFrame, invoice_label: str = DEFAULT_INVOICE_LABEL) -> DataFrame:
+    """FY26 regular arm: credits of the period with their plan incentive, DISTINCT.
+
+    With a transaction path (one row per period, unit and transaction and its printed columns) the
+    DISTINCT is taken over the narrow columns known before the transaction is attached, credit and
+    transaction keys among them; two rows that differ there differ in the output (a credit's key is
+    unique across units). Without one it is taken over all columns at the end.
+    """
+    keys = period_keys(sources, params)
+    c = credits(sources).where(F.col("c_period").isin(keys))
     h = org_in_run(sources, params)
     # the period's credits meet its org rows first; transactions are attached last
     x = c.join(h, (h.h_positionseq == c.c_position) & (c.c_period == h.v_period))
     br = _bridge_regular(sources, params)
     x = x.join(br, (br.b_credit == x.c_seq) & (br.b_unit == x.c_unit)
                & (br.b_period == x.c_period) & (br.b_position == x.h_positionseq))
-    x = with_transactions(x, transaction_core(sources) if cc is None else cc)
-    fx = fx_rate("s_genericattribute4")
-    cols = {**_common(invoice_label), **_credit_cols(invoice_label),
+    text = F.col("s_genericattribute4")
+    narrow = {**{n: e for n, e in _common(invoice_label).items()},
+              "credit_name": F.col("c_name"), "credittypeid": F.col("ct_id"), "creditseq": F.col("c_seq"),
+              "exchange_rate": fx_rate("s_genericattribute4"), "quota": F.col("s_genericnumber1"),
+              "ti_loc": F.col("s_genericnumber6"), "plan_element": F.col("s_genericattribute1"),
+              "c_txn": F.col("c_txn"), "c_unit": F.col("c_unit"), "c_period": F.col("c_period")}
+    x = x.select(*[e.alias(n) for n, e in narrow.items()],
+                 F.when(text.isNotNull() & decorated_number(text).isNull(), 1).otherwise(0).alias("parse_failed"))
+    early = "path_transaction" in sources
+    if early:
+        x = x.groupBy(*narrow).agg(F.max("parse_failed").alias("parse_failed"))
+    x = with_transactions(sources, x, keys)
+    known = {n: F.col(n) for n in narrow if n in STAGING_TYPES}
+    cols = {**_credit_cols(invoice_label), **known,
+            "credit_type": credit_type_label("credittypeid", "credit_name"),
             "nativecurrencyamount": F.coalesce(F.col("st_native"), F.lit(0)),
-            "exchange_rate": fx,
-            "trxn_amount": exact_product("st_value", fx),
-            "quota": F.col("s_genericnumber1"), "ti_loc": F.col("s_genericnumber6"),
-            "plan_element": F.col("s_genericattribute1")}
-    rows = _staging_row(x, "regular", cols, F.col("s_genericattribute4"))
-    keys = STAGING_NAMES + ["arm"]
-    return rows.groupBy(*keys).agg(F.max("parse_failed").alias("parse_failed"))
+            "trxn_amount": exact_product("st_value", "exchange_rate")}
+    pad = _null_padding()
+    rows = x.select(*[pad[n] if n not in cols else cols[n].cast(STAGING_TYPES[n]).alias(n) for n in STAGING_NAMES],
+                    F.lit("regular").alias("arm"), "parse_failed")
+    if early:
+        return rows
+    return rows.groupBy(*STAGING_NAMES, "arm").agg(F.max("parse_failed").alias("parse_failed"))
 
 
 def _org_incentive(sources, params: DataFrame, cond: Column) -> DataFrame:
@@ -293,31 +357,15 @@ def _org_incentive(sources, params: DataFrame, cond: Column) -> DataFrame:
 
 
 def _to_credits(sources, x: DataFrame, inc_prefix: str, keys: list[int] | None = None) -> DataFrame:
-    """incentive -> incentive trace -> measurement -> credit trace -> credit (+ type)."""
-    ipm = sources["cs_incentivepmtrace"].select(
-        F.col("incentiveseq").alias("i_inc"), F.col("measurementseq").alias("i_meas"),
-        F.col("targetperiodseq").alias("i_tperiod"), F.col("processingunitseq").alias("i_unit"))
-    m = sources["cs_measurement"].select(
-        F.col("measurementseq").alias("m_seq"), F.col("periodseq").alias("m_period"),
-        F.col("processingunitseq").alias("m_unit"))
-    pmc = sources["cs_pmcredittrace"].select(
-        F.col("creditseq").alias("p_credit"), F.col("measurementseq").alias("p_meas"),
-        F.col("targetperiodseq").alias("p_tperiod"), F.col("processingunitseq").alias("p_unit"))
-    if keys is not None:  # the incentives' own periods: each side reads those partitions only
-        ipm, m, pmc = (x_.where(F.col(c_).isin(keys)) for x_, c_ in (
-            (ipm, "i_tperiod"), (m, "m_period"), (pmc, "p_tperiod")))
-    # measurement-keyed bridge first (co-partitioned on measurementseq), then the incentive
-    b = (ipm.join(m, (m.m_seq == ipm.i_meas) & (m.m_period == ipm.i_tperiod)
-                  & (m.m_unit == ipm.i_unit))
-         .join(pmc, (m.m_seq == pmc.p_meas) & (m.m_period == pmc.p_tperiod)
-               & (m.m_unit == pmc.p_unit)))
-    inc = F.col(f"{inc_prefix}_incentiveseq")
-    y = x.join(b, (inc == b.i_inc) & (F.col(f"{inc_prefix}_periodseq") == b.i_tperiod)
-               & (F.col(f"{inc_prefix}_processingunitseq") == b.i_unit))
+    """incentive -> bridge -> credit (+ type); ``keys`` are the incentives' periods, None is any."""
+    b = bridge(sources, keys)
+    y = x.join(b, (F.col(f"{inc_prefix}_incentiveseq") == b.i_inc)
+               & (F.col(f"{inc_prefix}_periodseq") == b.b_tperiod)
+               & (F.col(f"{inc_prefix}_processingunitseq") == b.b_unit))
     c = credits(sources)
     if keys is not None:
         c = c.where(F.col("c_period").isin(keys))
-    return y.join(c, (c.c_period == y.p_tperiod) & (c.c_unit == y.p_unit) & (c.c_seq == y.p_credit))
+    return y.join(c, (c.c_period == y.b_tperiod) & (c.c_unit == y.b_unit) & (c.c_seq == y.b_credit))
 
 
 # The MBO, YOY Growth, CIP and FY25-regular arms differ only in which incentive reaches which
@@ -333,7 +381,7 @@ PRE_TYPES = {
 }
 ORG_COLS = ["v_period", "v_periodname", "v_unit", "v_unitname", "h_payeeseq", "h_positionseq",
             "h_payeeid", "h_fullname", "h_m1", "h_m2", "h_division", "h_cc_dept", "h_currency"]
-CREDIT_COLS = ["c_seq", "c_name", "ct_id", "c_txn", "c_unit", "c_value", "c_gn2", "c_gn3",
+CREDIT_COLS = ["c_seq", "c_name", "ct_id", "c_txn", "c_unit", "c_period", "c_value", "c_gn2", "c_gn3",
                "c_gn6"]
 
 
@@ -349,14 +397,9 @@ def _pre_mbo(sources, params: DataFrame) -> DataFrame:
     """MBO: reported incentive <- self trace <- source incentive -> measurements -> credits."""
     x = _org_incentive(sources, params, (F.col("s_genericattribute1") == MBO)
                        & _weight_positive("s_genericattribute2"))
-    ist = sources["cs_incentiveselftrace"].select(
-        F.col("sourceincentiveseq").alias("ist_source"),
-        F.col("targetincentiveseq").alias("ist_target"),
-        F.col("sourceperiodseq").alias("ist_speriod"))
-    x = x.join(ist, (x.s_incentiveseq == ist.ist_target) & (ist.ist_speriod == x.s_periodseq))
-    t = _incentive(sources, "t").select("t_incentiveseq", "t_periodseq", "t_processingunitseq")
-    x = x.join(t, x.ist_source == t.t_incentiveseq)
-    return _pre(_to_credits(sources, x, "t"), "mbo")
+    t = source_incentives(sources, period_keys(sources, params))
+    x = x.join(t, (x.s_incentiveseq == t.ist_target) & (t.ist_speriod == x.s_periodseq))
+    return _pre(_to_credits(sources, x, "t", source_keys(sources, params)), "mbo")
 
 
 def _pre_direct(sources, params: DataFrame, arms: list[str]) -> DataFrame:
@@ -375,22 +418,21 @@ def _pre_regular_fy25(sources, params: DataFrame) -> DataFrame:
     """FY25 regular: reported incentive <- self trace <- source incentive -> commission ->
     credit. No plan-element exclusion and no DISTINCT."""
     x = _org_incentive(sources, params, _weight_positive("s_genericattribute2"))
-    ist = sources["cs_incentiveselftrace"].select(
-        F.col("sourceincentiveseq").alias("ist_source"),
-        F.col("targetincentiveseq").alias("ist_target"),
-        F.col("sourceperiodseq").alias("ist_speriod"))
-    x = x.join(ist, (ist.ist_speriod == x.s_periodseq) & (x.s_incentiveseq == ist.ist_target))
-    t = _incentive(sources, "t").select("t_incentiveseq", "t_periodseq", "t_processingunitseq",
-                                        "t_positionseq")
-    x = x.join(t, x.ist_source == t.t_incentiveseq)
+    t = source_incentives(sources, period_keys(sources, params))
+    x = x.join(t, (t.ist_speriod == x.s_periodseq) & (x.s_incentiveseq == t.ist_target))
     co = sources["cs_commission"].select(
         F.col("commissionseq").alias("co_seq"), F.col("periodseq").alias("co_period"),
         F.col("processingunitseq").alias("co_unit"), F.col("positionseq").alias("co_position"),
         F.col("incentiveseq").alias("co_inc"), F.col("creditseq").alias("co_credit"),
         F.col("value").alias("co_value"), F.col("ratevalue").alias("co_rate"))
+    keys = source_keys(sources, params)
+    if keys is not None:
+        co = co.where(F.col("co_period").isin(keys))
     x = x.join(co, (x.t_periodseq == co.co_period) & (x.t_processingunitseq == co.co_unit)
                & (x.t_positionseq == co.co_position) & (x.t_incentiveseq == co.co_inc))
     c = credits(sources)
+    if keys is not None:
+        c = c.where(F.col("c_period").isin(keys))
     y = x.join(c, (c.c_period == x.co_period) & (c.c_unit == x.co_unit)
                & (c.c_position == x.co_position) & (c.c_seq == x.co_credit))
     return _pre(y, "regular")
@@ -455,16 +497,15 @@ def _credit_arm_measures(rules: str) -> tuple[dict[str, Column], Column]:
 
 
 def credit_arms(sources, params: DataFrame, arms: list[str], rules: str = "FY26",
-                invoice_label: str = DEFAULT_INVOICE_LABEL,
-                cc: DataFrame | None = None) -> DataFrame:
+                invoice_label: str = DEFAULT_INVOICE_LABEL) -> DataFrame:
     """Staging rows of the credit arms in ``arms`` (mbo, yoy, cip, and 'regular' = FY25's),
-    built with one transaction-core join for all of them."""
+    built with one transaction join for all of them."""
     direct = [a for a in arms if a in ("yoy", "cip")]
     parts = [_pre_mbo(sources, params)] if "mbo" in arms else []
     parts += [_pre_direct(sources, params, direct)] if direct else []
     parts += [_pre_regular_fy25(sources, params)] if "regular" in arms else []
     pre = reduce(DataFrame.unionByName, parts)
-    y = with_transactions(pre, transaction_core(sources) if cc is None else cc)
+    y = with_transactions(sources, pre, _credit_keys(sources, params))
     measures, failed = _credit_arm_measures(rules)
     cols = {**_common(invoice_label), **_credit_cols(invoice_label),
             **{k: _case_on_arm(k, v) for k, v in measures.items()}}
@@ -476,32 +517,36 @@ def credit_arms(sources, params: DataFrame, arms: list[str], rules: str = "FY26"
     return y.select(*out, "arm", failed.alias("parse_failed"))
 
 
+def _credit_keys(sources, params: DataFrame) -> list[int] | None:
+    """Periods in which the run's credits can lie: the targets' and their source incentives'."""
+    more = source_keys(sources, params)
+    return None if more is None else sorted({*period_keys(sources, params), *more})
+
+
 def arm_mbo(sources, params: DataFrame, rules: str = "FY26",
-            invoice_label: str = DEFAULT_INVOICE_LABEL, cc: DataFrame | None = None) -> DataFrame:
+            invoice_label: str = DEFAULT_INVOICE_LABEL) -> DataFrame:
     """MBO arm: reported incentive <- self trace <- source incentive -> measurements -> credits."""
-    return credit_arms(sources, params, ["mbo"], rules, invoice_label, cc)
+    return credit_arms(sources, params, ["mbo"], rules, invoice_label)
 
 
 def arm_yoy(sources, params: DataFrame, rules: str = "FY26",
-            invoice_label: str = DEFAULT_INVOICE_LABEL, cc: DataFrame | None = None) -> DataFrame:
+            invoice_label: str = DEFAULT_INVOICE_LABEL) -> DataFrame:
     """YOY Growth arm: incentive -> measurements -> credits; weight test applies."""
-    return credit_arms(sources, params, ["yoy"], rules, invoice_label, cc)
+    return credit_arms(sources, params, ["yoy"], rules, invoice_label)
 
 
 def arm_cip(sources, params: DataFrame, rules: str = "FY26",
-            invoice_label: str = DEFAULT_INVOICE_LABEL, cc: DataFrame | None = None) -> DataFrame:
+            invoice_label: str = DEFAULT_INVOICE_LABEL) -> DataFrame:
     """CIP / Payment Adjustment arm: as YOY without the weight test."""
-    return credit_arms(sources, params, ["cip"], rules, invoice_label, cc)
+    return credit_arms(sources, params, ["cip"], rules, invoice_label)
 
 
-def arm_regular_fy25(sources, params: DataFrame, invoice_label: str = DEFAULT_INVOICE_LABEL,
-                     cc: DataFrame | None = None) -> DataFrame:
+def arm_regular_fy25(sources, params: DataFrame, invoice_label: str = DEFAULT_INVOICE_LABEL) -> DataFrame:
     """FY25 regular arm (commission-based, no exclusion, no DISTINCT)."""
-    return credit_arms(sources, params, ["regular"], "FY25", invoice_label, cc)
+    return credit_arms(sources, params, ["regular"], "FY25", invoice_label)
 
 
-def arm_guarantee(sources, params: DataFrame, invoice_label: str = DEFAULT_INVOICE_LABEL,
-                  cc: DataFrame | None = None) -> DataFrame:
+def arm_guarantee(sources, params: DataFrame, invoice_label: str = DEFAULT_INVOICE_LABEL) -> DataFrame:
     """Guarantee arm: org x 'IO Guarantee' incentives only; no transaction columns."""
     x = _org_incentive(sources, params, F.col("s_name").isin(*GUARANTEE_NAMES))
     cols = {**_common(invoice_label),
@@ -526,32 +571,32 @@ def accrual_staging(sources, params: DataFrame, rules: str = "FY26",
     """
     if rules not in RULES:
         raise ValueError(f"rules must be one of {RULES}")
-    cc = transaction_core(sources)
     if rules == "FY25":
         credit = credit_arms(sources, params, ["regular", "mbo", "yoy", "cip"], rules,
-                             invoice_label, cc)
+                             invoice_label)
         arms = [credit]
     else:
-        arms = [arm_regular(sources, params, invoice_label, cc),
-                credit_arms(sources, params, ["mbo", "yoy", "cip"], rules, invoice_label, cc)]
+        arms = [arm_regular(sources, params, invoice_label),
+                credit_arms(sources, params, ["mbo", "yoy", "cip"], rules, invoice_label)]
     arms.append(arm_guarantee(sources, params, invoice_label))
     return reduce(DataFrame.unionByName, arms)
 
 
-def billto_enrich(sources, staging: DataFrame) -> DataFrame:
+def billto_enrich(sources, staging: DataFrame, params: DataFrame | None = None) -> DataFrame:
     """Fill country/state/customer id/company from the transaction's BILLTO address.
 
     No address -> NULLs; more than one BILLTO row for a transaction raises (the reference's
-    scalar subquery would); only transactions that are staged are checked.
+    scalar subquery would); only transactions that are staged are checked. With ``params`` and an
+    address path only the addresses of the run's periods are read.
     """
-    at = sources["cs_addresstype"].where(F.col("addresstypeid") == BILLTO).select(
-        F.col("addresstypeseq").alias("at_seq"))
-    addr = sources["cs_transactionaddress"]
-    bill = addr.join(at, addr.addresstypeseq == at.at_seq)
-    one = bill.groupBy(F.col("salestransactionseq").alias("a_txn")).agg(
-        F.count(F.lit(1)).alias("a_n"),
-        F.max("country").alias("a_country"), F.max("state").alias("a_state"),
-        F.max("custid").alias("a_custid"), F.max("company").alias("a_company"))
+    if params is not None and "path_billto" in sources:
+        known, keys = sources["path_billto"], _credit_keys(sources, params)
+        if keys is not None:
+            known = known.where(F.col("periodseq").isin(keys))
+        # a transaction credited in two periods stands in both
+        one = known.groupBy("a_txn").agg(*[F.max(c).alias(c) for c in known.columns if c not in ("periodseq", "a_txn")])
+    else:
+        one = one_address(billto_addresses(sources), F.col("salestransactionseq").alias("a_txn"))
     j = staging.join(one, staging.salestransactionseq == one.a_txn, "left")
     ok = F.when(F.col("a_n") > 1, F.raise_error(F.concat(
         F.lit("more than one BILLTO address for transaction "), F.col("a_txn").cast("string"))))
@@ -630,7 +675,8 @@ def accrual_job(sources, params: DataFrame, folder: str, run_date, rules: str =
     """
     spark = sources.spark
     root = root or scratch_path(spark, f"accrual-{uuid.uuid4().hex}")
-    staged = full_refresh(billto_enrich(sources, accrual_staging(sources, params, rules)), root, "staging")
+    staged = full_refresh(
+        billto_enrich(sources, accrual_staging(sources, params, rules), params), root, "staging")
     write_reports(accrual_details(staged, rules, by_period=True), folder, accrual_order(), params,
                  ACCRUAL_PREFIX, run_date)
     return step_log(staged)

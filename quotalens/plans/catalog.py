@@ -8,6 +8,7 @@ tables. Standard run parameters: unit 'PU1', calendar 'Main Fiscal Calendar', pe
 from __future__ import annotations
 
 import gc
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -489,6 +490,55 @@ def accrual_report_all_periods(spark, sf_dir):
     return acc.accrual_details(staged, "FY26", by_period=True)
 
 
+_PATHS: dict = {}
+
+
+def paths_for(spark: SparkSession, sf_dir: str):
+    """The derived tables with access paths by period, written once per session."""
+    from quotalens.session import scratch_path
+    from quotalens.sources.period_paths import with_paths, write_paths
+    src = sources_for(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PATHS:
+        _PATHS[key] = scratch_path(spark, f"paths-{uuid.uuid4().hex}")
+        return write_paths(src, _PATHS[key])
+    return with_paths(src, _PATHS[key])
+
+
+@query
+def period_transactions(spark, sf_dir):
+    """The transaction path: live orders' transactions by the periods of their credits."""
+    return paths_for(spark, sf_dir)["path_transaction"].select(
+        "periodseq", F.col("st_seq").alias("salestransactionseq"),
+        F.col("st_unit").alias("processingunitseq"), F.col("st_value").alias("value"),
+        F.col("so_orderid").alias("orderid"))
+
+
+@query
+def period_billto(spark, sf_dir):
+    """The address path: BILLTO addresses of the transactions credited in a period."""
+    return paths_for(spark, sf_dir)["path_billto"].select(
+        "periodseq", F.col("a_txn").alias("salestransactionseq"), F.col("a_n").alias("addresses"),
+        F.col("a_country").alias("country"), F.col("a_company").alias("company"))
+
+
+def _report_by_path(spark, sf_dir, rules):
+    src = paths_for(spark, sf_dir)
+    p = params(src, UNIT, [PERIOD], CALENDAR)
+    return acc.accrual_report(acc.billto_enrich(src, acc.accrual_staging(src, p, rules=rules), p), rules)
+
+
+@query
+def accrual_report_by_path(spark, sf_dir):
+    """The report over access paths: transactions and addresses of one period only."""
+    return _report_by_path(spark, sf_dir, "FY26")
+
+
+@query
+def accrual_report_fy25_by_path(spark, sf_dir):
+    return _report_by_path(spark, sf_dir, "FY25")
+
+
 # keys whose function name carries a suffix to avoid shadowing library names
 for _k in list(QUERIES):
     if _k.endswith("_q"):

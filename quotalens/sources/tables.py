@@ -31,8 +31,12 @@ PERIOD_PARTITIONED = {
     "cs_incentivepmtrace": "targetperiodseq",
     "cs_commission": "periodseq",
     "rpt_orgdata": "periodseq",
+    "cs_incentiveselftrace": "sourceperiodseq",
 }
 
+# Derived access paths by period (quotalens.sources.period_paths); a catalogue may lack them.
+PATHS = ("path_transaction", "path_billto", "path_source", "path_hot_measurement")
+
 
 class Sources(Mapping):
     """Name -> DataFrame mapping with lazy construction."""
@@ -54,6 +58,9 @@ class Sources(Mapping):
     def __iter__(self):
         return iter(sorted(set(self._frames) | set(self._factories)))
 
+    def __contains__(self, name) -> bool:
+        return name in self._frames or name in self._factories
+
     def __len__(self) -> int:
         return len(set(self._frames) | set(self._factories))
 
