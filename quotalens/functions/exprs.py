@@ -58,13 +58,18 @@ def fx_factor(c, strict: bool = False) -> Column:
 
 
 def exact_product(a, b) -> Column:
-    """Product of two decimals with all twenty digits behind the point.
+    """Product of a decimal(25,10) and a decimal(20,10), rounded half up once to ten digits.
 
-    Spark cuts the scale of a product whose full precision passes 38 digits. The operands are
-    therefore narrowed to eleven and six digits before the point, ten behind; a larger operand
-    raises (ANSI) instead of losing digits.
+    The full product has 45 digits, and Spark cuts the scale of one that passes 38. ``a`` is
+    therefore split into its whole part and its fraction, which have its sign: the product with the
+    whole part is exact at ten digits, the one with the fraction exact at twenty and then rounded.
+    Their sum is the rounded product, because adding a multiple of the last digit with the same
+    sign moves no rounding. The whole range of both types is covered.
     """
-    return _c(a).cast("decimal(21,10)") * _c(b).cast("decimal(16,10)")
+    a, b = _c(a).cast("decimal(25,10)"), _c(b).cast(FX_DEC)
+    fraction = (a % F.lit(1).cast("decimal(1,0)")).cast("decimal(10,10)")
+    whole = (a - fraction).cast("decimal(15,0)")
+    return whole * b + (fraction * b).cast("decimal(21,10)")
 
 
 def checked_number(c, what: str) -> Column:

@@ -33,7 +33,8 @@ from quotalens.operators.skew import hot_keys, salted_join
 from quotalens.operators.versioning import live
 from quotalens.schemas import ACCRUAL_TITLES, STAGING_NAMES, STAGING_TYPES
 from quotalens.session import scratch_path
-from quotalens.sinks.report import ACCRUAL_PREFIX, full_refresh, write_reports
+from quotalens.sinks.report import ACCRUAL_PREFIX, full_refresh, log_files, write_reports
+from quotalens.sinks.steplog import Counted, StepLog
 from quotalens.sources.period_paths import (
     MEASUREMENT_KEYS, billto_addresses, credit_traces, one_address, orders, transactions)
 
@@ -670,13 +671,26 @@ def accrual_job(sources, params: DataFrame, folder: str, run_date, rules: str =
                 root: str | None = None) -> DataFrame:
     """The procedure as one job: staging, ordered report files of every target, and the step log.
 
-    The staging is written once under ``root`` (default: the session's shared folder) and read
-    for both the report and the log, which is returned.
+    The staging is computed and written once under ``root`` (default: the session's shared folder);
+    the report reads it back. The log, returned and appended to ``root/step_log``, has a row per arm
+    with its counts, one for the bill-to lookup, and one per report with its file name; a failed
+    step is logged before its error goes on.
     """
     spark = sources.spark
     root = root or scratch_path(spark, f"accrual-{uuid.uuid4().hex}")
-    staged = full_refresh(
-        billto_enrich(sources, accrual_staging(sources, params, rules), params), root, "staging")
-    write_reports(accrual_details(staged, rules, by_period=True), folder, accrual_order(), params,
-                 ACCRUAL_PREFIX, run_date)
-    return step_log(staged)
+    log = StepLog(spark, "accrual")
+    try:
+        with log.step("staging", "staging rows with their bill-to values written"):
+            counted = Counted(billto_enrich(sources, accrual_staging(sources, params, rules), params),
+                              "arm", ARMS, "parse_failed")
+            staged = full_refresh(counted.df, root, "staging")
+        _, _, _, started, ended, *_ = log.entries[-1]
+        for arm, (rows, failed) in counted.results().items():
+            log.add(f"arm {arm}", f"records of arm {arm} staged", started, ended, rows, failed)
+        with log.step("report", "report files written"):
+            write_reports(accrual_details(staged, rules, by_period=True), folder, accrual_order(), params,
+                          ACCRUAL_PREFIX, run_date)
+        log_files(log, params, ACCRUAL_PREFIX, run_date)
+    finally:
+        log.append(f"{root.rstrip('/')}/step_log")
+    return log.frame()

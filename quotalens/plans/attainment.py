@@ -33,7 +33,8 @@ from quotalens.functions.exprs import (
     fiscal_month_order, flag_set, fx_factor, money_text, percent_text, ti_loc, ti_usd)
 from quotalens.operators.payees import payee_snapshot
 from quotalens.operators.periods import run_period
-from quotalens.sinks.report import ATTAINMENT_PREFIX, header_rows, write_reports
+from quotalens.sinks.report import ATTAINMENT_PREFIX, header_rows, log_files, write_reports
+from quotalens.sinks.steplog import StepLog
 from quotalens.schemas import EXTRACT_COLUMNS, EXTRACT_NOT_NULL, FLOAT_DEC, MONEY, MONEY_2
 
 # Incentive kinds (genericattribute16) that the attainment report reads.
@@ -326,7 +327,24 @@ def attainment_log(sources, params: DataFrame) -> DataFrame:
     return params.select("target_periodseq").join(counted, "target_periodseq", "left").fillna(0)
 
 
-def attainment_report(sources, params: DataFrame, folder: str, run_date) -> str:
-    """The procedure as one job: every target's report, ordered, in a folder of its file name."""
-    details = attainment_out(attainment_extract(sources, params), header=False)
-    return write_reports(details, folder, attainment_order(), params, ATTAINMENT_PREFIX, run_date)
+def attainment_report(sources, params: DataFrame, folder: str, run_date,
+                      root: str | None = None) -> DataFrame:
+    """The procedure as one job: every target's report, ordered, in a folder of its file name.
+
+    Returns the step log: the report step, a row per file name, and the targets' staged rows with
+    their bad exchange rates. With ``root`` it is appended to ``root/step_log`` too.
+    """
+    log = StepLog(sources.spark, "attainment")
+    try:
+        with log.step("report", "report files written"):
+            details = attainment_out(attainment_extract(sources, params), header=False)
+            write_reports(details, folder, attainment_order(), params, ATTAINMENT_PREFIX, run_date)
+        log_files(log, params, ATTAINMENT_PREFIX, run_date)
+        _, _, _, started, ended, *_ = log.entries[0]
+        for r in attainment_log(sources, params).orderBy("target_periodseq").collect():  # one per target
+            log.add("facts", f"incentives staged for period {r.target_periodseq}", started, ended,
+                    r["rows"], r.failed_parses)
+    finally:
+        if root:
+            log.append(f"{root.rstrip('/')}/step_log")
+    return log.frame()

@@ -120,3 +120,60 @@ ACCRUAL_TITLES = [
     "Number of Units", "Revenue Account", "Plan Element", "Comments", "Customer PO Number",
     "Order Line Booked Date",
 ]
+
+# Input tables: the columns the reports read, by table (fixed names of the data model).
+INPUT_COLUMNS = {
+    "cs_processingunit": "processingunitseq name",
+    "cs_calendar": "calendarseq name removedate",
+    "cs_periodtype": "periodtypeseq name removedate",
+    "cs_period": "periodseq name startdate enddate calendarseq periodtypeseq parentseq removedate",
+    "cs_participant": "payeeseq lastname firstname userid genericattribute3 genericattribute4 genericattribute5 "
+                      "genericattribute7 terminationdate removedate effectivestartdate effectiveenddate",
+    "cs_payee": "payeeseq payeeid businessunitmap removedate effectivestartdate effectiveenddate",
+    "cs_businessunit": "businessunitseq mask",
+    "cs_position": "ruleelementownerseq payeeseq genericattribute5 targetcompensation removedate "
+                   "effectivestartdate effectiveenddate",
+    "cs_incentive": "incentiveseq name positionseq payeeseq periodseq processingunitseq genericattribute1 "
+                    "genericattribute2 genericattribute3 genericattribute4 genericattribute16 genericnumber1 "
+                    "genericnumber2 genericnumber3 genericnumber4 genericnumber5 genericnumber6 genericboolean1 "
+                    "genericboolean3 value",
+    "cs_incentiveselftrace": "sourceincentiveseq targetincentiveseq sourceperiodseq",
+    "cs_incentivepmtrace": "incentiveseq measurementseq targetperiodseq processingunitseq",
+    "cs_measurement": "measurementseq periodseq processingunitseq",
+    "cs_pmcredittrace": "creditseq measurementseq targetperiodseq processingunitseq",
+    "cs_credit": "creditseq name credittypeseq salestransactionseq positionseq periodseq processingunitseq value "
+                 "genericnumber2 genericnumber3 genericnumber6",
+    "cs_credittype": "datatypeseq credittypeid removedate",
+    "cs_commission": "commissionseq periodseq processingunitseq positionseq incentiveseq creditseq value ratevalue",
+    "cs_salestransaction": "salestransactionseq salesorderseq processingunitseq modelseq eventtypeseq sublinenumber "
+                           "accountingdate compensationdate value nativecurrencyamount nativecurrency numberofunits "
+                           "productid productdescription comments genericattribute2 genericattribute4 "
+                           "genericattribute6 genericattribute8 genericattribute9 genericattribute10 "
+                           "genericattribute11 genericattribute12 genericattribute20 genericattribute21 "
+                           "genericdate2 genericdate3",
+    "cs_eventtype": "datatypeseq eventtypeid removedate",
+    "cs_salesorder": "salesorderseq orderid removedate",
+    "cs_transactionaddress": "salestransactionseq addresstypeseq country state custid company",
+    "cs_addresstype": "addresstypeseq addresstypeid",
+    "rpt_orgdata": "processingunitseq periodseq payeeseq positionseq payeeid fullname mfullname_l1 mfullname_l2 "
+                   "division cc_dept local_currency",
+}
+_MONEY_NAMES = ("value", "ratevalue", "nativecurrencyamount", "numberofunits", "targetcompensation")
+
+
+def input_type(column: str) -> str:
+    """The data model's type of an input column, which its name tells."""
+    if column.endswith("seq") or column in ("sublinenumber", "businessunitmap", "mask"):
+        return "bigint"
+    if column.startswith("genericnumber") or column in _MONEY_NAMES:
+        return "decimal(25,10)"
+    if column.startswith("genericboolean"):
+        return "int"
+    if column.startswith("genericdate") or column.endswith("date"):
+        return "date"
+    return "string"
+
+
+def input_schema(table: str) -> str:
+    """Declared columns of an input table, partition columns among them."""
+    return ", ".join(f"{c} {input_type(c)}" for c in INPUT_COLUMNS[table].split())

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quotalens.sinks import files
+
 # The file-name prefixes of the two reports.
 ATTAINMENT_PREFIX = "YTD_ATTAINMENT_DETAIL_"
 ACCRUAL_PREFIX = "ACCRUAL_DETAIL_"
@@ -75,26 +77,62 @@ def write_reports(details: DataFrame, folder: str, order_by: list[Column], param
     return folder
 
 
+def log_files(log, params: DataFrame, prefix: str, run_date) -> None:
+    """A log row per target with its report's file name (one per target period: calendar-sized)."""
+    _, _, _, started, ended, *_ = log.entries[-1]
+    for row in params.select(report_filename(prefix, "periodname", run_date).alias("name")).distinct() \
+            .orderBy("name").collect():
+        log.add("file", row.name, started, ended)
+
+
+def _commits(spark: SparkSession, base: str) -> list[str]:
+    return [n for n in files.names(spark, f"{base}/_commits") if n.isdigit()]
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The current content of a refreshed table, found by its name."""
-    pointer = f"{root.rstrip('/')}/{name}/_current"
-    version = spark.read.text(pointer).first()
-    if version is None:
-        raise FileNotFoundError(pointer)
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}/{version.value}")
+    """The current content of a refreshed table, found by its name.
+
+    The commit with the highest number names the version folder; a commit file is there whole or
+    not at all, so a reader beside a refresh gets the old content or the new one.
+    """
+    base = f"{root.rstrip('/')}/{name}"
+    commits = _commits(spark, base)
+    if not commits:
+        raise FileNotFoundError(f"{base}/_commits")
+    version = files.read_text(spark, f"{base}/_commits/{commits[-1]}")
+    return spark.read.parquet(f"{base}/{version}")
 
 
-def full_refresh(df: DataFrame, root: str, name: str) -> DataFrame:
+def full_refresh(df: DataFrame, root: str, name: str, keep: int = 2) -> DataFrame:
     """Truncate-and-insert: write ``df`` as the new content of table ``name`` under ``root``.
 
     Spark cannot overwrite a path it is reading in the same job, so each refresh writes a new
-    version folder and then publishes its name: readers (``read_table``) see the old content
-    until the pointer is replaced, and lineage is cut by the returned DataFrame.
+    version folder and then publishes it by a commit file that gets its number by a rename; of two
+    refreshes at a time one takes the next number. The newest ``keep`` versions stay for readers
+    that began before the refresh (at least 1); older commits and their folders are removed, and
+    with them folders of refreshes that failed before these. The returned DataFrame reads the new
+    version, which cuts the lineage.
     """
     spark = df.sparkSession
     base = f"{root.rstrip('/')}/{name}"
-    version = f"v{_dt.datetime.now(_dt.timezone.utc):%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}"
-    df.write.mode("overwrite").parquet(f"{base}/{version}")
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{base}/_current")
-    return read_table(spark, root, name)
+    version = f"v{_dt.datetime.now(_dt.timezone.utc):%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    df.write.mode("errorifexists").parquet(f"{base}/{version}")
+    while True:
+        commits = _commits(spark, base)
+        number = int(commits[-1]) + 1 if commits else 0
+        if files.create_text(spark, f"{base}/_commits/{number:012d}", version):
+            break
+    _forget_old(spark, base, max(1, keep))
+    return spark.read.parquet(f"{base}/{version}")
+
+
+def _forget_old(spark: SparkSession, base: str, keep: int) -> None:
+    """Remove all but the newest ``keep`` versions; commits go first, so no commit lacks its folder."""
+    commits = _commits(spark, base)
+    kept = {files.read_text(spark, f"{base}/_commits/{c}") for c in commits[-keep:]}
+    for c in commits[:-keep]:
+        files.remove(spark, f"{base}/_commits/{c}")
+    for folder in files.names(spark, base):
+        # a folder later than the oldest kept version may be a refresh still running
+        if folder.startswith("v") and folder not in kept and folder < min(kept):
+            files.remove(spark, f"{base}/{folder}")

@@ -133,7 +133,10 @@ def write_paths(sources: Sources, root: str) -> Sources:
 
 
 def refresh(sources: Sources, root: str, periods: Sequence[int]) -> Sources:
-    """Rebuild the partitions of ``periods``; those that have become empty are removed."""
+    """Rebuild the partitions of ``periods``; those that have become empty are removed.
+
+    Files are replaced in place: frames opened before have to be opened again (``with_paths``).
+    """
     root = root.rstrip("/")
     for name in PATHS:
         new = BUILD[name](sources, periods)

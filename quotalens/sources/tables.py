@@ -13,14 +13,10 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-# The 22 inputs the reports read (fixed names of the data model).
-TABLES = (
-    "cs_processingunit", "cs_calendar", "cs_periodtype", "cs_period", "cs_participant",
-    "cs_payee", "cs_businessunit", "cs_position", "cs_incentive", "cs_incentiveselftrace",
-    "cs_incentivepmtrace", "cs_measurement", "cs_pmcredittrace", "cs_credit", "cs_credittype",
-    "cs_commission", "cs_salestransaction", "cs_eventtype", "cs_salesorder",
-    "cs_transactionaddress", "cs_addresstype", "rpt_orgdata",
-)
+from quotalens.schemas import INPUT_COLUMNS, input_schema
+
+# The 22 inputs the reports read.
+TABLES = tuple(INPUT_COLUMNS)
 
 # Fact tables worth partitioning by period on disk (the period list then prunes partitions).
 PERIOD_PARTITIONED = {
@@ -88,8 +84,14 @@ class Sources(Mapping):
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str,
                      names: Iterable[str] = TABLES) -> "Sources":
-        """Read each table from ``root/<name>`` (a parquet folder, maybe partitioned)."""
-        factories = {n: (lambda n=n: spark.read.parquet(os.path.join(root, n))) for n in names}
+        """Read each table from ``root/<name>`` (a parquet folder, maybe partitioned).
+
+        Columns and types are declared, partition columns too, so no file is opened to infer
+        them and a column of another type fails when it is read; further columns of the files
+        are not read.
+        """
+        factories = {n: (lambda n=n: spark.read.schema(input_schema(n)).parquet(os.path.join(root, n)))
+                     for n in names}
         return cls(spark, factories=factories)
 
     def write_parquet(self, root: str, names: Iterable[str] = TABLES,

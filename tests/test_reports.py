@@ -2,7 +2,8 @@
 
 import datetime as dt
 import os
-from decimal import Decimal, localcontext
+import random
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,12 +18,21 @@ from quotalens.sinks.report import full_refresh, read_table, write_report, write
 TWO = ["September 1998", "October 1998"]
 
 
-def test_money_products_keep_their_digits(spark):
-    df = spark.createDataFrame([(Decimal("12345678901.0123456789"), Decimal("0.9254376100"))],
-                               "a decimal(25,10), b decimal(25,10)")
-    got = df.select(X.exact_product("a", "b")).first()[0]
+def test_money_products_are_exact_over_the_whole_range(spark):
+    pairs = [("12345678901.0123456789", "0.9254376100"), ("-12345678901234.0123456789", "1.0500000001"),
+             ("99999999999999.9999999999", "9.9999999999"), ("0.0000000001", "0.5000000000"),
+             ("-0.0000000001", "0.5"), ("-0.0000000003", "0.5"), ("14567890123456.5", "0.0000000001"),
+             ("3.5", "1234567890.1234567891"), ("0", "1.1"), (None, "1"), ("1", None)]
+    rnd = random.Random(4)
+    pairs += [(f"{rnd.choice('+-')}{rnd.randrange(10**14)}.{rnd.randrange(10**10):010d}",
+               f"{rnd.choice('+-')}{rnd.randrange(9)}.{rnd.randrange(10**10):010d}") for _ in range(300)]
+    rows = [(k, a and Decimal(a), b and Decimal(b)) for k, (a, b) in enumerate(pairs)]
+    df = spark.createDataFrame(rows, "k int, a decimal(25,10), b decimal(20,10)")
+    got = {r.k: r.p for r in df.select("k", X.exact_product("a", "b").cast("decimal(25,10)").alias("p")).collect()}
     with localcontext(prec=60):
-        assert got == Decimal("12345678901.0123456789") * Decimal("0.92543761")
+        for k, a, b in rows:
+            want = None if a is None or b is None else (a * b).quantize(Decimal("1e-10"), ROUND_HALF_UP)
+            assert got[k] == want, (a, b)
 
 
 def test_bad_weight_text_raises_instead_of_dropping_the_row(spark):
@@ -71,11 +81,34 @@ def test_report_files_carry_their_name_and_one_header(spark, tmp_path):
         assert rows[0] == "Name" and rows[1:] == sorted(rows[1:]) and len(rows) == 51
 
 
-def test_accrual_job_writes_reports_and_logs_every_arm(src, oct_params, tmp_path):
-    log = acc.accrual_job(src, oct_params, str(tmp_path / "out"), dt.date(2026, 1, 31), root=str(tmp_path / "t"))
-    assert {r.arm for r in log.collect()} == set(acc.ARMS)
-    rows = file_rows(str(tmp_path / "out/report_file=ACCRUAL_DETAIL_October_1998_20260131.csv"))
-    assert len(rows) == 1 + sum(r["rows"] for r in log.collect())
+def test_accrual_job_writes_reports_and_logs_every_step(spark, src, oct_params, tmp_path):
+    inc = src["cs_incentive"]
+    bad = src.with_table("cs_incentive", inc.withColumn("genericattribute4", F.when(
+        F.col("genericattribute1") == acc.YOY, F.lit("n/a")).otherwise(F.col("genericattribute4"))))
+    root = str(tmp_path / "t")
+    log = acc.accrual_job(bad, oct_params, str(tmp_path / "out"), dt.date(2026, 1, 31), root=root)
+    entries = log.collect()
+    arms = {r.step[4:]: r for r in entries if r.step.startswith("arm ")}
+    staged = read_table(spark, root, "staging")
+    assert set(arms) == set(acc.ARMS)
+    counts = {r.arm: (r["rows"], r.failed_parses) for r in acc.step_log(staged).collect()}
+    assert {a: (r["rows"], r.failed_parses) for a, r in arms.items()} == counts
+    assert arms["yoy"]["rows"] > 0 and arms["yoy"].failed_parses == arms["yoy"]["rows"]
+    assert [r.step for r in entries if not r.step.startswith("arm")] == ["staging", "report", "file"]
+    assert entries[-1].message == "ACCRUAL_DETAIL_October_1998_20260131.csv"
+    assert all(r.started <= r.ended for r in entries)
+    lines = file_rows(str(tmp_path / f"out/report_file={entries[-1].message}"))
+    assert len(lines) == 1 + sum(r["rows"] for r in arms.values())
+    assert spark.read.parquet(f"{root}/step_log").count() == len(entries)
+
+
+def test_failed_steps_are_logged(spark, src, oct_params, tmp_path):
+    addr = src["cs_transactionaddress"]
+    twice = src.with_table("cs_transactionaddress", addr.union(addr))
+    with pytest.raises(Exception, match="more than one BILLTO"):
+        acc.accrual_job(twice, oct_params, str(tmp_path / "out"), dt.date(2026, 1, 31), root=str(tmp_path / "t"))
+    entries = spark.read.parquet(str(tmp_path / "t/step_log")).collect()
+    assert [r.step for r in entries] == ["staging"] and entries[0].message.startswith("failed: ")
 
 
 def test_refreshed_table_is_found_by_name(spark, tmp_path):
