@@ -42,11 +42,28 @@ def test_held_out_labels_are_not_read(marked):
     assert a == b
 
 
+def test_a_bound_below_the_table_keeps_the_scale_of_the_scores(marked):
+    docs, labels = marked
+    whole = toxicity.fit(toxicity.labelled_rows(docs, labels))
+    cut = toxicity.fit(toxicity.labelled_rows(docs, labels, max_toxic=40, max_ordinary=160))
+    means, kept = [], []
+    for model in (whole, cut):
+        rows = toxicity.score(docs, model).collect()
+        means.append(sum(r.toxicity for r in rows) / len(rows))
+        clean = [r for r in rows if r.doc_id % 4]
+        kept.append(sum(r.toxicity < toxicity.CUT for r in clean) / len(clean))
+    assert abs(means[0] - means[1]) < 0.06 and min(kept) > 0.93
+    rows = toxicity.labelled_rows(docs, labels, max_toxic=40, max_ordinary=160).groupBy("toxic").agg(
+        {"*": "count", "weight": "max"}).collect()
+    for r in rows:  # the weights stand for all labelled rows of the class
+        assert abs(r["count(1)"] * r["max(weight)"] - (75 if r.toxic else 225)) < 30
+
+
 def test_words_without_counts_say_nothing():
     model = toxicity.Model(*(np.zeros((2, n), np.float32) for n in (toxicity.PAIRS, toxicity.WORDS, toxicity.WORDS)),
                            np.full((2, toxicity.WORDS), 1e-5, np.float32), np.zeros(toxicity.FEATURES + 1))
     f = model.features(["never seen words", ""], toxicity.Words())
-    assert np.allclose(f[0, :3], 0, atol=1e-6) and (f[1] == 0).all()
+    assert np.allclose(f[0, :-1], 0, atol=1e-6) and (f[1] == 0).all()
 
 
 def test_edge_rows(spark, edge, empty, marked):
