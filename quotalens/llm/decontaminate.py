@@ -267,19 +267,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame, space: Space | None = None) ->
     Null texts are empty; empty items match nothing; a repeated row gives its own matches; rows
     without an id keep a null id; other columns are ignored. Empty tables give no rows.
     """
-    spark = docs.sparkSession
     docs = id_text(docs)
     space = space or fit(docs)
+    out = None
+    for ship in item_blocks(benchmark, space):
+        found = _search(docs, ship)
+        out = found if out is None else out.union(found)
+    return out
+
+
+def item_blocks(benchmark: DataFrame, space: Space) -> Iterator:
+    """The benchmark items with their vectors, a bounded block of the query set at a time (broadcast)."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"),
                             F.col("text").cast("string").alias("text"))
     n_blocks = -(-rows.count() // BLOCK) or 1
-    out = None
-    for block in range(n_blocks):  # a bounded block of the query set at a time
+    for block in range(n_blocks):
         part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block).toArrow()
         items = prepare(list(zip(part["item_id"].to_pylist(), part["text"].to_pylist())), space)
-        found = _search(docs, spark.sparkContext.broadcast((space, items)))
-        out = found if out is None else out.union(found)
-    return out
+        yield benchmark.sparkSession.sparkContext.broadcast((space, items))
 
 
 def _search(docs: DataFrame, ship) -> DataFrame:
@@ -336,10 +341,27 @@ def search(space: Space, items: Items, h: np.ndarray, at: np.ndarray) -> dict:
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item (rows without an id stay)."""
-    bad = leaks(docs, benchmark).where(F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(bad, docs["doc_id"] == bad["_leak"], "left_anti")
+    """``docs`` without the rows whose text holds a benchmark item; every row is judged by itself.
+
+    Rows of one id, or of none, stay or go by their own texts; null and empty texts stay. All columns
+    are passed on, nothing is shuffled. Without items every row stays.
+    """
+    def without(ship):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            space, items = ship.value
+            for b in steps(batches, max_bytes=1 << 20):
+                if len(items.ids):
+                    found = search(space, items, *words_of(*flat(b.column("text")))[::3])
+                    keep = np.ones(b.num_rows, bool)
+                    keep[[d for d, _ in found]] = False
+                    b = b.filter(pa.array(keep))
+                yield b
+        return run
+
+    space = fit(id_text(docs))
+    for ship in item_blocks(benchmark, space):
+        docs = docs.mapInArrow(without(ship), docs.schema)
+    return docs
 
 
 def op10(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotalens.llm.common import id_text, materialize, steps
@@ -235,14 +235,20 @@ def op8(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents that have a smaller near-duplicate.
+    """``docs`` with one row of each group of near-duplicates: the one of the least id.
 
-    Of repeated ids one row stays (equal rows but for ties, which the text decides); rows
-    without an id are kept.
+    Rows are numbered first (in a written table, so the numbers hold), and groups and choices go by
+    the number: rows of one id with unlike texts all stay, a row without an id stays only if its
+    group has none with one. Of equal ids the first numbered row stays. Null and empty texts are
+    copies of each other. All columns are passed on; an empty table gives no rows.
     """
-    heads = near_duplicates(docs).where(F.col("doc_id") == F.col("component_id")) \
-        .select(F.col("doc_id").alias("_kept")).distinct()
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.xxhash64(*docs.columns))
-    kept = (docs.join(heads, docs["doc_id"] == heads["_kept"], "left_semi")
-            .withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") == 1).drop("_nth"))
-    return kept.union(docs.where(F.col("doc_id").isNull()))
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "simhash-rows")
+    ids = numbered.select(F.col(row).alias("doc_id"), F.col("doc_id").cast("long").alias("_id"), "text")
+    found = near_duplicates(ids.select("doc_id", "text")).select("doc_id", "component_id")
+    heads = found.join(ids.select("doc_id", "_id"), "doc_id").groupBy("component_id").agg(
+        F.min(F.struct(F.col("_id").isNull(), "_id", "doc_id")).alias("best")) \
+        .select(F.col("best.doc_id").alias("_kept"))
+    return numbered.join(heads, numbered[row] == heads["_kept"], "left_semi").select(*docs.columns)

@@ -65,13 +65,21 @@ def test_links_over_many_shards(spark):
     assert [got.get(i, i) for i in range(len(fps))] == brute_components(list(range(len(fps))), fps)
 
 
-def test_one_document_of_each_group_stays(edge, empty):
-    kept = simhash.keep_one(edge)
-    assert kept.columns == edge.columns
-    ids = [r.doc_id for r in kept.select("doc_id").collect()]
-    assert len([i for i in ids if i is not None]) == len({i for i in ids if i is not None})
-    comp = {r.component_id for r in simhash.op8(edge).collect() if r.doc_id is not None}
-    assert {i for i in ids if i is not None} == comp and ids.count(None) == 2
+def test_one_row_of_each_group_stays(edge, small, empty):
+    for docs in (edge, small):
+        rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+        fps = [int(f) for f in simhash.simhash([t or "" for _, t in rows])]
+        groups = {}
+        for k, root in enumerate(brute_components(list(range(len(rows))), fps)):
+            groups.setdefault(root, []).append(rows[k])
+        kept = simhash.keep_one(docs)
+        assert kept.columns == docs.columns and kept.count() == len(groups)
+        # of each group the least id that it has, or none
+        want = [min((i is None, i or 0) for i, _ in g) for g in groups.values()]
+        got = [(r.doc_id is None, r.doc_id or 0) for r in kept.select("doc_id").collect()]
+        assert sorted(got) == sorted(want)
+    texts = {r.text for r in simhash.keep_one(edge).where("doc_id = 7").collect()}
+    assert texts == {"word", "another"}  # one id, unlike texts
     assert simhash.keep_one(empty).count() == 0
 
 
