@@ -44,6 +44,11 @@ def decorated_number(c, strict: bool = False) -> Column:
     return s.cast("double") if strict else s.try_cast("double")
 
 
+def bad_number(c) -> Column:
+    """True where text is there but holds no number (null text is no failed parse)."""
+    return _c(c).isNotNull() & decorated_number(c).isNull()
+
+
 FX_DEC = "decimal(20,10)"
 
 
@@ -77,10 +82,8 @@ def checked_number(c, what: str) -> Column:
 
     For numbers that decide whether a row is kept: a bad one must not remove the row unseen.
     """
-    n = decorated_number(c)
-    bad = _c(c).isNotNull() & n.isNull()
-    return F.when(bad, F.raise_error(F.concat(F.lit(f"not a number in {what}: "), _c(c)))
-                  .cast("double")).otherwise(n)
+    return F.when(bad_number(c), F.raise_error(F.concat(F.lit(f"not a number in {what}: "), _c(c)))
+                  .cast("double")).otherwise(decorated_number(c))
 
 
 def fx_rate(c, strict: bool = False, per_cent: bool = False) -> Column:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quotalens.functions.exprs import full_name
-from quotalens.operators.versioning import active_at, in_force_at, live
+from quotalens.operators.intervals import in_force_join
+from quotalens.operators.versioning import active_at, live
 
 SNAPSHOT_COLUMNS = [
     "processingunitseq", "periodseq", "periodname", "startdate", "enddate",
@@ -38,8 +39,8 @@ def target_periods(sources, params: DataFrame) -> DataFrame:
 def payee_snapshot(sources, params: DataFrame, one_payee_per_position: bool = False) -> DataFrame:
     """16 snapshot columns (+ target_periodseq), DISTINCT.
 
-    Each versioned table is first range-joined to the (calendar-sized, broadcast) target
-    periods, so version histories never multiply against each other; the equi-joins on
+    Each versioned table is first joined to the (calendar-sized, broadcast) target periods
+    by the months it covers, so version histories never multiply against each other; the equi-joins on
     (payeeseq, target) follow. The business-unit join only tests existence (semi join).
     ``one_payee_per_position`` applies the dense-rank filter the reference keeps commented out.
     """
@@ -51,8 +52,7 @@ def payee_snapshot(sources, params: DataFrame, one_payee_per_position: bool = Fa
         F.col("payeeseq").alias("pt_payeeseq"), "lastname", "firstname", "userid",
         "genericattribute3", "genericattribute4", "genericattribute5", "genericattribute7",
         "terminationdate", "effectivestartdate", "effectiveenddate")
-    pt = pt.join(tb, in_force_at(F.col("pd_enddate"))
-                 & active_at("terminationdate", F.col("v_start"))).select(
+    pt = in_force_join(pt, t, "pd_enddate", on=active_at("terminationdate", F.col("v_start"))).select(
         "target_periodseq", "pt_payeeseq", "lastname", "firstname", "userid",
         "genericattribute3", "genericattribute4", "genericattribute5", "genericattribute7")
 
@@ -61,14 +61,14 @@ def payee_snapshot(sources, params: DataFrame, one_payee_per_position: bool = Fa
                                         "left_semi")
     pe = pe.select(F.col("payeeseq").alias("pe_payeeseq"), "payeeid",
                    "effectivestartdate", "effectiveenddate")
-    pe = pe.join(tb, in_force_at(F.col("pd_enddate"))).select(
+    pe = in_force_join(pe, t, "pd_enddate").select(
         F.col("target_periodseq").alias("pe_target"), "pe_payeeseq", "payeeid")
 
     pn = live(sources["cs_position"]).select(
         F.col("payeeseq").alias("pn_payeeseq"), F.col("ruleelementownerseq").alias("positionseq"),
         F.col("genericattribute5").alias("region"), "targetcompensation",
         "effectivestartdate", "effectiveenddate")
-    pn = pn.join(tb, in_force_at(F.col("pd_enddate"))).select(
+    pn = in_force_join(pn, t, "pd_enddate").select(
         F.col("target_periodseq").alias("pn_target"), "pn_payeeseq", "positionseq", "region",
         "targetcompensation")
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotalens.functions.exprs import (
-    DEFAULT_INVOICE_LABEL, checked_number, credit_type_label, decorated_number, dept_code, event_type_label, exact_product,
+    DEFAULT_INVOICE_LABEL, bad_number, checked_number, credit_type_label, dept_code, event_type_label, exact_product,
     flag_set, format_by_plan_element, fx_rate, mask_by_credit_type, round4_text, tier_rate)
 from quotalens.operators.params import period_keys
 from quotalens.operators.skew import hot_keys, salted_join
@@ -279,7 +279,7 @@ def _staging_row(df: DataFrame, arm: str, cols: dict[str, Column],
         c = cols.get(name)
         out.append(pad[name] if c is None else c.cast(STAGING_TYPES[name]).alias(name))
     failed = (F.lit(0) if fx_text is None else
-              F.when(fx_text.isNotNull() & decorated_number(fx_text).isNull(), 1).otherwise(0))
+              F.when(bad_number(fx_text), 1).otherwise(0))
     return df.select(*out, F.lit(arm).alias("arm"), failed.alias("parse_failed"))
 
 
@@ -324,14 +324,13 @@ def arm_regular(sources, params: DataFrame, invoice_label: str = DEFAULT_INVOICE
     br = _bridge_regular(sources, params)
     x = x.join(br, (br.b_credit == x.c_seq) & (br.b_unit == x.c_unit)
                & (br.b_period == x.c_period) & (br.b_position == x.h_positionseq))
-    text = F.col("s_genericattribute4")
     narrow = {**{n: e for n, e in _common(invoice_label).items()},
               "credit_name": F.col("c_name"), "credittypeid": F.col("ct_id"), "creditseq": F.col("c_seq"),
               "exchange_rate": fx_rate("s_genericattribute4"), "quota": F.col("s_genericnumber1"),
               "ti_loc": F.col("s_genericnumber6"), "plan_element": F.col("s_genericattribute1"),
               "c_txn": F.col("c_txn"), "c_unit": F.col("c_unit"), "c_period": F.col("c_period")}
     x = x.select(*[e.alias(n) for n, e in narrow.items()],
-                 F.when(text.isNotNull() & decorated_number(text).isNull(), 1).otherwise(0).alias("parse_failed"))
+                 F.when(bad_number("s_genericattribute4"), 1).otherwise(0).alias("parse_failed"))
     early = "path_transaction" in sources
     if early:
         x = x.groupBy(*narrow).agg(F.max("parse_failed").alias("parse_failed"))
@@ -490,8 +489,7 @@ def _credit_arm_measures(rules: str) -> tuple[dict[str, Column], Column]:
                                    "regular": exact_product("co_value", fx100)},
         "plan_element": c("s_genericattribute1"),
     }
-    text = c("s_genericattribute4")
-    bad_text = text.isNotNull() & decorated_number(text).isNull()
+    bad_text = bad_number("s_genericattribute4")
     failed = (F.when((c("arm") == "yoy") & bad_text, 1)
               .when((c("arm") == "regular") & ((rate == 0) | bad_text), 1).otherwise(0))
     return cols, failed
@@ -564,9 +562,13 @@ def arm_guarantee(sources, params: DataFrame, invoice_label: str = DEFAULT_INVOI
 # ---------------------------------------------------------------------------------------
 
 def accrual_staging(sources, params: DataFrame, rules: str = "FY26",
-                    invoice_label: str = DEFAULT_INVOICE_LABEL) -> DataFrame:
+                    invoice_label: str = DEFAULT_INVOICE_LABEL, strict: bool = False) -> DataFrame:
     """Bag union of the five arms: 58 columns + arm + parse_failed.
 
+    A staged row whose exchange rate is no number, or whose commission rate is zero where it
+    divides, has parse_failed 1 and NULL there; ``strict`` raises on the first such row instead, as
+    the reference stops. Rows that are not staged never raise.
+
     FY26: the regular arm (own transaction join: its DISTINCT needs those columns) + one
     combined job for MBO/YOY/CIP + guarantee. FY25: one combined job for all four credit arms.
     """
@@ -580,7 +582,21 @@ def accrual_staging(sources, params: DataFrame, rules: str = "FY26",
         arms = [arm_regular(sources, params, invoice_label),
                 credit_arms(sources, params, ["mbo", "yoy", "cip"], rules, invoice_label)]
     arms.append(arm_guarantee(sources, params, invoice_label))
-    return reduce(DataFrame.unionByName, arms)
+    staged = reduce(DataFrame.unionByName, arms)
+    return _refuse_failed(staged) if strict else staged
+
+
+def _refuse_failed(staged: DataFrame) -> DataFrame:
+    """``staged`` with its rates and flag raising on a failed parse.
+
+    Columns and no filter carry the check: a filter could be evaluated below a join, on rows that
+    never reach the staging.
+    """
+    stop = F.raise_error(F.concat(F.lit("not a number or zero rate in arm "), F.col("arm"),
+                                  F.lit(", payee "), F.coalesce("payeeid", F.lit("unknown"))))
+    return staged.withColumns({
+        c: F.when(F.col("parse_failed") != 0, stop.cast(staged.schema[c].dataType)).otherwise(F.col(c))
+        for c in ("exchange_rate", "commission_usd", "parse_failed")})
 
 
 def billto_enrich(sources, staging: DataFrame, params: DataFrame | None = None) -> DataFrame:
@@ -668,20 +684,20 @@ def step_log(staging: DataFrame) -> DataFrame:
 
 
 def accrual_job(sources, params: DataFrame, folder: str, run_date, rules: str = "FY26",
-                root: str | None = None) -> DataFrame:
+                root: str | None = None, strict: bool = False) -> DataFrame:
     """The procedure as one job: staging, ordered report files of every target, and the step log.
 
     The staging is computed and written once under ``root`` (default: the session's shared folder);
     the report reads it back. The log, returned and appended to ``root/step_log``, has a row per arm
     with its counts, one for the bill-to lookup, and one per report with its file name; a failed
-    step is logged before its error goes on.
+    step is logged before its error goes on. ``strict``: see ``accrual_staging``.
     """
     spark = sources.spark
     root = root or scratch_path(spark, f"accrual-{uuid.uuid4().hex}")
     log = StepLog(spark, "accrual")
     try:
         with log.step("staging", "staging rows with their bill-to values written"):
-            counted = Counted(billto_enrich(sources, accrual_staging(sources, params, rules), params),
+            counted = Counted(billto_enrich(sources, accrual_staging(sources, params, rules, strict=strict), params),
                               "arm", ARMS, "parse_failed")
             staged = full_refresh(counted.df, root, "staging")
         _, _, _, started, ended, *_ = log.entries[-1]

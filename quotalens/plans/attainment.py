@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotalens.functions.exprs import (
-    exact_product,
+    bad_number, exact_product,
     fiscal_month_order, flag_set, fx_factor, money_text, percent_text, ti_loc, ti_usd)
 from quotalens.operators.payees import payee_snapshot
 from quotalens.operators.periods import run_period
@@ -106,6 +106,7 @@ def _pre_aggregate(inc: DataFrame) -> DataFrame:
         (kind == MONTHLY).alias("monthly"), (kind == YTD).alias("ytd"),
         (kind == GUARANTEE).alias("guar"),
         fx_factor("genericattribute4").alias("fx"),
+        "genericattribute4", bad_number("genericattribute4").alias("fx_bad"),
         F.col("genericnumber6").cast(MONEY_2).alias("gn6_2"))
     c = F.col
     w, fx, gn6, gn6_2, value = c("w"), c("fx"), c("genericnumber6"), c("gn6_2"), c("value")
@@ -139,6 +140,7 @@ def _pre_aggregate(inc: DataFrame) -> DataFrame:
         F.sum(F.when(monthly, value * w)).alias("cm_loc"),
         F.sum(F.when(monthly, twice(exact_product(value, fx).cast("decimal(27,10)")))).alias("cm_usd"),
         F.sum(F.when(guar, value * w)).alias("guar_pay"),
+        F.max(F.when((monthly | ytd | guar) & c("fx_bad"), c("genericattribute4"))).alias("bad_rate"),
     )
 
 
@@ -166,8 +168,13 @@ def _finish(df: DataFrame) -> DataFrame:
 
 
 def attainment_extract(sources, params: DataFrame, payees: DataFrame | None = None,
-                       rp: DataFrame | None = None) -> DataFrame:
-    """target_periodseq + the 23 extract columns, one row per month x participant x attributes."""
+                       rp: DataFrame | None = None, strict: bool = False) -> DataFrame:
+    """target_periodseq + the 23 extract columns, one row per month x participant x attributes.
+
+    An exchange rate that is no number gives factor 0 (``attainment_log`` counts them); ``strict``
+    raises on one instead, as the reference stops, but only for incentives that reach the report:
+    the text passes the pre-aggregate and is looked at after the join to the payees.
+    """
     if payees is None:
         payees = payee_snapshot(sources, params)
     pre = _pre_aggregate(_incentives_in_run(sources, params, rp))
@@ -176,6 +183,11 @@ def attainment_extract(sources, params: DataFrame, payees: DataFrame | None = No
                  & (pre.payeeseq == pk.p_payee))
     tc = F.col("tc")
     ti_loc_row = F.greatest(F.col("ti_nz"), F.when(F.col("ti_zero") == 1, tc))
+    if strict:
+        stop = F.raise_error(F.concat(F.lit("not a number in an exchange rate: "), F.col("bad_rate")))
+        # on two measures that every row of the output carries
+        j = j.withColumns({m: F.when(F.col("bad_rate").isNotNull(), stop.cast(j.schema[m].dataType))
+                           .otherwise(F.col(m)) for m in ("ytd_usd", "cm_usd")})
     usd_zero = F.when(tc >= 0, tc * F.col("fx_zmax")).otherwise(tc * F.col("fx_zmin")) \
         .cast(MONEY_2)
     ti_usd_row = F.greatest(F.col("usd_nz"), usd_zero)
@@ -320,24 +332,23 @@ def attainment_order() -> list[Column]:
 def attainment_log(sources, params: DataFrame) -> DataFrame:
     """Per target: staged incentive rows and those whose exchange rate is no number (USD 0)."""
     facts = incentive_facts(sources, params)
-    text = F.col("genericattribute4")
-    bad = text.isNotNull() & decorated_number(text).isNull()
     counted = facts.groupBy("target_periodseq").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(bad.cast("bigint")).alias("failed_parses"))
+        F.count(F.lit(1)).alias("rows"), F.count_if(bad_number("genericattribute4")).alias("failed_parses"))
     return params.select("target_periodseq").join(counted, "target_periodseq", "left").fillna(0)
 
 
 def attainment_report(sources, params: DataFrame, folder: str, run_date,
-                      root: str | None = None) -> DataFrame:
+                      root: str | None = None, strict: bool = False) -> DataFrame:
     """The procedure as one job: every target's report, ordered, in a folder of its file name.
 
     Returns the step log: the report step, a row per file name, and the targets' staged rows with
     their bad exchange rates. With ``root`` it is appended to ``root/step_log`` too.
+    ``strict``: see ``attainment_extract``.
     """
     log = StepLog(sources.spark, "attainment")
     try:
         with log.step("report", "report files written"):
-            details = attainment_out(attainment_extract(sources, params), header=False)
+            details = attainment_out(attainment_extract(sources, params, strict=strict), header=False)
             write_reports(details, folder, attainment_order(), params, ATTAINMENT_PREFIX, run_date)
         log_files(log, params, ATTAINMENT_PREFIX, run_date)
         _, _, _, started, ended, *_ = log.entries[0]

@@ -169,10 +169,13 @@ def accrual_report_fy25(spark, sf_dir):
 from pyspark.sql import functions as F  # noqa: E402
 
 from quotalens.functions import exprs as X  # noqa: E402
+from quotalens.operators.intervals import in_force_join  # noqa: E402
 from quotalens.operators.periods import period_hierarchy, period_types  # noqa: E402
-from quotalens.operators.versioning import active_at, in_force_at, live  # noqa: E402
+from quotalens.operators.versioning import active_at, live  # noqa: E402
 from quotalens.sinks.report import (  # noqa: E402
-    ACCRUAL_PREFIX, ATTAINMENT_PREFIX, full_refresh, header_rows, report_filename)
+    ACCRUAL_PREFIX, ATTAINMENT_PREFIX, full_refresh, header_rows, read_reports, report_filename,
+    write_reports)
+from quotalens.session import scratch_path  # noqa: E402
 from quotalens.schemas import ACCRUAL_TITLES  # noqa: E402
 
 RUN_DATE = "2026-01-31"
@@ -190,13 +193,12 @@ def scan_current(spark, sf_dir):
 
 @query
 def effective_dated(spark, sf_dir):
-    """Live participant versions in force at the end of every live month (range join)."""
+    """Live participant versions in force at the end of every live month (interval join)."""
     src = sources_for(spark, sf_dir)
     months = period_hierarchy(src).select(
         F.col("month_periodseq").alias("periodseq"), F.col("month_enddate").alias("pend"))
     pt = live(src["cs_participant"])
-    # months are calendar-sized: broadcast nested-loop range join
-    return pt.join(F.broadcast(months), in_force_at(F.col("pend"))).select(
+    return in_force_join(pt, months, "pend").select(
         "periodseq", "payeeseq", "genericattribute7")
 
 
@@ -460,7 +462,6 @@ def attainment_out(spark, sf_dir):
 @query
 def overwrite_roundtrip(spark, sf_dir):
     """Full refresh of the payee-snapshot staging table: September, then October replaces it."""
-    from quotalens.session import scratch_path
     src, p = setup(spark, sf_dir)
     _, previous = setup(spark, sf_dir, periods=("September 1998",))
     root = scratch_path(spark, "staging")
@@ -495,7 +496,6 @@ _PATHS: dict = {}
 
 def paths_for(spark: SparkSession, sf_dir: str):
     """The derived tables with access paths by period, written once per session."""
-    from quotalens.session import scratch_path
     from quotalens.sources.period_paths import with_paths, write_paths
     src = sources_for(spark, sf_dir)
     key = (spark.sparkContext.applicationId, sf_dir)
@@ -539,6 +539,30 @@ def accrual_report_fy25_by_path(spark, sf_dir):
     return _report_by_path(spark, sf_dir, "FY25")
 
 
+def _written(details: DataFrame, p: DataFrame, order, prefix: str) -> DataFrame:
+    """Report files of ``details`` as a job writes them, read back line by line."""
+    spark = details.sparkSession
+    folder = scratch_path(spark, f"report-{uuid.uuid4().hex}")
+    write_reports(details, folder, order, p, prefix, RUN_DATE)
+    return read_reports(spark, folder, [c for c in details.columns if c != "target_periodseq"])
+
+
+@query
+def attainment_report_file(spark, sf_dir):
+    """The attainment report's file: header, then its rows in order, with their line numbers."""
+    src, p = setup(spark, sf_dir)
+    details = att.attainment_out(att.attainment_extract(src, p), header=False)
+    return _written(details, p, att.attainment_order(), ATTAINMENT_PREFIX)
+
+
+@query
+def accrual_report_file(spark, sf_dir):
+    """The accrual report's file, as ``attainment_report_file``."""
+    src, p = setup(spark, sf_dir)
+    staged = acc.billto_enrich(src, acc.accrual_staging(src, p))
+    return _written(acc.accrual_details(staged, by_period=True), p, acc.accrual_order(), ACCRUAL_PREFIX)
+
+
 # keys whose function name carries a suffix to avoid shadowing library names
 for _k in list(QUERIES):
     if _k.endswith("_q"):

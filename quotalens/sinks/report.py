@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quotalens.sinks import files
 
@@ -14,6 +15,11 @@ from quotalens.sinks import files
 ATTAINMENT_PREFIX = "YTD_ATTAINMENT_DETAIL_"
 ACCRUAL_PREFIX = "ACCRUAL_DETAIL_"
 
+# Values as they are: blanks at their ends stay, a quote inside a quoted value is doubled.
+_CSV = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"'}
+# What a missing value is read as before it becomes null: no text, so that "" stays empty.
+_NO_TEXT = "\0"
+
 
 def report_filename(prefix: str, periodname, run_date) -> Column:
     """``PREFIX_<period name with '_' for ' '>_<yyyyMMdd>.csv`` as a Column.
@@ -49,7 +55,7 @@ def write_report(details: DataFrame, path: str, order_by: list[Column] | None =
     keys = ([F.col(partition_by)] if partition_by else []) + list(order_by or [])
     if keys:
         df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    w = df.write.mode("overwrite").option("header", True)
+    w = df.write.mode("overwrite").options(header=True, **_CSV)
     if partition_by:
         w = w.partitionBy(partition_by)
     w.csv(path)
@@ -61,7 +67,8 @@ def write_reports(details: DataFrame, folder: str, order_by: list[Column], param
     """Write the report of every target period under ``folder/report_file=<file name>``.
 
     ``details`` carries ``target_periodseq``. The titles are one row per report that sorts
-    first, so a report has its header once however many part files it has.
+    first, so a report has its header once however many part files it has. Rows that ``order_by``
+    leaves equal follow by all their columns, so the same rows always give the same file.
     """
     names = params.select(F.col("target_periodseq").alias("_target"), report_filename(
         prefix, "periodname", run_date).alias("report_file"))
@@ -71,12 +78,34 @@ def write_reports(details: DataFrame, folder: str, order_by: list[Column], param
     head = header_rows(details.sparkSession, titles, names.select("report_file"))
     both = head.withColumn("_line", F.lit(0)).unionByName(
         rows.select("report_file", *titles).withColumn("_line", F.lit(1)))
-    keys = [F.col("report_file"), F.col("_line"), *order_by]
+    keys = [F.col("report_file"), F.col("_line"), *order_by, *[F.col(t).asc_nulls_first() for t in titles]]
     (both.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_line")
-     .write.mode("overwrite").partitionBy("report_file").option("header", False).csv(folder))
+     .write.mode("overwrite").partitionBy("report_file").options(header=False, **_CSV).csv(folder))
     return folder
 
 
+def read_reports(spark: SparkSession, folder: str, titles: list[str]) -> DataFrame:
+    """The reports under ``folder`` line by line: report_file, line (from 1: the header), the values.
+
+    A line's number is its place in its piece of a part file plus the lines of the pieces before
+    it. Row ids run on within a piece, so a piece's first id gives the place without a sort; only
+    one row per piece is windowed, never the lines.
+    """
+    schema = ", ".join(f"`{t}` string" for t in titles) + ", report_file string"
+    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("int")
+    lines = (spark.read.schema(schema).options(header=False, multiLine=True, nullValue=_NO_TEXT, **_CSV).csv(folder)
+             .select("*", part.alias("_part"), F.col("_metadata.file_name").alias("_file"),
+                     F.col("_metadata.file_block_start").alias("_block"),
+                     F.monotonically_increasing_id().alias("_id")))
+    piece = ["report_file", "_part", "_file", "_block"]
+    pieces = lines.groupBy(*piece).agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = (Window.partitionBy("report_file").orderBy("_part", "_file", "_block")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    pieces = pieces.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    line = (F.col("_before") + F.col("_id") - F.col("_first") + 1).cast("bigint")
+    return lines.join(pieces, piece).select("report_file", line.alias("line"), *[F.col(f"`{t}`") for t in titles])
+
+
 def log_files(log, params: DataFrame, prefix: str, run_date) -> None:
     """A log row per target with its report's file name (one per target period: calendar-sized)."""
     _, _, _, started, ended, *_ = log.entries[-1]

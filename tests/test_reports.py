@@ -13,7 +13,7 @@ from quotalens.operators.params import params, period_keys
 from quotalens.plans import accrual as acc
 from quotalens.plans import attainment as att
 from quotalens.session import ensure_checkpoint_dir
-from quotalens.sinks.report import full_refresh, read_table, write_report, write_reports
+from quotalens.sinks.report import full_refresh, read_reports, read_table, write_report, write_reports
 
 TWO = ["September 1998", "October 1998"]
 
@@ -138,3 +138,24 @@ def test_periods_are_literals_in_the_fact_scans(src, oct_params, tmp_path, capsy
 def test_the_folder_set_on_the_context_wins(spark):
     folder = ensure_checkpoint_dir(spark)
     assert spark.sparkContext.getCheckpointDir().startswith(folder)
+
+
+def test_files_read_back_in_order_line_by_line(spark, tmp_path):
+    p = spark.createDataFrame([(1, "June 1998"), (2, "July 1998")], "target_periodseq long, periodname string")
+    data = [(k % 2 + 1, f"n{k * 37 % 500:03d}", t) for k in range(500)
+            for t in (None, "", " blank ", 'say "x", so', "two\nlines")]
+    df = spark.createDataFrame(data, "target_periodseq long, Name string, `Odd name` string").repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        folder = write_reports(df, str(tmp_path / "r"), [F.col("Name").desc()], p, "X_", dt.date(2026, 1, 31))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    titles = df.columns[1:]
+    got = sorted(map(tuple, read_reports(spark, folder, titles).collect()))
+    want = []
+    for key, month in ((1, "June"), (2, "July")):
+        body = sorted(((n, t) for k, n, t in data if k == key), key=lambda r: (r[1] is not None, r[1] or ""))
+        lines = [tuple(titles), *sorted(body, key=lambda r: r[0], reverse=True)]
+        want += [(f"X_{month}_1998_20260131.csv", i, *line) for i, line in enumerate(lines, 1)]
+    assert len(os.listdir(f"{folder}/report_file={want[0][0]}")) > 2
+    assert got == sorted(want)
