@@ -5,10 +5,12 @@
    A'(A Omega), Spark sums them by feature, and the driver's Nystroem step on this features x rank
    matrix (a fixed size) gives the leading right singular vectors and values.
 3. Every document window is folded into the latent space and compared with all benchmark windows;
-   cosines above ``COSINE`` are candidates.
+   cosines above ``COSINE`` are candidates. Items of fewer than ``SHORT`` words would be lost among
+   the words of a full window, so they are compared with windows of ``SHORT`` words.
 4. A candidate's neighbourhood is aligned with the item: longest common subsequence of words
    against the item's length, and against its answer (its last sentence). Neighbourhoods that
-   share fewer words with the item than any accepted subsequence has are not aligned.
+   share fewer words with the item than any accepted subsequence has are not aligned; these numbers
+   are counted for all candidates of an item at once.
 
 The benchmark is the stated query set: it is read in blocks of ``BLOCK`` items, each of them
 against all documents. Documents are read three times and never shuffled.
@@ -32,6 +34,8 @@ RANK = 48
 SPAN = 32          # words of a window
 STRIDE = 16        # of document windows; benchmark windows start every ITEM_STRIDE words
 ITEM_STRIDE = 4
+SHORT = 10         # items of fewer words, and the words of the windows they are compared with
+SHORT_STRIDE = 3
 COSINE = 0.5
 SHARE = 0.6        # of an item's words, in order, that make a leak
 ANSWERED = 0.45    # enough if the answer is there too
@@ -179,8 +183,9 @@ class Items:
     ids: list
     words: list[list[int]]       # word hashes
     answers: list[list[int]]
-    vectors: np.ndarray          # latent windows
-    of: np.ndarray               # item of each window
+    parts: list[tuple]           # (words of a document window, stride, latent item windows, their items)
+    known: np.ndarray            # distinct words of all items, sorted
+    kinds: list[tuple]           # of each item: its distinct words' places in known, their counts
 
 
 def _hashes(text: str) -> np.ndarray:
@@ -189,7 +194,8 @@ def _hashes(text: str) -> np.ndarray:
 
 
 def prepare(rows: list[tuple[int, str]], space: Space) -> Items:
-    ids, words, answers, wins, of = [], [], [], [], []
+    ids, words, answers = [], [], []
+    full, short = ([], []), ([], [])
     for item, text in rows:
         h = _hashes(text or "")
         if not len(h):
@@ -199,15 +205,19 @@ def prepare(rows: list[tuple[int, str]], space: Space) -> Items:
         ids.append(item)
         words.append(h.tolist())
         answers.append(_hashes(sentences[-1]).tolist())
+        wins, of = short if len(h) < SHORT else full
         for s in range(0, max(1, len(h) - SPAN + ITEM_STRIDE), ITEM_STRIDE):
             wins.append(h[s:s + SPAN])
             of.append(k)
-    vectors = np.zeros((len(wins), RANK), np.float32)
-    if wins:
-        p = np.repeat(np.arange(len(wins)), [len(w) for w in wins])
-        p, f, tf = _entries(p, _feature(np.concatenate(wins)))
-        vectors = space.rows(p, f, tf, len(wins))
-    return Items(ids, words, answers, vectors, np.array(of, np.int64))
+    parts = []
+    for span, stride, (wins, of) in ((SPAN, STRIDE, full), (SHORT, SHORT_STRIDE, short)):
+        if wins:
+            p = np.repeat(np.arange(len(wins)), [len(w) for w in wins])
+            p, f, tf = _entries(p, _feature(np.concatenate(wins)))
+            parts.append((span, stride, space.rows(p, f, tf, len(wins)), np.array(of, np.int64)))
+    known = np.unique(np.array([x for w in words for x in w], np.uint64))
+    kinds = [np.unique(np.searchsorted(known, np.array(w, np.uint64)), return_counts=True) for w in words]
+    return Items(ids, words, answers, parts, known, kinds)
 
 
 def common(a: list[int], b: list[int]) -> int:
@@ -225,18 +235,38 @@ def common(a: list[int], b: list[int]) -> int:
     return len(a) - row.bit_count()
 
 
-def overlap(a: list[int], b: list[int]) -> int:
-    """Words that a and b share, with their repeats: no common subsequence is longer."""
-    left: dict[int, int] = {}
-    for x in a:
-        left[x] = left.get(x, 0) + 1
-    found = 0
-    for x in b:
-        n = left.get(x)
-        if n:
-            left[x] = n - 1
-            found += 1
-    return found
+class Places:
+    """Where the items' words stand in texts laid end to end."""
+
+    def __init__(self, items: Items, h: np.ndarray):
+        code = np.searchsorted(items.known, h)
+        code[code == len(items.known)] = 0
+        at = np.flatnonzero(items.known[code] == h)
+        code = code[at]
+        self.at = at[np.argsort(code, kind="stable")]
+        self.count = np.bincount(code, minlength=len(items.known))
+        self.first = np.cumsum(self.count) - self.count
+
+    def overlap(self, kinds: tuple, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Words that an item shares, with their repeats, with each range [low, high) of the texts:
+        no common subsequence is longer.
+
+        Of a word that the item has c times, the places in a range count whose c-th place before
+        lies below the range; those are min(c, places in the range).
+        """
+        which, c = kinds
+        n = self.count[which]
+        nth, c = ragged_arange(n), np.repeat(c, n)
+        place = np.repeat(self.first[which], n) + nth
+        before = np.where(nth >= c, self.at[place - np.minimum(nth, c)], -1)
+        at = self.at[place]
+        order = np.argsort(at)
+        at, before = at[order], before[order]
+        begin = np.searchsorted(at, low)
+        inside = np.searchsorted(at, high) - begin
+        own = np.repeat(np.arange(len(low)), inside)
+        new = before[np.repeat(begin, inside) + ragged_arange(inside)] < low[own]
+        return np.bincount(own[new], minlength=len(low))
 
 
 def _verify(items: Items, k: int, near: list[int]) -> tuple[float, float] | None:
@@ -255,10 +285,10 @@ def _verify(items: Items, k: int, near: list[int]) -> tuple[float, float] | None
     return None
 
 
-def _windows(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text, first word in the text) of all windows: SPAN words every STRIDE words."""
-    per = np.where(counts > 0, np.maximum(0, -(-(counts - SPAN) // STRIDE)) + 1, 0)
-    return np.repeat(np.arange(len(counts)), per), ragged_arange(per) * STRIDE
+def _windows(counts: np.ndarray, span: int, stride: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, first word in the text) of all windows: span words every stride words."""
+    per = np.where(counts > 0, np.maximum(0, -(-(counts - span) // stride)) + 1, 0)
+    return np.repeat(np.arange(len(counts)), per), ragged_arange(per) * stride
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, space: Space | None = None) -> DataFrame:
@@ -306,37 +336,55 @@ def _search(docs: DataFrame, ship) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, item_id long, cosine double, share double, answer double")
 
 
-def search(space: Space, items: Items, h: np.ndarray, at: np.ndarray) -> dict:
-    """(text, item) -> (cosine, share, answer) over texts given by word hashes and offsets."""
-    found: dict = {}
-    listed = h.tolist()
+def _candidates(space: Space, part: tuple, h: np.ndarray, at: np.ndarray):
+    """(text, first word, words of the window, item, cosine) of windows near an item."""
+    span, stride, vectors, of = part
     counts = np.diff(at)
-    doc, begin = _windows(counts)
+    doc, begin = _windows(counts, span, stride)
     first = at[doc] + begin
-    size = np.minimum(SPAN, counts[doc] - begin)
+    size = np.minimum(span, counts[doc] - begin)
+    found = []
     for i in range(0, len(doc), 2048):
-        part = slice(i, i + 2048)
-        n = len(doc[part])
-        p = np.repeat(np.arange(n), size[part])
-        word = np.repeat(first[part], size[part]) + ragged_arange(size[part])
+        one = slice(i, i + 2048)
+        n = len(doc[one])
+        p = np.repeat(np.arange(n), size[one])
+        word = np.repeat(first[one], size[one]) + ragged_arange(size[one])
         p, f, tf = _entries(p, _feature(h[word]))
-        cos = space.rows(p, f, tf, n) @ items.vectors.T
+        cos = space.rows(p, f, tf, n) @ vectors.T
         w, j = np.nonzero(cos >= COSINE)
         if not len(w):
             continue
-        pair = w * len(items.ids) + items.of[j]
+        pair = w * (int(of[-1]) + 1) + of[j]
         best = np.lexsort((-cos[w, j], pair))
         best = best[np.append(True, pair[best][1:] != pair[best][:-1])]
         w, j = w[best], j[best]
-        for a, k, c in zip(w.tolist(), items.of[j].tolist(), cos[w, j].tolist()):
-            d, s, m = int(doc[i + a]), int(begin[i + a]), len(items.words[k])
-            base, end = int(at[d]), int(at[d + 1])
-            near = listed[max(base, base + s - m):min(end, base + s + SPAN + m)]
-            if overlap(items.words[k], near) < min(SHARE, ANSWERED) * m:
-                continue
-            got = _verify(items, k, near)
-            if got and got[0] > found.get((d, k), (0, 0, 0))[1]:
-                found[d, k] = (c, *got)
+        found.append((doc[i + w], first[i + w], np.full(len(w), span), of[j], cos[w, j]))
+    return found
+
+
+def search(space: Space, items: Items, h: np.ndarray, at: np.ndarray) -> dict:
+    """(text, item) -> (cosine, share, answer) over texts given by word hashes and offsets."""
+    near = [c for part in items.parts for c in _candidates(space, part, h, at)]
+    if not near:
+        return {}
+    doc, first, span, item, cosine = (np.concatenate(x) for x in zip(*near))
+    lengths = np.array([len(w) for w in items.words])
+    low = np.maximum(at[doc], first - lengths[item])
+    high = np.minimum(at[doc + 1], first + span + lengths[item])
+    places = Places(items, h)
+    by_item = np.argsort(item, kind="stable")
+    enough = np.zeros(len(item), bool)
+    for group in np.split(by_item, np.flatnonzero(np.diff(item[by_item])) + 1):
+        k = int(item[group[0]])
+        shared = places.overlap(items.kinds[k], low[group], high[group])
+        enough[group] = shared >= min(SHARE, ANSWERED) * lengths[k]
+    found: dict = {}
+    for x in np.flatnonzero(enough).tolist():
+        d, k = int(doc[x]), int(item[x])
+        best = found.get((d, k), (0, 0, 0))[1]
+        got = _verify(items, k, h[low[x]:high[x]].tolist()) if best < 1 else None
+        if got and got[0] > best:
+            found[d, k] = (float(cosine[x]), *got)
     return found
 
 

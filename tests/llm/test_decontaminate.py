@@ -100,4 +100,27 @@ def test_shared_words_bound_the_subsequence():
     rnd = random.Random(3)
     for _ in range(50):
         a, b = ([rnd.randint(0, 9) for _ in range(rnd.randint(1, 30))] for _ in range(2))
-        assert dc.common(a, b) <= dc.overlap(a, b) == sum(min(a.count(x), b.count(x)) for x in set(a))
+        known = np.unique(np.array(a, np.uint64))
+        kinds = np.unique(np.searchsorted(known, np.array(a, np.uint64)), return_counts=True)
+        items = dc.Items([0], [a], [a], [], known, [kinds])
+        low = np.array([rnd.randrange(len(b)) for _ in range(6)] + [0])
+        high = np.array([rnd.randint(x, len(b)) for x in low[:-1]] + [len(b)])
+        got = dc.Places(items, np.array(b, np.uint64)).overlap(kinds, low, high)
+        for x, lo, hi in zip(got, low, high):
+            part = b[lo:hi]
+            assert dc.common(a, part) <= x == sum(min(a.count(v), part.count(v)) for v in set(a))
+
+
+@pytest.mark.parametrize("length", [5, 6, 8, 9, 10, 15, 24, 60])
+def test_verbatim_items_of_every_length_are_found(spark, length):
+    rnd = random.Random(length)
+    items = [(k, prose(9000 + 100 * length + k, length)) for k in range(30)]
+    docs = []
+    for k, text in items:
+        words = prose(k, 200).split(" ")
+        where = rnd.randrange(len(words))
+        docs.append((k, " ".join(words[:where] + text.split(" ") + words[where:])))
+    docs += [(100 + i, prose(1000 + i, 200)) for i in range(60)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in dc.op10(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert sum((k, k) in got for k, _ in items) >= 27
