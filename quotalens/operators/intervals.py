@@ -26,8 +26,9 @@ def in_force_join(versions: DataFrame, periods: DataFrame, at: str, start: str =
     ``periods`` is calendar-sized and broadcast. Its first and last month are a scalar
     subquery of the plan. Null dates are never in force; equal rows of either side multiply.
     """
-    months = periods.select(_bin(at).alias("m"))
-    low, high = (months.agg(f("m").alias("m")).select("m").scalar() for f in (F.min, F.max))
+    month = _bin(at)
+    ends = periods.agg(F.struct(F.min(month).alias("low"), F.max(month).alias("high")).alias("e")).scalar()
+    low, high = ends["low"], ends["high"]
     first, last = F.greatest(_bin(start), low), F.least(_bin(end), high)
     # without periods both bounds are null and nothing is laid out
     laid = versions.withColumn("_month", F.explode(F.when(
