@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotalens.session import scratch_path
+from quotalens.sinks.files import remove
 
 #: Bytes of text that one numpy step works on; a longer single text is its own step.
 STEP_BYTES = 1 << 21
@@ -42,7 +43,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex}")
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete tables that ``materialize`` wrote, once all that is derived from them is written too;
+    shuffle files of the finished steps go with them."""
+    spark = written[0].sparkSession
+    for df in written:
+        remove(spark, df.scratch)
+    release(spark)
 
 
 def hash_share(total: int, wanted: int, *columns):

@@ -101,3 +101,60 @@ def test_lines_below_twenty_words(spark):
     got = paragraphs.op1(spark.createDataFrame(rows, "doc_id long, text string")).where("level = 0").collect()
     assert sorted((r.doc_id, r.words, r.removed) for r in got) == [
         (0, 2, False), (0, 7, False), (0, 19, False), (1, 19, True), (2, 2, True), (2, 7, True)]
+
+
+def test_bands_beyond_one_group_lose_no_link(spark, monkeypatch):
+    """Clouds of near copies in the same bands, dealt to blocks of 300 words: classes as by brute force."""
+    rnd, rows = random.Random(8), []
+    for cloud in range(3):
+        base = [f"c{cloud}w{k}" for k in range(30)]
+        for i in range(70):
+            w = list(base)
+            for _ in range(rnd.choice([0, 1, 1, 2, 3])):
+                w[rnd.randrange(30)] = f"x{rnd.randrange(40)}"
+            rows.append((len(rows), " ".join(w)))
+
+    def classes():
+        groups = {}
+        for r in paragraphs.op1(spark.createDataFrame(rows, "doc_id long, text string")).where("level = 0").collect():
+            groups.setdefault(r.class_id, []).append((r.doc_id, r.start))
+        return sorted(sorted(g) for g in groups.values())
+
+    whole = classes()
+    monkeypatch.setattr(paragraphs, "GROUP", 300)
+    assert classes() == whole
+
+
+def test_hot_links_connect_what_pairs_connect(spark, monkeypatch):
+    """One key, two clouds, a chain of members that drifts away, and members like nothing: every pair
+    at 0.8 ends in one component, by blocks as by all pairs."""
+    rnd, sets = random.Random(4), []
+    for cloud in range(2):
+        base = list(range(1000 * cloud, 1000 * cloud + 20))
+        for _ in range(40):
+            s = set(base)
+            s.discard(rnd.choice(base))
+            s.add(5000 + rnd.randrange(6))
+            sets.append(s)
+    sets += [set(range(k, k + 20)) for k in range(0, 60, 2)]        # neighbours share 18 of 22
+    sets += [set(range(9000 + 30 * k, 9020 + 30 * k)) for k in range(20)]
+    frame = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)], "unit long, set array<long>")
+    total = sum(map(len, sets))
+    rows = frame.selectExpr("1L key", "unit", f"{total}L size")
+    monkeypatch.setattr(paragraphs, "GROUP", 400)
+    found = [(r.a, r.b) for r in paragraphs._links(rows, frame).collect()]
+    root = {}
+
+    def find(parent, i):
+        while parent.get(i, i) != i:
+            i = parent[i]
+        return i
+
+    for a, b in found:
+        root[find(root, a)] = find(root, b)
+    want = {}
+    for a, b in itertools.combinations(range(len(sets)), 2):
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            want[find(want, a)] = find(want, b)
+    parts = lambda p: {frozenset(j for j in range(len(sets)) if find(p, j) == find(p, i)) for i in range(len(sets))}
+    assert parts(root) == parts(want)
