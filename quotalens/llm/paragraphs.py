@@ -185,15 +185,17 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [("unit", pa.int64()), ("set", pa.list_(pa.int64()))]))
 
 
-_EDGE = pa.schema([("row", pa.int64()), ("word", pa.int32()), ("stop", pa.int32()),
-                   ("start", pa.int64()), ("end", pa.int64()),
+_EDGE = pa.schema([("doc", pa.int64()), ("row", pa.int64()), ("word", pa.int32()),
+                   ("stop", pa.int32()), ("f_row", pa.int64()), ("f_word", pa.int32()),
+                   ("f_stop", pa.int32()), ("start", pa.int64()), ("end", pa.int64()),
                    ("before", pa.list_(pa.int32())), ("after", pa.list_(pa.int32())),
                    ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))])
 
 
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Where the words [word, stop) asked for in each text stand, and the words around them, nearest
-    first: hashes, and where the words before start and the words after end."""
+    first: hashes, and where the words before start and the words after end. A copy's row carries the
+    place it copies (f_), a first place's row has none."""
     for b in steps(batches, max_bytes=1 << 20):
         raw, offs = flat(b.column("text"))
         h, starts, ends, at = words_of(raw, offs)
@@ -203,7 +205,8 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = b.column("asked")
         doc = np.repeat(np.arange(b.num_rows), asked.value_lengths().to_numpy())
         flat_asked = asked.flatten()
-        word, stop = (flat_asked.field(k).to_numpy() for k in (0, 1))
+        word, stop, *copied = (flat_asked.field(k) for k in range(5))
+        word, stop = word.to_numpy(), stop.to_numpy()
         base = chars[offs[:-1]][doc]
         head, tail = at[doc] + word, at[doc] + stop - 1
         n_before = np.minimum(WINDOW - 1, head - at[doc])
@@ -213,8 +216,8 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed = lambda n, values: pa.ListArray.from_arrays(
             np.append(0, np.cumsum(n)).astype(np.int32), pa.array(values.astype(np.int32)))
         yield pa.RecordBatch.from_arrays(
-            [b.column("row").take(pa.array(doc)), pa.array(word), pa.array(stop),
-             pa.array(first[head] - base), pa.array(last[tail] - base), listed(n_before, short[up]), listed(n_after, short[down]),
+            [b.column("doc_id").take(pa.array(doc)), b.column("row").take(pa.array(doc)),
+             pa.array(word), pa.array(stop), *copied, pa.array(first[head] - base), pa.array(last[tail] - base), listed(n_before, short[up]), listed(n_after, short[down]),
              listed(n_before, first[up] - np.repeat(base, n_before)),
              listed(n_after, last[down] - np.repeat(base, n_after))], schema=_EDGE)
 
@@ -342,7 +345,7 @@ def repeated_units(docs: DataFrame) -> DataFrame:
     bands = lead.select("unit", "words", F.explode("bands").alias("key"))
     met = bands.groupBy("key").agg(
         F.count("*").alias("n"), F.sum("words").alias("size"),
-        F.sum(F.xxhash64("unit").cast("decimal(38,0)")).alias("members"))
+        F.bit_xor(F.xxhash64("unit")).alias("members"))
     met = met.where(F.col("n") > 1).groupBy("n", "members").agg(
         F.min("key").alias("key"), F.first("size").alias("size")).select("key", "size")
     rows = materialize(bands.select("key", "unit").join(met.hint("shuffle_hash"), "key"), "bands")
@@ -398,20 +401,26 @@ def _passages(docs: DataFrame) -> DataFrame:
     copies = copies.withColumn("new", F.when(same, 0).otherwise(1))
     copies = copies.withColumn("chain", F.sum("new").over(order))
     chains = materialize(copies.groupBy("row", "chain").agg(
-        F.min("doc").alias("doc"), F.min("word").alias("word"),
-        (F.max("word") + SEED).alias("stop"), F.min("f.doc").alias("f_doc"),
+        F.min("word").alias("word"), (F.max("word") + SEED).alias("stop"),
         F.min("f.row").alias("f_row"), F.min("f.word").alias("f_word"),
-        (F.max("f.word") + SEED).alias("f_stop")), "chains")
+        (F.max("f.word") + SEED).alias("f_stop")).drop("chain"), "chains")
     discard(many)
-    places = chains.select("row", "word", "stop").union(
-        chains.select("f_row", "f_word", "f_stop")).distinct()
-    asked = places.groupBy("row").agg(F.collect_list(F.struct("word", "stop")).alias("asked"))
-    edges = materialize(docs.join(asked, "row").select("row", "text", "asked").mapInArrow(
-        _edges, "row long, word int, stop int, start long, end long, before array<int>, "
-                "after array<int>, starts array<int>, ends array<int>"), "edges")
-    release(docs.sparkSession)
-    there = edges.select(*(F.col(c).alias(f"f_{c}") for c in edges.columns))
-    both = chains.join(edges, ["row", "word", "stop"]).join(there, ["f_row", "f_word", "f_stop"])
+    place = chains.select("f_row", "f_word", "f_stop").distinct().select(
+        F.col("f_row").alias("row"), F.col("f_word").alias("word"), F.col("f_stop").alias("stop"),
+        F.lit(None).cast("long").alias("f_row"), F.lit(None).cast("int").alias("f_word"),
+        F.lit(None).cast("int").alias("f_stop"))
+    asked = chains.unionByName(place).groupBy("row").agg(
+        F.collect_list(F.struct("word", "stop", "f_row", "f_word", "f_stop")).alias("asked"))
+    edges = materialize(docs.join(asked, "row").select("doc_id", "row", "text", "asked").mapInArrow(
+        _edges, "doc long, row long, word int, stop int, f_row long, f_word int, f_stop int, "
+                "start long, end long, before array<int>, after array<int>, starts array<int>, "
+                "ends array<int>"), "edges")
+    discard(chains)
+    sides = ("doc", "start", "end", "before", "after", "starts", "ends")
+    there = edges.where(F.col("f_row").isNull()).select(
+        F.col("row").alias("f_row"), F.col("word").alias("f_word"), F.col("stop").alias("f_stop"),
+        *(F.col(c).alias(f"f_{c}") for c in sides))
+    both = edges.where(F.col("f_row").isNotNull()).drop("row").join(there, ["f_row", "f_word", "f_stop"])
 
     def agree(side: str):
         hits = F.zip_with(side, f"f_{side}", lambda x, y: F.coalesce(x == y, F.lit(False)))
@@ -427,7 +436,7 @@ def _passages(docs: DataFrame) -> DataFrame:
         grown("f_starts", "up", "f_start").alias("f_start"), grown("f_ends", "down", "f_end").alias("f_end"))
     both = materialize(both.where(F.col("words") >= RUN).withColumn(
         "class_id", F.concat_ws("-", F.lit("1"), "f_row", "f_start", "f_end")), "passages")
-    discard(chains, edges)
+    discard(edges)
     level = F.lit(1).alias("level")
     return both.select(F.col("doc").alias("doc_id"), level, "start", "end", "words", "class_id",
                        F.lit(True).alias("removed")).union(
