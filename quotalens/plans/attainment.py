@@ -7,8 +7,8 @@ unions them before a GROUP BY. Here the extract is one pass:
    (calendar-sized, broadcast);
 2. each incentive row carries a weight ``w`` = number of staged copies it would have
    (flag-1 copy + flag-3 copy), and every branch measure becomes a conditional aggregate;
-3. *eager aggregation*: measures are pre-aggregated per (target, month, position, payee)
-   before the join to the payee snapshot, so the join and its shuffle see one row per
+3. *eager aggregation*: measures are pre-aggregated per (month, position, payee), then meet the
+   targets that read the month and the payee snapshot, so both joins see one row per
    position-month (a hot position cannot skew it) and facts are shuffled once, after a
    map-side partial aggregate;
 4. the final GROUP BY on the 10 report keys combines the pre-aggregates.
@@ -54,25 +54,37 @@ KEY_COLUMNS = ["Month", "Qtr", "ID", "Plan Participant", "DIVISION", "SITE", "DE
                "REGION", "Currency"]
 
 
-def _incentives_in_run(sources, params: DataFrame, rp: DataFrame | None = None) -> DataFrame:
-    """Incentives of the run's unit in the YTD months of each target (rp broadcast)."""
-    if rp is None:
-        rp = run_period(sources, params)
-    r = rp.select("month_periodseq", "month_name", "quarter_name", "period_rank",
-                  "target_periodseq", F.col("processingunitseq").alias("rp_unit"))
+def _run_months(rp: DataFrame) -> DataFrame:
+    """The targets' months, bounded by the calendar (<= 12 per target)."""
+    return rp.select("month_periodseq", "month_name", "quarter_name", "period_rank",
+                     "target_periodseq", F.col("processingunitseq").alias("rp_unit"))
+
+
+def _incentives(sources, rp: DataFrame) -> DataFrame:
+    """Incentives of the run's months, each once however many targets read it."""
     inc = sources["cs_incentive"].select(
         "positionseq", "payeeseq", "periodseq", "processingunitseq", "genericattribute1",
         "genericattribute3", "genericattribute4", "genericattribute16", "value",
         "genericnumber1", "genericnumber2", "genericnumber3", "genericnumber4",
         "genericnumber5", "genericnumber6", "genericboolean1", "genericboolean3")
-    # run-period rows are bounded by the calendar (<= 12 per target): broadcast
     # the months' keys as literals: the incentive scan reads their partitions only
     months = sorted(x[0] for x in rp.select("month_periodseq").distinct().collect())
-    inc = inc.where(F.col("periodseq").isin(months))
+    return inc.where(F.col("periodseq").isin(months))
+
+
+def _of_targets(inc: DataFrame, rp: DataFrame) -> DataFrame:
+    """Rows of a period and unit with every target whose YTD months have it (broadcast)."""
+    r = _run_months(rp)
     return inc.join(F.broadcast(r), (inc.periodseq == r.month_periodseq)
                     & (inc.processingunitseq == r.rp_unit))
 
 
+def _incentives_in_run(sources, params: DataFrame, rp: DataFrame | None = None) -> DataFrame:
+    """Incentives of the run's unit in the YTD months of each target."""
+    rp = run_period(sources, params) if rp is None else rp
+    return _of_targets(_incentives(sources, rp), rp)
+
+
 def _arm1(inc: DataFrame) -> Column:
     return flag_set("genericboolean1") & F.col("genericattribute16").isin(*KINDS)
 
@@ -93,13 +105,14 @@ def incentive_facts(sources, params: DataFrame, rp: DataFrame | None = None) ->
 
 
 def _pre_aggregate(inc: DataFrame) -> DataFrame:
+    """Measures by (period, unit, position, payee); the targets' months are attached to the sums."""
     # Per-row inputs are projected once (FX parse, weight, kind flags) so the aggregate
     # references plain columns: smaller plans and task binaries than inlining the
     # five-replace FX parse into every conditional aggregate.
     m1, m2 = _arm1(inc), _arm2(inc)
     kind = F.col("genericattribute16")
     rows = inc.where(m1 | m2).select(
-        "target_periodseq", "month_name", "quarter_name", "positionseq", "payeeseq",
+        "periodseq", "processingunitseq", "positionseq", "payeeseq",
         "genericattribute1", "genericattribute3", "genericnumber1", "genericnumber2",
         "genericnumber3", "genericnumber5", "genericnumber6", "value",
         m1.alias("m1"), m2.alias("m2"), (m1.cast("int") + m2.cast("int")).alias("w"),
@@ -119,9 +132,7 @@ def _pre_aggregate(inc: DataFrame) -> DataFrame:
 
     quota_row = F.greatest(F.when(monthly & m1, c("genericnumber1")),
                            F.when(monthly & m2, F.lit(1).cast(MONEY)))
-    return rows.groupBy(
-        "target_periodseq", "month_name", "quarter_name", "positionseq", "payeeseq"
-    ).agg(
+    return rows.groupBy("periodseq", "processingunitseq", "positionseq", "payeeseq").agg(
         F.max(F.when(monthly, c("genericattribute1"))).alias("pe"),
         F.max(F.when(monthly, c("genericattribute3"))).alias("qp"),
         F.max(quota_row).alias("quota"),
@@ -177,7 +188,9 @@ def attainment_extract(sources, params: DataFrame, payees: DataFrame | None = No
     """
     if payees is None:
         payees = payee_snapshot(sources, params)
-    pre = _pre_aggregate(_incentives_in_run(sources, params, rp))
+    rp = run_period(sources, params) if rp is None else rp
+    # a month's sums serve every target that reads it, so targets multiply sums and not incentives
+    pre = _of_targets(_pre_aggregate(_incentives(sources, rp)), rp)
     pk = _payee_keys(payees)
     j = pre.join(pk, (pre.target_periodseq == pk.p_target) & (pre.positionseq == pk.p_position)
                  & (pre.payeeseq == pk.p_payee))
@@ -191,7 +204,8 @@ def attainment_extract(sources, params: DataFrame, payees: DataFrame | None = No
     usd_zero = F.when(tc >= 0, tc * F.col("fx_zmax")).otherwise(tc * F.col("fx_zmin")) \
         .cast(MONEY_2)
     ti_usd_row = F.greatest(F.col("usd_nz"), usd_zero)
-    agg = j.groupBy(
+    # dealt by some of the keys, so the text output's DISTINCT finds equal rows together
+    agg = j.repartition("target_periodseq", "Plan Participant", "SITE").groupBy(
         "target_periodseq", F.col("month_name").alias("Month"), F.col("quarter_name").alias("Qtr"),
         "ID", "Plan Participant", "DIVISION", "SITE", "DEPARTMENT", "REGION", "Currency",
         fiscal_month_order("month_name").alias("month_order"),
@@ -321,7 +335,8 @@ def attainment_out(extract: DataFrame, header: bool = True, params: DataFrame |
         raise ValueError("headers of several targets need their params")
     keys = params.select("target_periodseq").distinct() if by_target else None
     head = header_rows(extract.sparkSession, [c for c, _ in EXTRACT_COLUMNS], keys)
-    return head.unionByName(details).distinct()
+    # no detail row equals a header: its amounts are numbers
+    return head.distinct().unionByName(details.distinct())
 
 
 def attainment_order() -> list[Column]:

@@ -46,3 +46,40 @@ def test_live_filters_reach_the_scan(spark, tmp_path_factory, src):
 def test_accrual_report_has_no_cartesian(src, oct_params):
     rep = acc.accrual_report(acc.billto_enrich(src, acc.accrual_staging(src, oct_params)))
     assert "CartesianProduct" not in plan_text(rep)
+
+
+def test_type_tables_are_broadcast_and_deal_no_rows(src, oct_params):
+    staged = acc.billto_enrich(src, acc.accrual_staging(src, oct_params))
+    assert not [k for k in ("ct_seq", "et_seq", "at_seq", "c_type", "st_event", "addresstypeseq")
+                if f"hashpartitioning({k}#" in plan_text(staged)]
+
+
+def test_many_periods_deal_wide_rows_by_transaction_once(src):
+    from quotalens.operators.params import params
+    p = params(src, "PU1", None)
+    text = plan_text(acc.billto_enrich(src, acc.accrual_staging(src, p)))
+    assert "hashpartitioning(st_order#" not in text and "hashpartitioning(salestransactionseq#" in text
+    wide = [ln for ln in text.split("\n") if "Exchange hashpartitioning(periodseq" in ln and "dept_code" in ln]
+    assert not wide, wide
+
+
+def test_targets_multiply_sums_and_not_incentives(src):
+    from quotalens.operators.params import params
+    text = optimized(att.attainment_extract(src, params(src, "PU1", None)))
+    keys = [ln for ln in text.split("\n") if "Aggregate [" in ln and "positionseq" in ln and "payeeseq" in ln]
+    assert any("processingunitseq" in ln.split("]")[0] for ln in keys)
+
+
+def test_tables_derived_once_are_parquet(src):
+    for name in ("cs_credit", "cs_salestransaction", "cs_measurement"):
+        assert "FileScan parquet" in plan_text(src[name]) and "Scan ExistingRDD" not in plan_text(src[name])
+
+
+def test_partitions_grow_with_the_input(spark):
+    from quotalens import session
+    old = spark.conf.get(session.INITIAL_PARTITIONS, None)
+    try:
+        session.bound_tasks(spark, 10 * session.ROWS_A_PARTITION * 4)
+        assert int(spark.conf.get(session.INITIAL_PARTITIONS)) == 40
+    finally:
+        spark.conf.set(session.INITIAL_PARTITIONS, old) if old else spark.conf.unset(session.INITIAL_PARTITIONS)
