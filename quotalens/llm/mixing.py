@@ -7,9 +7,9 @@ the byte class and the depth of the bit in its code (fitted on a bounded sample
 every predictor's share is refined online along the text by the gradient of each coded bit. The
 sum of the bits' costs is the text's total, so bits per byte follow.
 
-* Training counts of (context, byte) are gathered over all training documents: partial sums in
-  each task, then Spark's sum by context, then the bits of each context's bytes. They meet in
-  hashed tables of a fixed size (``TABLES``), so what the driver holds and broadcasts does not
+* Training counts of (contexts of all predictors, byte) are gathered over all training documents:
+  partial sums in each task, Spark's sum, then the bits of each cell's byte. They meet in hashed
+  tables of a fixed size (``TABLES``), so what the driver holds and broadcasts does not
   depend on the corpus.
 * Scoring runs batch by batch without a shuffle: a text is coded in segments of ``SEGMENT`` bytes
   that keep the context of the bytes before them, and all segments of a batch advance together.
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotalens.llm.common import (
-    flat, fold, hash_share, id_text, materialize, ragged_arange, release, steps)
+    discard, flat, fold, id_text, materialize, ragged_arange, release, steps)
 
 CLASSES = 16
 ORDERS = (2, 4, 5)
@@ -42,9 +42,10 @@ END = 255                        # closes a text; no UTF-8 byte
 SCALE = 16.0                     # table entries are log-odds times SCALE
 GATES = CLASSES * 4
 RATE = 0.02                      # of the online refinement
-SAMPLE, SAMPLE_BYTES = 400, 1024 # windows that fit the gated weights: the stated bound
+ODDS_STEPS = 2                   # log-odds are counted in halves for the gated weights,
+LEVELS = 33                      # from -8 to 8
 WORDS_HELD = 400_000             # words a task gathers before it emits them
-CELLS_HELD = 4_000_000           # context cells a task gathers before it sums them up
+CELLS_HELD = 4_000_000           # cells a task gathers before it sums them up
 _BASES = np.cumsum([0, *(1 << t for t in TABLES)])
 
 
@@ -190,8 +191,30 @@ class Mixer:
         return -np.add.reduceat(cost, bounds, dtype=np.float64) / np.log(10)
 
 
+def cells_of(symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """What all predictors see at every coded position, in one number.
+
+    16 bits of hash for the first, then the byte before, the hashes of the others, the coded byte:
+    sorted, the places of the shorter contexts stand together.
+    """
+    first, second, third = (c.astype(np.uint64) for c in contexts(symbols, at))
+    near = first & np.uint64(255)
+    cell = first >> np.uint64(8) << np.uint64(48) | near << np.uint64(40)
+    cell |= second >> np.uint64(8) << np.uint64(24) | third >> np.uint64(8) << np.uint64(8)
+    return (cell | symbols[at].astype(np.uint64)).view(np.int64)
+
+
+def opened(cell: np.ndarray):
+    """(contexts of every predictor, byte before, byte) of cells."""
+    cell = cell.view(np.uint64)
+    near = cell >> np.uint64(40) & np.uint64(255)
+    found = [((cell >> np.uint64(shift) & np.uint64(0xFFFF)) << np.uint64(8) | near).astype(np.uint32)
+             for shift in (48, 24, 8)]
+    return found, near.astype(np.int64), (cell & np.uint64(255)).astype(np.int64)
+
+
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(context with its predictor, byte, n) of a task's texts."""
+    """(cell, n) of a task's texts."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
 
     def summed():
@@ -204,14 +227,11 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def emit(cell, n):
         for i in range(0, len(cell), 1 << 18):
             part = slice(i, i + (1 << 18))
-            yield pa.RecordBatch.from_pydict({"context": cell[part] >> 8, "byte": cell[part] & 255,
-                                              "n": n[part]})
+            yield pa.RecordBatch.from_pydict({"cell": cell[part], "n": n[part]})
 
     for b in steps(batches):
         symbols, at, _, _ = stream(*flat(b.column("text")))
-        coded = symbols[at].astype(np.int64)
-        for k, context in enumerate(contexts(symbols, at)):
-            held.append(np.unique(context.astype(np.int64) << 8 | k << 32 | coded, return_counts=True))
+        held.append(np.unique(cells_of(symbols, at), return_counts=True))
         if sum(len(c) for c, _ in held) > CELLS_HELD:
             held = [summed()]
             if len(held[0][0]) > CELLS_HELD * 3 // 4:
@@ -220,35 +240,40 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from emit(*summed())
 
 
-def bit_counts(docs: DataFrame, code: Code) -> DataFrame:
+def cell_counts(docs: DataFrame) -> DataFrame:
+    """(cell, n) of all of ``docs``, written; those that share a first context lie together, in order."""
+    few = docs.coalesce(max(1, 4 * docs.sparkSession.sparkContext.defaultParallelism))
+    cells = few.mapInArrow(_cells, "cell long, n long").repartition(F.shiftrightunsigned("cell", 40))
+    return materialize(cells.groupBy("cell").agg(F.sum("n").alias("n")).sortWithinPartitions("cell"), "cells")
+
+
+def _bits(code: Code, cell: np.ndarray):
+    """Bits of cells: contexts by predictor, node, bit, gate, and the bits of each cell."""
+    found, near, byte = opened(cell)
+    cls = code.classes[near]
+    key = cls * 256 + byte
+    n = code.length[key]
+    entry = np.repeat(code.start[key] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    return found, code.node[entry], code.bit[entry], np.repeat(cls, n) * 4 + code.depth[entry], n
+
+
+def bit_counts(cells: DataFrame, code: Code) -> DataFrame:
     """(place, one, zero, gate): how often each table place saw a bit set or not."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            context, byte, count = (b.column(c).to_numpy() for c in ("context", "byte", "n"))
-            cls = code.classes[context & 255]
-            key = cls * 256 + byte
-            n = code.length[key]
-            entry = np.repeat(code.start[key] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            node, which = code.node[entry], np.repeat(context >> 24, n)
-            low = np.repeat((context & 0xFFFFFF).astype(np.uint32), n)
-            place = np.zeros(len(entry), np.uint32)
-            for k in range(len(ORDERS)):
-                own = which == k
-                place[own] = places(k, low[own], node[own])
-            gate = np.repeat(cls, n) * 4 + code.depth[entry]
+            cell, count = (b.column(c).to_numpy() for c in ("cell", "n"))
+            found, node, bit, gate, n = _bits(code, cell)
             count = np.repeat(count, n)
-            order = np.argsort(place, kind="stable")
-            place, gate, count = place[order], gate[order], count[order]
-            set_ = count * code.bit[entry][order]
-            first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
-            yield pa.RecordBatch.from_pydict(
-                {"place": place[first].astype(np.int32), "one": np.add.reduceat(set_, first),
-                 "zero": np.add.reduceat(count - set_, first), "gate": gate[first].astype(np.int32)})
+            for k, context in enumerate(found):
+                place = places(k, np.repeat(context, n), node)
+                order = np.argsort(place, kind="stable")
+                own, seen = place[order], count[order]
+                first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+                one = np.add.reduceat(seen * bit[order], first)
+                yield pa.RecordBatch.from_pydict(
+                    {"place": own[first].astype(np.int32), "one": one,
+                     "zero": np.add.reduceat(seen, first) - one, "gate": gate[order][first].astype(np.int32)})
 
-    few = docs.coalesce(max(1, 4 * docs.sparkSession.sparkContext.defaultParallelism))
-    cells = few.mapInArrow(_cells, "context long, byte long, n long").repartition("context")
-    # rows of a context stand together, so its places are summed before they are sent on
-    cells = cells.groupBy("context", "byte").agg(F.sum("n").alias("n")).sortWithinPartitions("context")
     return cells.mapInArrow(run, "place int, one long, zero long, gate int").groupBy("place").agg(
         F.sum("one").cast("float").alias("one"), F.sum("zero").cast("float").alias("zero"),
         F.max("gate").cast("byte").alias("gate"))
@@ -273,18 +298,15 @@ def count_pairs(docs: DataFrame) -> np.ndarray:
 def fit(docs: DataFrame) -> Mixer:
     """Mixer of all of ``docs`` (row, text); without rows all bits are even."""
     code = build_code(count_pairs(docs))
-    rows = bit_counts(docs, code).toArrow()  # at most sum(2**t for t in TABLES) rows
+    cells = cell_counts(docs)
+    rows = bit_counts(cells, code).toArrow()  # at most sum(2**t for t in TABLES) rows
     one, zero = (np.zeros(int(_BASES[-1]), np.float32) for _ in range(2))
     gate = np.zeros(int(_BASES[-1]), np.uint8)
     place = rows["place"].to_numpy()
     one[place], zero[place], gate[place] = (rows[c].to_numpy() for c in ("one", "zero", "gate"))
     del rows, place
-    raw = F.encode("text", "UTF-8")
-    start = F.pmod(F.xxhash64("text"), F.greatest(F.lit(1), F.octet_length("text") - SAMPLE_BYTES + 1))
-    sample = docs.where(hash_share(docs.count(), SAMPLE, "text", "row")).select(
-        F.substring(raw, start.cast("int") + 1, F.lit(SAMPLE_BYTES)).alias("w")).toArrow()["w"].to_pylist()
-    sample.sort()  # the fit does not depend on the order of partitions
-    weights = _gates(code, one, zero, sample)
+    weights = _gates(*gate_counts(cells, code, one, zero))
+    discard(cells)
     table = _odds(one, zero)
     for k in range(len(ORDERS)):
         own = slice(_BASES[k], _BASES[k + 1])
@@ -292,40 +314,58 @@ def fit(docs: DataFrame) -> Mixer:
     return Mixer(code, np.clip(np.rint(table * SCALE), -127, 127).astype(np.int8))
 
 
+def gate_counts(cells: DataFrame, code: Code, one: np.ndarray, zero: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(key, n) over all training bits: gate, the predictors' log-odds in steps of 1 / ODDS_STEPS, bit.
+
+    Each bit is taken out of the counts it is predicted from, so a context that was seen once is not
+    trusted. The keys are bounded by GATES, the levels and the bit, whatever the corpus.
+    """
+    ship = cells.sparkSession.sparkContext.broadcast((one, zero))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one, zero = ship.value
+        total = np.zeros(GATES * LEVELS ** len(ORDERS) * 2, np.int64)
+        for b in batches:
+            cell, count = (b.column(c).to_numpy() for c in ("cell", "n"))
+            found, node, bit, key, n = _bits(code, cell)
+            key = key.astype(np.int64)
+            for k, context in enumerate(found):
+                place = places(k, np.repeat(context, n), node)
+                odds = _odds(np.maximum(one[place] - bit, 0), np.maximum(zero[place] - (1 - bit.astype(np.float32)), 0))
+                key = key * LEVELS + np.rint(odds * ODDS_STEPS).astype(np.int64) + LEVELS // 2
+            np.add.at(total, key * 2 + bit, np.repeat(count, n))
+        key = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"key": key, "n": total[key]})
+
+    few = cells.coalesce(max(1, cells.sparkSession.sparkContext.defaultParallelism))
+    rows = few.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    ship.unpersist()
+    return rows["key"].to_numpy(), rows["n"].to_numpy()
+
+
 def _odds(one: np.ndarray, zero: np.ndarray) -> np.ndarray:
     return np.clip(np.log(one + np.float32(0.4)) - np.log(zero + np.float32(0.4)), -7.9, 7.9)
 
 
-def _gates(code: Code, one: np.ndarray, zero: np.ndarray, sample: list[bytes],
-           rounds: int = 8) -> np.ndarray:
-    """[GATES, predictors] weights: a small logistic regression per gate on the sample.
-
-    The sample's own counts are taken out of the tables first, so a context that only the
-    sample has seen is not trusted.
-    """
+def _gates(key: np.ndarray, n: np.ndarray, rounds: int = 8) -> np.ndarray:
+    """[GATES, predictors] weights: a small logistic regression per gate on ``gate_counts``."""
     weights = np.full((GATES, len(ORDERS)), 1 / len(ORDERS))
-    if not sample:
-        return weights
-    raw = np.frombuffer(b"".join(sample), np.uint8)
-    offs = np.append(0, np.cumsum([len(w) for w in sample]))
-    symbols, at, _, _ = stream(raw, offs)
-    node, bit, cls, entry, n = events(code, symbols, at)
-    x = []
-    for k, c in enumerate(contexts(symbols, at)):
-        place, back = np.unique(places(k, np.repeat(c, n), node), return_inverse=True)
-        own_one = np.bincount(back, weights=bit)
-        own_zero = np.bincount(back) - own_one
-        x.append(_odds(np.maximum(one[place] - own_one, 0), np.maximum(zero[place] - own_zero, 0))[back])
-    x = np.column_stack(x).astype(np.float64)
-    gate = np.repeat(cls, n) * 4 + code.depth[entry]
-    for g in np.unique(gate):
-        own, y = x[gate == g], bit[gate == g].astype(float)
+    order = np.argsort(key)  # the fit does not depend on the order of partitions
+    key, n = key[order], n[order].astype(np.float64)
+    bit, key = key % 2, key // 2
+    x = np.empty((len(key), len(ORDERS)))
+    for k in reversed(range(len(ORDERS))):
+        x[:, k] = (key % LEVELS - LEVELS // 2) / ODDS_STEPS
+        key = key // LEVELS
+    for g in np.unique(key):
+        at = key == g
+        own, y, times = x[at], bit[at], n[at]
         w = weights[g].copy()
         for _ in range(rounds):
             p = 1 / (1 + np.exp(-np.clip(own @ w, -30, 30)))
             pull = 5.0 * (w - weights[g])
-            h = (own * (p * (1 - p) + 1e-4)[:, None]).T @ own + 5.0 * np.eye(len(w))
-            w -= np.clip(np.linalg.solve(h, own.T @ (p - y) + pull), -0.5, 0.5)
+            h = (own * (times * (p * (1 - p) + 1e-4))[:, None]).T @ own + 5.0 * np.eye(len(w))
+            w -= np.clip(np.linalg.solve(h, own.T @ (times * (p - y)) + pull), -0.5, 0.5)
         weights[g] = w
     return weights
 

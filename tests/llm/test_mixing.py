@@ -96,3 +96,38 @@ def slow_open(m, text):
             total += math.log10(p if bit else 1 - p)
             share = share + mixing.RATE / mixing.SCALE ** 2 * (bit - p) * v
     return total
+
+
+def counted(df):
+    """Code, cells and brute-force (place -> [zero, one]) of all of ``df``'s bits."""
+    from quotalens.llm.common import id_text
+    docs = id_text(df).withColumnRenamed("doc_id", "row")
+    code, cells = mixing.build_code(mixing.count_pairs(docs)), mixing.cell_counts(docs)
+    want, bits = {}, 0
+    for r in docs.collect():
+        raw = np.frombuffer(r.text.encode(), np.uint8)
+        symbols, at, _, _ = mixing.stream(raw, np.array([0, len(raw)]))
+        node, bit, _, _, n = mixing.events(code, symbols, at)
+        bits += len(bit)
+        for k, c in enumerate(mixing.contexts(symbols, at)):
+            for p, v in zip(mixing.places(k, np.repeat(c, n), node).tolist(), bit.tolist()):
+                want.setdefault(p, [0, 0])[v] += 1
+    return code, cells, want, bits
+
+
+def test_tables_hold_every_training_bit(small):
+    code, cells, want, _ = counted(small)
+    got = {r.place: [int(r.zero), int(r.one)] for r in mixing.bit_counts(cells, code).collect()}
+    assert got == want
+
+
+def test_weights_are_fitted_on_every_training_bit(edge):
+    """Long texts and all rows: no window, no share of them."""
+    code, cells, want, bits = counted(edge)
+    one, zero = (np.zeros(int(mixing._BASES[-1]), np.float32) for _ in range(2))
+    for p, (z, o) in want.items():
+        zero[p], one[p] = z, o
+    key, n = mixing.gate_counts(cells, code, one, zero)
+    assert n.sum() == bits
+    again = mixing._gates(key[::-1], n[::-1])
+    assert np.array_equal(mixing._gates(key, n), again) and not np.allclose(again, 1 / len(mixing.ORDERS))
