@@ -241,9 +241,9 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def cell_counts(docs: DataFrame) -> DataFrame:
-    """(cell, n) of all of ``docs``, written; those that share a first context lie together, in order."""
+    """(cell, n) of all of ``docs``, written; those that share the first two contexts lie together, in order."""
     few = docs.coalesce(max(1, 4 * docs.sparkSession.sparkContext.defaultParallelism))
-    cells = few.mapInArrow(_cells, "cell long, n long").repartition(F.shiftrightunsigned("cell", 40))
+    cells = few.mapInArrow(_cells, "cell long, n long").repartition(F.shiftrightunsigned("cell", 24))
     return materialize(cells.groupBy("cell").agg(F.sum("n").alias("n")).sortWithinPartitions("cell"), "cells")
 
 
