@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
+import pytest
+
 from quotalens import session
+from quotalens.sources import period_paths as paths
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_partitions_grow_where_adaptive_execution_does_not_merge(spark):
@@ -18,3 +25,9 @@ def test_partitions_grow_where_adaptive_execution_does_not_merge(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", paths.DEALT)
+def test_wide_paths_are_not_dealt_again_by_period(src, name):
+    assert "Rebalance" not in optimized(paths._to_write(src, name))
+    assert "Rebalance" in optimized(paths._to_write(src, "path_source"))
