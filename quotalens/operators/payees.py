@@ -36,12 +36,22 @@ def target_periods(sources, params: DataFrame) -> DataFrame:
     return t.join(F.broadcast(cal_ok), t.pd_calendarseq == cal_ok.ok_calendarseq, "left_semi")
 
 
+def _common_interval(a: DataFrame, b: DataFrame, a_payee: str, b_payee: str) -> DataFrame:
+    """Versions of the same payee in both, with the interval in which both are in force."""
+    start, end = "effectivestartdate", "effectiveenddate"
+    a, b = a.dropna(subset=[start, end]), b.dropna(subset=[start, end])
+    b = b.withColumnsRenamed({start: "_start", end: "_end"})
+    met = a.join(b, (F.col(a_payee) == F.col(b_payee)) & (F.greatest(start, "_start") < F.least(end, "_end")))
+    return met.withColumns({start: F.greatest(start, "_start"), end: F.least(end, "_end")}).drop("_start", "_end")
+
+
 def payee_snapshot(sources, params: DataFrame, one_payee_per_position: bool = False) -> DataFrame:
     """16 snapshot columns (+ target_periodseq), DISTINCT.
 
-    Each versioned table is first joined to the (calendar-sized, broadcast) target periods
-    by the months it covers, so version histories never multiply against each other; the equi-joins on
-    (payeeseq, target) follow. The business-unit join only tests existence (semi join).
+    Versions of a payee's participant, id and position rows meet by payee where their intervals
+    overlap; only then they are laid out over the (calendar-sized, broadcast) target periods, so
+    neither a shuffle nor a join sees a row per period. The business-unit join only tests existence
+    (semi join).
     ``one_payee_per_position`` applies the dense-rank filter the reference keeps commented out.
     """
     t = target_periods(sources, params).select(
@@ -52,31 +62,22 @@ def payee_snapshot(sources, params: DataFrame, one_payee_per_position: bool = Fa
         F.col("payeeseq").alias("pt_payeeseq"), "lastname", "firstname", "userid",
         "genericattribute3", "genericattribute4", "genericattribute5", "genericattribute7",
         "terminationdate", "effectivestartdate", "effectiveenddate")
-    pt = in_force_join(pt, t, "pd_enddate", on=active_at("terminationdate", F.col("v_start"))).select(
-        "target_periodseq", "pt_payeeseq", "lastname", "firstname", "userid",
-        "genericattribute3", "genericattribute4", "genericattribute5", "genericattribute7")
 
     bu = sources["cs_businessunit"].select(F.col("mask").alias("bu_mask"))
     pe = live(sources["cs_payee"]).join(bu, F.col("businessunitmap") == F.col("bu_mask"),
                                         "left_semi")
     pe = pe.select(F.col("payeeseq").alias("pe_payeeseq"), "payeeid",
                    "effectivestartdate", "effectiveenddate")
-    pe = in_force_join(pe, t, "pd_enddate").select(
-        F.col("target_periodseq").alias("pe_target"), "pe_payeeseq", "payeeid")
 
     pn = live(sources["cs_position"]).select(
         F.col("payeeseq").alias("pn_payeeseq"), F.col("ruleelementownerseq").alias("positionseq"),
         F.col("genericattribute5").alias("region"), "targetcompensation",
         "effectivestartdate", "effectiveenddate")
-    pn = in_force_join(pn, t, "pd_enddate").select(
-        F.col("target_periodseq").alias("pn_target"), "pn_payeeseq", "positionseq", "region",
-        "targetcompensation")
-
-    j = (pt.join(pe, (pt.pt_payeeseq == pe.pe_payeeseq) & (pt.target_periodseq == pe.pe_target))
-         .join(pn, (pt.pt_payeeseq == pn.pn_payeeseq) & (pt.target_periodseq == pn.pn_target))
-         .join(tb.select(F.col("target_periodseq").alias("t_target"), "processingunitseq",
-                         "periodname", "v_start", "v_end"),
-               F.col("target_periodseq") == F.col("t_target")))
+
+    j = _common_interval(_common_interval(pt, pe, "pt_payeeseq", "pe_payeeseq"), pn, "pt_payeeseq", "pn_payeeseq")
+    # narrow still: what reads the snapshot by position and payee finds its rows together
+    j = j.repartition("positionseq", "pt_payeeseq")
+    j = in_force_join(j, tb, "pd_enddate", on=active_at("terminationdate", F.col("v_start")))
     snap = j.select(
         "processingunitseq",
         F.col("target_periodseq").alias("periodseq"),

@@ -35,6 +35,7 @@ from quotalens.operators.payees import payee_snapshot
 from quotalens.operators.periods import run_period
 from quotalens.sinks.report import ATTAINMENT_PREFIX, header_rows, log_files, write_reports
 from quotalens.sinks.steplog import StepLog
+from quotalens.sources.period_paths import same
 from quotalens.schemas import EXTRACT_COLUMNS, EXTRACT_NOT_NULL, FLOAT_DEC, MONEY, MONEY_2
 
 # Incentive kinds (genericattribute16) that the attainment report reads.
@@ -189,10 +190,11 @@ def attainment_extract(sources, params: DataFrame, payees: DataFrame | None = No
     if payees is None:
         payees = payee_snapshot(sources, params)
     rp = run_period(sources, params) if rp is None else rp
-    # a month's sums serve every target that reads it, so targets multiply sums and not incentives
-    pre = _of_targets(_pre_aggregate(_incentives(sources, rp)), rp)
+    # a month's sums serve every target that reads it, so targets multiply sums and not incentives;
+    # both sides are dealt by position and payee before their rows are multiplied by the targets
+    pre = _of_targets(_pre_aggregate(_incentives(sources, rp)).repartition("positionseq", "payeeseq"), rp)
     pk = _payee_keys(payees)
-    j = pre.join(pk, (pre.target_periodseq == pk.p_target) & (pre.positionseq == pk.p_position)
+    j = pre.join(pk, same(pre.target_periodseq, pk.p_target) & (pre.positionseq == pk.p_position)
                  & (pre.payeeseq == pk.p_payee))
     tc = F.col("tc")
     ti_loc_row = F.greatest(F.col("ti_nz"), F.when(F.col("ti_zero") == 1, tc))

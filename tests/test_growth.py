@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
 
 from quotalens import session
+from quotalens.operators import payees
+from quotalens.operators.params import params
+from quotalens.plans import attainment as att
 from quotalens.sources import period_paths as paths
 
 
@@ -31,3 +36,31 @@ def test_partitions_grow_where_adaptive_execution_does_not_merge(spark):
 def test_wide_paths_are_not_dealt_again_by_period(src, name):
     assert "Rebalance" not in optimized(paths._to_write(src, name))
     assert "Rebalance" in optimized(paths._to_write(src, "path_source"))
+
+
+def test_snapshot_is_laid_out_after_its_joins(src):
+    text = optimized(payees.payee_snapshot(src, params(src, "PU1", None)))
+    assert text.count("Generate explode") == 1
+    assert text.index("Generate explode") < text.index("RepartitionByExpression")
+
+
+def test_extract_is_shuffled_before_targets_multiply_it(src):
+    p = params(src, "PU1", None)
+    text = att.attainment_extract(src, p)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(target_periodseq#" not in text.replace("hashpartitioning(target_periodseq#", "X", 1)
+    assert "hashpartitioning(positionseq#" in text
+
+
+def test_common_interval_of_versions(spark):
+    d = dt.date
+    a = spark.createDataFrame(
+        [(1, "a", d(2000, 1, 1), d(2000, 6, 1)), (1, "b", d(2000, 6, 1), d(2001, 1, 1)),
+         (2, "c", None, d(2001, 1, 1)), (None, "d", d(2000, 1, 1), d(2001, 1, 1))],
+        "p int, x string, effectivestartdate date, effectiveenddate date")
+    b = spark.createDataFrame(
+        [(1, "u", d(2000, 3, 1), d(2000, 9, 1)), (1, "v", d(2000, 9, 1), None), (2, "w", d(2000, 1, 1), d(2001, 1, 1)),
+         (None, "z", d(2000, 1, 1), d(2001, 1, 1))],
+        "q int, y string, effectivestartdate date, effectiveenddate date")
+    got = payees._common_interval(a, b, "p", "q").select("x", "y", "effectivestartdate", "effectiveenddate")
+    assert sorted(tuple(r) for r in got.collect()) == [
+        ("a", "u", d(2000, 3, 1), d(2000, 6, 1)), ("b", "u", d(2000, 6, 1), d(2000, 9, 1))]
