@@ -64,3 +64,17 @@ def test_common_interval_of_versions(spark):
     got = payees._common_interval(a, b, "p", "q").select("x", "y", "effectivestartdate", "effectiveenddate")
     assert sorted(tuple(r) for r in got.collect()) == [
         ("a", "u", d(2000, 3, 1), d(2000, 6, 1)), ("b", "u", d(2000, 6, 1), d(2000, 9, 1))]
+
+
+def test_task_sizes_of_the_session_are_lowered_never_raised(spark):
+    keys = list(session.TASK_SIZES)
+    old = {k: spark.conf.get(k, None) for k in [*keys, session.PARTITIONS, session.INITIAL_PARTITIONS]}
+    try:
+        for given, kept in [("256m", None), ("268435456", None), ("1GB", None), ("16k", "16k"), ("4096", "4096")]:
+            for k in keys:
+                spark.conf.set(k, given)
+            session.bound_tasks(spark, 1)
+            assert [spark.conf.get(k) for k in keys] == [kept or session.TASK_SIZES[k] for k in keys]
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
