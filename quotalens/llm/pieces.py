@@ -172,6 +172,12 @@ def _beside(v: Vocabulary, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def encode_equal(v: Vocabulary, points: np.ndarray) -> list[np.ndarray]:
     """Ids of words of one length, given as a matrix of code points that all have pieces."""
+    ids, counts = _encode_equal(v, points)
+    return np.split(ids, np.cumsum(counts)[:-1])
+
+
+def _encode_equal(v: Vocabulary, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The int32 ids of all words end to end, and their number per word."""
     n, size = points.shape
     wide = min(v.longest, size)
     hashed = np.zeros((n, size + 1), np.uint64)
@@ -202,15 +208,11 @@ def encode_equal(v: Vocabulary, points: np.ndarray) -> list[np.ndarray]:
         pick = value.argmax(axis=1)
         rows = np.arange(n)
         best[:, end], last[:, end], took[:, end] = value[rows, pick], ids[rows, pick], lengths[pick]
-    out = []
-    backs, sizes = last.tolist(), took.tolist()
-    for k in range(n):
-        found, end = [], size
-        while end:
-            found.append(backs[k][end])
-            end -= sizes[k][end]
-        out.append(found[::-1])
-    return out
+    at, used = np.full(n, size), np.zeros((n, size + 1), bool)
+    for end in range(size, 0, -1):
+        used[:, end] = at == end
+        at -= np.where(used[:, end], took[:, end], 0)
+    return last[used].astype(np.int32), used.sum(axis=1)  # row by row: pieces from the left
 
 
 class Encoder:
@@ -244,6 +246,10 @@ class Encoder:
 
     def learn(self, words) -> None:
         """Encode words (with their leading space mark) that are not known yet."""
+        self.known.update(self._learned(words))
+
+    def _learned(self, words) -> dict[str, bytes]:
+        """Ids by word, in the order of ``words``."""
         cuts = {w: self._cut(w) for w in words}
         need: dict[int, set] = {}
         for parts in cuts.values():
@@ -252,16 +258,17 @@ class Encoder:
                     need.setdefault(len(part), set()).add(part)
         made: dict[str, bytes] = {}
         for size, group in need.items():
-            group = sorted(group)
+            group = list(group)
             for i in range(0, len(group), 8192):
                 own = group[i:i + 8192]
                 points = np.frombuffer("".join(own).encode("utf-32-le"), np.uint32).reshape(-1, size)
-                for part, ids in zip(own, encode_equal(self.v, points)):
-                    made[part] = _ids(ids)
+                ids, counts = _encode_equal(self.v, points)
+                ids, ends = ids.tobytes(), (4 * np.cumsum(counts)).tolist()
+                made.update(zip(own, [ids[a:b] for a, b in zip([0, *ends], ends)]))
         spell = self.v.bytes_ids
-        for w, parts in cuts.items():
-            self.known[w] = b"".join(made[p] if ok else _ids([spell[b] for b in p.encode()])
-                                     for p, ok in parts)
+        return {w: made[parts[0][0]] if len(parts) == 1 and parts[0][1]
+                else b"".join([made[p] if ok else _ids([spell[b] for b in p.encode()]) for p, ok in parts])
+                for w, parts in cuts.items()}
 
     def _run(self, n: int) -> bytes:
         """Ids of n space marks alone; a long run is whole longest pieces, then the rest."""
@@ -273,10 +280,9 @@ class Encoder:
                 whole = max(0, n // len(top) - 2)
                 parts = [top] * whole + _merge([SPACE] * (n - whole * len(top)), usable, v.scores,
                                                -np.inf)
-                out = [usable[t] for t in parts]
+                self.runs[n] = _ids([usable[t] for t in parts])
             else:
-                out = encode_equal(v, np.full((1, n), ord(SPACE)))[0]
-            self.runs[n] = _ids(out)
+                self.runs[n] = _encode_equal(v, np.full((1, n), ord(SPACE)))[0].tobytes()
         return self.runs[n]
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -287,10 +293,8 @@ class Encoder:
         new = set().union(*split) - self.known.keys()
         new.discard("")
         # keys are words without their space mark
-        fresh = [SPACE + w for w in new if SPACE not in w]
-        self.learn(fresh)
-        for w in fresh:
-            self.known[w[1:]] = self.known.pop(w)
+        fresh = [w for w in new if SPACE not in w]
+        self.known.update(zip(fresh, self._learned([SPACE + w for w in fresh]).values()))
         known, out = self.known, []
         for words, text in zip(split, texts):
             if SPACE in text:

@@ -50,3 +50,14 @@ def test_edge_rows_and_round_trip(edge, empty):
     back = pieces.decode(pieces.op7(edge).select("doc_id", "ids"), pieces.MODEL_FILE)
     texts = sorted((str(r.doc_id), (r.text or "").replace("▁", " ")) for r in edge.collect())
     assert sorted((str(r.doc_id), r.text) for r in back.collect()) == texts
+
+
+@pytest.mark.skipif(not os.path.exists(pieces.MODEL_FILE), reason="no model file")
+def test_words_of_a_batch_are_traced_back_together(monkeypatch):
+    coder = pieces.Encoder(pieces.load(pieces.MODEL_FILE))
+    words = ["".join(random.Random(k).choices("etaoinshrdlu", k=k % 15 + 1)) for k in range(500)]
+    one_by_one = [coder.encode([w])[0] for w in words]
+    fresh, made = pieces.Encoder(coder.v), []
+    monkeypatch.setattr(pieces, "_ids", lambda ids: made.append(ids) or np.array(ids, np.int32).tobytes())
+    assert fresh.encode(words) == one_by_one
+    assert not made  # no array of its own for any word
