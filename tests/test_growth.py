@@ -78,3 +78,18 @@ def test_task_sizes_of_the_session_are_lowered_never_raised(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_map_task_reads_no_more_where_the_file_is_larger(spark, tmp_path):
+    keys = [*session.TASK_SIZES, session.PARTITIONS, session.INITIAL_PARTITIONS, "spark.sql.files.minPartitionNum"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+        spark.range(2_000_000, numPartitions=1).write.parquet(str(tmp_path / "rows"))
+        size = sum(f.stat().st_size for f in (tmp_path / "rows").glob("*.parquet"))
+        session.bound_tasks(spark, 1)
+        assert size > 7 << 20
+        assert spark.read.parquet(str(tmp_path / "rows")).rdd.getNumPartitions() == -(-size // (4 << 20))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
