@@ -43,6 +43,7 @@ ANSWERED = 0.45    # enough if the answer is there too
 ANSWER = 0.8
 BLOCK = 4096
 PIECE = 16
+LOOKUP = 4         # cost of looking up one word's places in one range, against that of passing one place
 _SEED = 11
 
 
@@ -70,9 +71,12 @@ def _passages(at: np.ndarray) -> np.ndarray:
     return np.repeat(first, counts) + ragged_arange(counts) // SPAN
 
 
+_LOG = 1 + np.log(np.maximum(1, np.arange(SPAN + 1)))  # by a word's occurrences in a passage
+
+
 def _weights(p: np.ndarray, f: np.ndarray, tf: np.ndarray, idf: np.ndarray, n: int) -> np.ndarray:
     """TF-IDF weights, every passage of length one."""
-    w = (1 + np.log(tf)) * idf[f]
+    w = _LOG[tf] * idf[f]
     norm = np.sqrt(np.bincount(p, weights=w * w, minlength=n))
     return (w / np.maximum(norm[p], 1e-12)).astype(np.float32)
 
@@ -250,7 +254,11 @@ class Places:
         code[code == len(items.known)] = 0
         at = np.flatnonzero(items.known[code] == h)
         code = code[at]
-        self.at = at[np.argsort(code, kind="stable")]
+        self.all = at                                   # of all items' words, ascending
+        self.nth = np.argsort(code, kind="stable")      # by word: which of these
+        self.at = at[self.nth]
+        self.keyed = (code[self.nth] << 32) + self.at
+        self.before = np.empty(len(at), np.int64)
         self.count = np.bincount(code, minlength=len(items.known))
         self.first = np.cumsum(self.count) - self.count
 
@@ -258,19 +266,35 @@ class Places:
         """Words that an item shares, with their repeats, with each range [low, high) of the texts:
         no common subsequence is longer.
 
-        Of a word that the item has c times, the places in a range count whose c-th place before
-        lies below the range; those are min(c, places in the range).
+        Few ranges look up the places of each word; many are counted in one pass over all places of
+        the item's words.
         """
         which, c = kinds
         n = self.count[which]
+        if LOOKUP * len(which) * len(low) < n.sum():
+            return self._by_range(which, c, low, high)
+        return self._by_place(which, c, n, low, high)
+
+    def _by_range(self, which, c, low, high) -> np.ndarray:
+        word = which[:, None] << 32
+        inside = np.searchsorted(self.keyed, word + high) - np.searchsorted(self.keyed, word + low)
+        return np.minimum(inside, c[:, None]).sum(axis=0)
+
+    def _by_place(self, which, c, n, low, high) -> np.ndarray:
+        """Of a word that the item has c times, the places in a range count whose c-th place before
+        lies below the range; those are min(c, places in the range).
+        """
         nth, c = ragged_arange(n), np.repeat(c, n)
         place = np.repeat(self.first[which], n) + nth
-        before = np.where(nth >= c, self.at[place - np.minimum(nth, c)], -1)
-        both = (self.at[place] << 32) + before + 1  # a place and the one before it in one number, to sort
-        both.sort()
-        begin = np.searchsorted(both, low << 32)
-        inside = np.searchsorted(both, high << 32) - begin
-        new = (both[np.repeat(begin, inside) + ragged_arange(inside)] & 0xFFFFFFFF) <= np.repeat(low, inside)
+        # put at their place among all words, the item's places come out in ascending order
+        own = np.zeros(len(self.all), bool)
+        own[self.nth[place]] = True
+        self.before[self.nth[place]] = np.where(nth >= c, self.at[place - np.minimum(nth, c)], -1)
+        own = np.flatnonzero(own)
+        places, before = self.all[own], self.before[own]
+        begin = np.searchsorted(places, low)
+        inside = np.searchsorted(places, high) - begin
+        new = before[np.repeat(begin, inside) + ragged_arange(inside)] < np.repeat(low, inside)
         total = np.append(0, np.cumsum(new))
         end = np.cumsum(inside)
         return total[end] - total[end - inside]

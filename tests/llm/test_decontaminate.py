@@ -124,3 +124,17 @@ def test_verbatim_items_of_every_length_are_found(spark, length):
     docs = spark.createDataFrame(docs, "doc_id long, text string")
     got = {(r.doc_id, r.item_id) for r in dc.op10(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert sum((k, k) in got for k, _ in items) >= 27
+
+
+def test_shared_words_by_range_and_by_place_are_those_of_brute_force():
+    rng = np.random.default_rng(5)
+    h = rng.integers(0, 12, 400).astype(np.uint64)
+    known = np.array([1, 2, 3, 5, 7, 40], np.uint64)
+    places = dc.Places(dc.Items([], [], [], [], known, []), h)
+    low = rng.integers(0, 380, 60)
+    high = low + rng.integers(0, 20, 60)
+    which, c = np.array([0, 2, 3, 5]), np.array([1, 3, 2, 2])
+    wanted = [sum(min(int(n), int((h[a:b] == known[w]).sum())) for w, n in zip(which, c)) for a, b in zip(low, high)]
+    assert places._by_range(which, c, low, high).tolist() == wanted
+    assert places._by_place(which, c, places.count[which], low, high).tolist() == wanted
+    assert places.overlap((which, c), low[:1], high[:1]).tolist() == wanted[:1]
