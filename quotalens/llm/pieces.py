@@ -42,6 +42,31 @@ def _hash(points: np.ndarray) -> np.uint64:
     return h
 
 
+class Lookup:
+    """Places of sorted uint64 keys, by a table over their top bits; keys that share them are searched."""
+
+    def __init__(self, keys: np.ndarray):
+        shared = np.bincount((keys >> TOP).astype(np.int64), minlength=1 << 20)
+        self.keys, self.maybe, self.crowded = keys, shared > 0, shared > 1
+        self.begins = (np.cumsum(shared) - shared).astype(np.int32)
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which of ``wanted`` are keys, their places)."""
+        top = (wanted >> TOP).astype(np.int64)
+        some = np.flatnonzero(self.maybe[top])
+        found, top = wanted[some], top[some]
+        at = self.begins[top]
+        more = np.flatnonzero(self.crowded[top])
+        at[more] = np.minimum(np.searchsorted(self.keys, found[more]), len(self.keys) - 1)
+        same = self.keys[at] == found
+        return some[same], at[same]
+
+
+def _mixed(pair_keys: np.ndarray) -> np.ndarray:
+    """Pair keys spread over 64 bits, one to one."""
+    return pair_keys.astype(np.uint64) * BASE
+
+
 @dataclass
 class Vocabulary:
     """Tables of a model; ``rank`` orders pieces by merge (single characters first)."""
@@ -49,19 +74,18 @@ class Vocabulary:
     merges: bool
     texts: list[str]               # by id; byte pieces as one character "\x00".."\xff" in raw
     raw: list[bytes]               # by id, what a piece decodes to
-    keys: np.ndarray               # sorted uint64 hashes of usable pieces
+    keys: Lookup                   # hashes of usable pieces
     key_ids: np.ndarray
     scores: np.ndarray             # by id
     longest: int
     bytes_ids: list[int]           # id of byte piece b
     chars: set[str]
     inside: set[str]               # pairs of characters that some piece has side by side
-    maybe: np.ndarray              # bit table over the top bits of the keys: a quick no
     unknown: float
     rank: np.ndarray = field(default=None)
     left: np.ndarray = field(default=None)     # rank of each rank's left part (itself: single)
     right: np.ndarray = field(default=None)
-    pair_keys: np.ndarray = field(default=None)
+    pair_keys: Lookup = field(default=None)        # mixed keys of two ranks that merge
     pair_rank: np.ndarray = field(default=None)
     by_rank: np.ndarray = field(default=None)  # id of each rank
 
@@ -109,11 +133,10 @@ def build(rows: list[tuple[str, float, int]], merges: bool) -> Vocabulary:
     order = np.argsort(keys)
     if len(np.unique(keys)) != len(keys):
         raise ValueError("two pieces share a hash")
-    v = Vocabulary(merges, texts, raw, keys[order], ids[order], scores,
+    v = Vocabulary(merges, texts, raw, Lookup(keys[order]), ids[order], scores,
                    max((len(t) for t in keyed), default=1), bytes_ids,
                    {t for t in usable if len(t) == 1},
                    {t[i:i + 2] for t in usable for i in range(len(t) - 1)},
-                   np.bincount((keys >> TOP).astype(np.int64), minlength=1 << 20) > 0,
                    float(scores.min(initial=0)) - 10)
     if merges:
         single = [t for t in keyed if len(t) == 1]
@@ -126,8 +149,10 @@ def build(rows: list[tuple[str, float, int]], merges: bool) -> Vocabulary:
         v.right = np.array([at[split[t][1]] if t in split else r for t, r in at.items()], np.int64)
         pairs = {at[t[:k]] * len(at) + at[t[k:]]: r for t, r in at.items() for k in range(1, len(t))
                  if t[:k] in at and t[k:] in at}
-        v.pair_keys = np.array(sorted(pairs), np.int64)
-        v.pair_rank = np.array([pairs[k] for k in v.pair_keys.tolist()], np.int64)
+        mixed = _mixed(np.array(list(pairs), np.int64))
+        order = np.argsort(mixed)
+        v.pair_keys = Lookup(mixed[order])
+        v.pair_rank = np.array(list(pairs.values()), np.int64)[order]
     return v
 
 
@@ -156,9 +181,9 @@ def _beside(v: Vocabulary, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     row, limit = np.arange(len(a)), np.full(len(a), 1 << 62, np.int64)
     a, b = a.copy(), b.copy()
     while len(row):
-        key = a * n + b
-        at = np.minimum(np.searchsorted(v.pair_keys, key), len(v.pair_keys) - 1)
-        clash = (v.pair_keys[at] == key) & (v.pair_rank[at] < limit)
+        pair, at = v.pair_keys.find(_mixed(a * n + b))
+        clash = np.zeros(len(a), bool)
+        clash[pair] = v.pair_rank[at] < limit[pair]
         out[row[clash]] = False
         undo_a = a > b
         stuck_a, stuck_b = v.right[a] == a, v.left[b] == b
@@ -180,39 +205,38 @@ def _encode_equal(v: Vocabulary, points: np.ndarray) -> tuple[np.ndarray, np.nda
     """The int32 ids of all words end to end, and their number per word."""
     n, size = points.shape
     wide = min(v.longest, size)
-    hashed = np.zeros((n, size + 1), np.uint64)
+    hashed = np.zeros((size + 1, n), np.uint64)
     power = np.ones(wide + 1, np.uint64)
     for k in range(1, wide + 1):
         power[k:k + 1] = power[k - 1:k] * BASE
     for k in range(size):
-        hashed[:, k + 1] = hashed[:, k] * BASE + points[:, k].astype(np.uint64) + np.uint64(1)
-    best = np.full((n, size + 1), -np.inf)
-    best[:, 0] = 0
-    last = np.full((n, size + 1), -1, np.int64)
-    took = np.zeros((n, size + 1), np.int64)
+        hashed[k + 1] = hashed[k] * BASE + points[:, k].astype(np.uint64) + np.uint64(1)
+    best = np.full((size + 1, n), -np.inf)
+    best[0] = 0
+    last = np.full((size + 1, n), -1, np.int64)
+    took = np.zeros((size + 1, n), np.int64)
+    rows = np.arange(n)
     for end in range(1, size + 1):
         lengths = np.arange(1, min(end, wide) + 1)
-        probe = hashed[:, end, None] - hashed[:, end - lengths] * power[lengths]
-        row, col = np.nonzero(v.maybe[(probe >> TOP).astype(np.int64)])
-        found = probe[row, col]
-        at = np.minimum(np.searchsorted(v.keys, found), len(v.keys) - 1)
-        ids = np.full(probe.shape, -1, np.int64)
-        ids[row, col] = np.where(v.keys[at] == found, v.key_ids[at], -1)
-        value = np.where(ids >= 0, best[:, end - lengths], -np.inf)
+        probe = hashed[end] - hashed[end - lengths] * power[lengths, None]
+        hit, at = v.keys.find(probe.ravel())
+        row, begin, found = hit % n, end - 1 - hit // n, v.key_ids[at]
+        score = best[begin, row]
         if v.merges:
-            r, c = np.nonzero((value > -np.inf) & (lengths < end))
-            fits = _beside(v, v.rank[last[r, end - lengths[c]]], v.rank[ids[r, c]])
-            value[r[~fits], c[~fits]] = -np.inf
+            open_ = np.flatnonzero((score > -np.inf) & (begin > 0))
+            fits = _beside(v, v.rank[last[begin[open_], row[open_]]], v.rank[found[open_]])
+            score[open_[~fits]] = -np.inf
         else:
-            value = value + np.where(ids >= 0, v.scores[ids], 0)
-        pick = value.argmax(axis=1)
-        rows = np.arange(n)
-        best[:, end], last[:, end], took[:, end] = value[rows, pick], ids[rows, pick], lengths[pick]
-    at, used = np.full(n, size), np.zeros((n, size + 1), bool)
+            score = score + v.scores[found]
+        ids, value = np.full(probe.shape, -1, np.int64), np.full(probe.shape, -np.inf)
+        ids.ravel()[hit], value.ravel()[hit] = found, score
+        pick = value.argmax(axis=0)
+        best[end], last[end], took[end] = value[pick, rows], ids[pick, rows], lengths[pick]
+    at, used = np.full(n, size), np.zeros((size + 1, n), bool)
     for end in range(size, 0, -1):
-        used[:, end] = at == end
-        at -= np.where(used[:, end], took[:, end], 0)
-    return last[used].astype(np.int32), used.sum(axis=1)  # row by row: pieces from the left
+        used[end] = at == end
+        at -= np.where(used[end], took[end], 0)
+    return last.T[used.T].astype(np.int32), used.sum(axis=0)  # row by row: pieces from the left
 
 
 class Encoder:

@@ -61,3 +61,12 @@ def test_words_of_a_batch_are_traced_back_together(monkeypatch):
     monkeypatch.setattr(pieces, "_ids", lambda ids: made.append(ids) or np.array(ids, np.int32).tobytes())
     assert fresh.encode(words) == one_by_one
     assert not made  # no array of its own for any word
+
+
+def test_lookup_finds_keys_that_share_their_top_bits():
+    keys = np.array([3, 5, (7 << 44) + 1, (7 << 44) + 2, (7 << 44) + 9, (9 << 44), (1 << 64) - 1], np.uint64)
+    wanted = np.array([(7 << 44) + 9, 4, 5, (1 << 64) - 1, (7 << 44) + 3, (8 << 44), 3, 5, (9 << 44) + 1], np.uint64)
+    which, at = pieces.Lookup(keys).find(wanted)
+    assert which.tolist() == [0, 2, 3, 6, 7]
+    assert keys[at].tolist() == wanted[which].tolist()
+    assert not len(pieces.Lookup(keys[:0]).find(wanted)[0])
