@@ -159,3 +159,17 @@ def test_files_read_back_in_order_line_by_line(spark, tmp_path):
         want += [(f"X_{month}_1998_20260131.csv", i, *line) for i, line in enumerate(lines, 1)]
     assert len(os.listdir(f"{folder}/report_file={want[0][0]}")) > 2
     assert got == sorted(want)
+
+
+@pytest.mark.parametrize("rules", acc.RULES)
+def test_accrual_report_has_its_header_first_and_its_rows_in_order(spark, rules):
+    # names out of order over several partitions, null keys and equal rows among them
+    data = [(n, e, o) for n in ("n3", None, "n1", "n2") for e in ("MBO", "CIP", None) for o in ("O2", "O1", None, "O1")]
+    made = {"fullname": "n", "plan_element": "e", "orderid": "o"}
+    staging = spark.createDataFrame(data, "n string, e string, o string").repartition(5).select(
+        *[F.col(made[c]).alias(c) if c in made else F.lit(None).cast(t).alias(c) for c, t in acc.STAGING_TYPES.items()])
+    got = [(r["Name"], r["Plan Element"], r["Order ID"]) for r in acc.accrual_report(staging, rules).collect()]
+    want = sorted(data, key=lambda r: [(v is not None, v or "") for v in r])
+    assert got == [("Name", "Plan Element", "Order ID"), *want]
+    bare = acc.accrual_report(staging, rules, header=False).collect()
+    assert [(r["Name"], r["Plan Element"], r["Order ID"]) for r in bare] == want
