@@ -38,6 +38,20 @@ def test_wide_paths_are_not_dealt_again_by_period(src, name):
     assert "Rebalance" in optimized(paths._to_write(src, "path_source"))
 
 
+@pytest.mark.parametrize("name", paths.DEALT)
+def test_a_writing_task_takes_several_partitions(spark, src, name):
+    # each task has a file for every period: their number must not follow that of the shuffle's partitions
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = {k: spark.conf.get(k, None) for k in (merge, session.PARTITIONS)}
+    try:
+        spark.conf.set(merge, "false")
+        spark.conf.set(session.PARTITIONS, "40")
+        assert paths._to_write(src, name).rdd.getNumPartitions() <= 10
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_snapshot_is_laid_out_after_its_joins(src):
     text = optimized(payees.payee_snapshot(src, params(src, "PU1", None)))
     assert text.count("Generate explode") == 1
