@@ -83,3 +83,16 @@ def test_partitions_grow_with_the_input(spark):
         assert int(spark.conf.get(session.INITIAL_PARTITIONS)) == 40
     finally:
         spark.conf.set(session.INITIAL_PARTITIONS, old) if old else spark.conf.unset(session.INITIAL_PARTITIONS)
+
+
+def test_arms_of_a_many_period_run_share_their_credits_and_deal_texts_packed(src):
+    from quotalens.operators.params import params
+    src.__dict__.pop("_memo", None)
+    p = params(src, "PU1", None)
+    assert acc.source_keys(src, p) == sorted(acc.source_keys(src, p)) and set(acc.source_keys(src, p)) <= set(
+        acc._credit_keys(src, p))
+    text = plan_text(acc.credit_arms(src, p, ["mbo", "yoy", "cip"]))
+    # the traces and credits of both kinds of arms are read by the same literals
+    reads = [ln for ln in text.split("\n") if "FileScan parquet" in ln and "/transactions-" in ln and "disc#" in ln]
+    assert len(reads) == 2 and all(" IN (" in ln or "In(periodseq" in ln for ln in reads), reads
+    assert "_texts" in text
